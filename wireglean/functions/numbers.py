@@ -12,8 +12,7 @@ def as_double(column: str | Column) -> Column:
 
 def known(column: str | Column) -> Column:
     """A double with NaN turned into null; infinities stay."""
-    value = as_double(column)
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(as_double(column), F.lit(None).cast("double"))
 
 
 def is_infinite(column: str | Column) -> Column:
@@ -22,9 +21,9 @@ def is_infinite(column: str | Column) -> Column:
 
 
 def finite(column: str | Column) -> Column:
-    """A double with NaN and both infinities turned into null."""
+    """A double with NaN and both infinities turned into null (Spark orders NaN above infinity)."""
     value = as_double(column)
-    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def number_or(frame_columns, name: str, default: float = 0.0) -> Column:
@@ -34,6 +33,7 @@ def number_or(frame_columns, name: str, default: float = 0.0) -> Column:
     return F.coalesce(known(name), F.lit(float(default)))
 
 
-def clamp(value: Column, low: float, high: float) -> Column:
-    """Limit to [low, high]; null stays null (``least``/``greatest`` alone would drop it)."""
-    return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
+def limited(value: Column, low: float, high: float) -> Column:
+    """Limit to [low, high]. For values that are never null: ``least`` and ``greatest`` skip
+    nulls. They name the value once, so nested limits do not multiply the expression."""
+    return F.greatest(F.lit(low), F.least(F.lit(high), value))

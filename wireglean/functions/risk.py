@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import clamp, finite
+from wireglean.functions.numbers import finite, limited
 
 
 def severity_points(prediction: Column) -> Column:
@@ -16,52 +16,54 @@ def severity_points(prediction: Column) -> Column:
 
 def confidence_points(prediction: Column, confidence: Column) -> Column:
     """A sure BENIGN lowers the risk; an attack counts from half confidence upwards."""
-    sure = clamp(confidence, 0.0, 1.0)
-    benign = (F.lit(1.0) - sure) * F.lit(100.0)
-    attack = clamp((sure - F.lit(0.5)) / F.lit(0.5), 0.0, 1.0) * F.lit(100.0)
+    benign = (F.lit(1.0) - limited(confidence, 0.0, 1.0)) * F.lit(100.0)
+    attack = limited((confidence - F.lit(0.5)) / F.lit(0.5), 0.0, 1.0) * F.lit(100.0)
     return F.when(prediction == tax.BENIGN, benign).otherwise(attack)
 
 
 def anomaly_points(score: Column) -> Column:
-    return clamp(score, 0.0, 1.0) * F.lit(100.0)
+    return limited(score, 0.0, 1.0) * F.lit(100.0)
 
 
-def _reading(columns: list[str], name: str) -> Column:
-    return F.coalesce(finite(name), F.lit(0.0)) if name in columns else F.lit(0.0)
+READINGS = {
+    "_pps": "packets_per_second", "_bps": "bytes_per_second", "_density": "tcp_flag_density",
+    "_ratio": "fwd_bwd_packet_ratio", "_sent": "total_fwd_packets", "_answered": "total_backward_packets",
+}
 
 
-def traffic_rules(columns: list[str]) -> list[tuple[Column, float, Column]]:
+def readings(columns: list[str]) -> dict[str, Column]:
+    """What the traffic rules look at; absent, missing and infinite values read as 0."""
+    return {
+        alias: F.coalesce(finite(name), F.lit(0.0)) if name in columns else F.lit(0.0)
+        for alias, name in READINGS.items()
+    }
+
+
+def traffic_rules() -> list[tuple[Column, float, Column]]:
     """(condition, points, text) of each red flag read off the flow itself."""
-    pps = _reading(columns, "packets_per_second")
-    bps = _reading(columns, "bytes_per_second")
-    density = _reading(columns, "tcp_flag_density")
-    ratio = _reading(columns, "fwd_bwd_packet_ratio")
-    fwd = _reading(columns, "total_fwd_packets")
-    bwd = _reading(columns, "total_backward_packets")
+    pps, bps, ratio = F.col("_pps"), F.col("_bps"), F.col("_ratio")
     return [
         (pps > tax.PACKET_RATE_ALERT, 30.0,
          F.concat(F.lit("High packet rate ("), F.format_number(pps, 0), F.lit(" pkt/s)"))),
         (bps > tax.BYTE_RATE_ALERT, 25.0,
          F.concat(F.lit("High byte rate ("), F.format_number(bps / F.lit(1e6), 1), F.lit(" MB/s)"))),
-        (density > tax.FLAG_DENSITY_ALERT, 20.0,
+        (F.col("_density") > tax.FLAG_DENSITY_ALERT, 20.0,
          F.lit("Control-flag-dominated flow (near-zero payload)")),
         (ratio > tax.ASYMMETRY_ALERT, 15.0,
          F.concat(F.lit("Extreme directional asymmetry ("), F.format_number(ratio, 0),
                   F.lit(":1 fwd/bwd)"))),
-        ((bwd == 0) & (fwd > 2), 15.0,
+        ((F.col("_answered") == 0) & (F.col("_sent") > 2), 15.0,
          F.lit("No response traffic - probe or half-open connection")),
     ]
 
 
-def traffic_points(columns: list[str]) -> Column:
-    total = F.lit(0.0)
-    for condition, points, _ in traffic_rules(columns):
-        total = total + F.when(condition, F.lit(points)).otherwise(F.lit(0.0))
-    return clamp(total, 0.0, 100.0)
+def traffic_points() -> Column:
+    points = [F.when(condition, F.lit(p)).otherwise(F.lit(0.0)) for condition, p, _ in traffic_rules()]
+    return F.least(F.lit(100.0), sum(points[1:], points[0]))
 
 
-def indicators(columns: list[str], is_anomaly: Column) -> Column:
-    texts = [F.when(condition, text) for condition, _, text in traffic_rules(columns)]
+def indicators(is_anomaly: Column) -> Column:
+    texts = [F.when(condition, text) for condition, _, text in traffic_rules()]
     texts.append(F.when(is_anomaly, F.lit("Flagged as anomalous by unsupervised detector")))
     return F.array_compact(F.array(*texts))
 
@@ -76,21 +78,22 @@ def blended_score(prediction: Column, is_anomaly: Column, parts: dict[str, Colum
         + F.lit(weight["traffic"]) * parts["traffic"]
     )
     quiet = (prediction == tax.BENIGN) & ~is_anomaly
-    raw = F.when(quiet, raw * F.lit(0.5)).otherwise(raw)
-    raw = F.when(is_anomaly, F.greatest(raw, F.lit(tax.ANOMALY_FLOOR))).otherwise(raw)
-    return F.bround(clamp(raw, 0.0, 100.0), 0).cast("int")
+    floor = F.when(is_anomaly, F.lit(tax.ANOMALY_FLOOR)).otherwise(F.lit(0.0))
+    damped = raw * F.when(quiet, F.lit(0.5)).otherwise(F.lit(1.0))
+    return F.bround(F.least(F.lit(100.0), F.greatest(floor, damped)), 0).cast("int")
 
 
 def risk_level(score: Column) -> Column:
-    rounded = F.bround(clamp(score.cast("double"), 0.0, 100.0), 0)
-    chain = F.when(F.lit(False), "")
+    """The band of a score, looked up so that the score is named once."""
+    names, low = [], 0
     for top, name in tax.RISK_BANDS:
-        chain = chain.when(rounded <= float(top), name)
-    return chain
+        names += [F.lit(name)] * (top + 1 - low)
+        low = top + 1
+    return F.get(F.array(*names), F.bround(limited(score.cast("double"), 0.0, 100.0), 0).cast("int"))
 
 
 def anomaly_band(score: Column) -> Column:
-    chain = F.when(F.lit(False), "")
+    chain = F.when(score.isNull(), F.lit(None).cast("string"))
     for limit, name in tax.ANOMALY_BANDS:
         chain = chain.when(score < F.lit(limit), name)
-    return F.when(score.isNotNull(), chain.otherwise(tax.ANOMALY_TOP_BAND))
+    return chain.otherwise(tax.ANOMALY_TOP_BAND)

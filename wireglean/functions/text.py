@@ -28,19 +28,19 @@ def label_words(raw: Column) -> Column:
     return F.trim(F.regexp_replace(lowered, "[^a-z0-9]+", " "))
 
 
-def label_family(raw: Column) -> Column:
-    """The attack family of a raw label.
+def label_family(words: Column) -> Column:
+    """The attack family of a label's words (see :func:`label_words`).
 
-    An exact key wins, then the first key the text contains, then ``Other``.
-    A missing label gives the empty string.
+    An exact key wins, then the first key the text contains, then ``Other``. A missing
+    label gives the empty string. Pass a column of words, not the expression: every rule
+    names it.
     """
-    words = label_words(raw)
-    missing = words.isNull() | words.isin("", "nan")
     by_family: dict[str, list[str]] = {}
     for key, family in tax.LABEL_FAMILIES:
         by_family.setdefault(family, []).append(key)
     rules = [(words.isin(keys), family) for family, keys in by_family.items()]
     rules += [(words.contains(key), family) for key, family in tax.LABEL_FAMILIES]
+    missing = words.isNull() | words.isin("", "nan")
     chain = reduce(lambda c, rule: c.when(rule[0], rule[1]), rules, F.when(missing, ""))
     return chain.otherwise(tax.OTHER)
 

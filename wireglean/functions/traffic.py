@@ -7,10 +7,9 @@ from wireglean import taxonomy as tax
 from wireglean.functions.numbers import known, number_or
 
 
-def port_category(port: Column) -> Column:
+def port_category(number: Column) -> Column:
     """The service bucket of a port number; a missing or negative port is ``unknown``."""
-    number = F.coalesce(known(port), F.lit(-1.0))
-    chain = F.when(F.lit(False), "")
+    chain = F.when(number.isNull(), "unknown")
     for service, ports in tax.SERVICE_PORTS:
         chain = chain.when(number.isin([float(p) for p in ports]), service)
     for bucket, low, high in tax.PORT_RANGES:
@@ -18,49 +17,62 @@ def port_category(port: Column) -> Column:
     return chain.when(number >= float(tax.FIRST_EPHEMERAL_PORT), "ephemeral").otherwise("unknown")
 
 
-def protocol_name(protocol: Column) -> Column:
+def protocol_name(protocol: Column, number: Column | None = None) -> Column:
     """Decided row by row, so a batch and a stream agree: a number becomes its name or
     ``other``, a missing value ``unknown``, and text stays as it is."""
-    number = known(protocol)
+    number = known(protocol) if number is None else number
     chain = F.when(F.lit(False), "")
     for value, name in tax.PROTOCOL_NAMES.items():
         chain = chain.when(number == float(value), name)
-    chain = chain.when(number.isNotNull(), "other")
     text = protocol.cast("string")
-    return chain.when(text.isNull() | (F.lower(text) == "nan"), "unknown").otherwise(text)
+    missing = text.isNull() | (F.lower(text) == "nan")
+    return chain.when(number.isNotNull(), "other").when(missing, "unknown").otherwise(text)
 
 
-def derived_columns(columns: list[str]) -> dict[str, Column]:
-    """The derived features, as expressions over whatever of the raw counts is present."""
+READINGS = {
+    "_fwd": "total_fwd_packets", "_bwd": "total_backward_packets",
+    "_fwd_bytes": "total_length_of_fwd_packets", "_bwd_bytes": "total_length_of_bwd_packets",
+}
+
+
+def readings(columns: list[str]) -> dict[str, Column]:
+    """The raw counts the features are made of, read safely, under names of their own.
 
-    def count(name: str, default: float = 0.0) -> Column:
-        return number_or(columns, name, default)
+    They are columns first because each is used several times.
+    """
 
-    fwd, bwd = count("total_fwd_packets"), count("total_backward_packets")
-    fwd_bytes = count("total_length_of_fwd_packets")
-    bwd_bytes = count("total_length_of_bwd_packets")
-    packets, volume = fwd + bwd, fwd_bytes + bwd_bytes
-    seconds = F.abs(count("flow_duration")) / F.lit(1e6)
+    def count(name: str) -> Column:
+        return number_or(columns, name)
+
+    flags = [count(c) for c in tax.FLAG_COUNTS]
+    found = {alias: count(name) for alias, name in READINGS.items()}
+    found["_seconds"] = F.abs(count("flow_duration")) / F.lit(1e6)
+    found["_flags"] = sum(flags[1:], flags[0])
+    found["_port"] = number_or(columns, "destination_port", -1.0)
+    found["_protocol"] = known("protocol") if "protocol" in columns else F.lit(None).cast("double")
+    return found
+
+
+def derived_columns(columns: list[str]) -> dict[str, Column]:
+    """The derived features, as expressions over :func:`readings`."""
     tiny = F.lit(tax.EPSILON)
-    flags = sum((count(c) for c in tax.FLAG_COUNTS[1:]), count(tax.FLAG_COUNTS[0]))
-    port = count("destination_port", -1.0)
+    seconds, port = F.col("_seconds"), F.col("_port")
+    packets, volume = F.col("_fwd") + F.col("_bwd"), F.col("_fwd_bytes") + F.col("_bwd_bytes")
 
     def capped(rate: Column) -> Column:
-        usable = ~F.isnan(rate) & (F.abs(rate) != F.lit(float("inf")))
-        return F.when(usable, F.least(rate, F.lit(tax.RATE_CEILING)))
+        return F.when(F.abs(rate) < F.lit(float("inf")), F.least(rate, F.lit(tax.RATE_CEILING)))
 
-    size = volume / (packets + tiny)
-    protocol = protocol_name(F.col("protocol")) if "protocol" in columns else F.lit("unknown")
+    given = protocol_name(F.col("protocol"), F.col("_protocol"))
     return {
         "duration_seconds": seconds,
         "packets_per_second": capped(packets / (seconds + tiny)),
         "bytes_per_second": capped(volume / (seconds + tiny)),
-        "fwd_bwd_packet_ratio": capped(fwd / (bwd + F.lit(1.0))),
-        "fwd_bwd_byte_ratio": capped(fwd_bytes / (bwd_bytes + F.lit(1.0))),
-        "avg_packet_size_derived": size,
-        "tcp_flag_density": flags / (packets + tiny),
-        "bytes_per_packet": size,
+        "fwd_bwd_packet_ratio": capped(F.col("_fwd") / (F.col("_bwd") + F.lit(1.0))),
+        "fwd_bwd_byte_ratio": capped(F.col("_fwd_bytes") / (F.col("_bwd_bytes") + F.lit(1.0))),
+        "avg_packet_size_derived": volume / (packets + tiny),
+        "tcp_flag_density": F.col("_flags") / (packets + tiny),
+        "bytes_per_packet": volume / (packets + tiny),
         "is_ephemeral_port": (port >= float(tax.FIRST_EPHEMERAL_PORT)).cast("tinyint"),
         "port_category": port_category(port),
-        "protocol": protocol,
+        "protocol": given if "protocol" in columns else F.lit("unknown"),
     }

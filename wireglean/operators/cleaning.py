@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from wireglean import taxonomy as tax
 from wireglean.functions.numbers import as_double, finite, is_infinite, known
-from wireglean.functions.text import label_family
+from wireglean.functions.text import label_family, label_words
 from wireglean.operators.sampling import class_counts
 from wireglean.session import settle
 
@@ -62,7 +62,8 @@ def find_label_column(flows: DataFrame) -> str:
 def with_families(flows: DataFrame, label_column: str | None = None) -> DataFrame:
     """The label column replaced by ``label``, the attack family ('' where it is missing)."""
     source = label_column or find_label_column(flows)
-    named = flows.withColumn("label", label_family(F.col(source)))
+    words = flows.withColumn("_words", label_words(F.col(source)))
+    named = words.withColumn("label", label_family(F.col("_words"))).drop("_words")
     return named if source == "label" else named.drop(source)
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import types as T
 from wireglean import taxonomy as tax
 from wireglean.functions.numbers import finite
 from wireglean.functions.text import snake_headers
-from wireglean.functions.traffic import derived_columns
+from wireglean.functions.traffic import derived_columns, readings
 
 
 def with_derived_features(flows: DataFrame) -> DataFrame:
-    """All derived features in one projection; ``protocol`` becomes its name."""
-    return flows.withColumns(derived_columns(flows.columns))
+    """Add all derived features; ``protocol`` becomes its name. Projections only."""
+    read = readings(flows.columns)
+    return flows.withColumns(read).withColumns(derived_columns(flows.columns)).drop(*read)
 
 
 def with_binary_target(flows: DataFrame, label: str = "label") -> DataFrame:

@@ -12,38 +12,33 @@ def without_detector(classified: DataFrame) -> DataFrame:
     return classified.withColumns({"anomaly_score": F.lit(0.0), "is_anomaly": F.lit(False)})
 
 
-def risk_parts(columns: list[str]) -> dict[str, Column]:
-    prediction = F.col("prediction")
-    return {
-        "severity": risk.severity_points(prediction),
-        "confidence": risk.confidence_points(prediction, F.col("confidence")),
-        "anomaly": risk.anomaly_points(F.col("anomaly_score")),
-        "traffic": risk.traffic_points(columns),
-    }
-
-
 def with_risk(classified: DataFrame) -> DataFrame:
     """Add ``risk_score``, ``risk_level``, ``risk_components`` and ``indicators``.
 
-    Needs prediction, confidence, anomaly_score and is_anomaly; the traffic part reads
-    the derived features that are present. One projection, no shuffle.
+    Needs prediction, confidence, anomaly_score and is_anomaly, none of them null; the
+    traffic part reads the derived features that are present. Projections only, no shuffle.
     """
-    columns = classified.columns
-    points = classified.withColumns({f"_{k}": part for k, part in risk_parts(columns).items()})
-    parts = {k: F.col(f"_{k}") for k in tax.RISK_WEIGHTS}
+    prediction, flagged = F.col("prediction"), F.col("is_anomaly")
+    read = risk.readings(classified.columns)
+    parts = {
+        "_severity": risk.severity_points(prediction),
+        "_confidence": risk.confidence_points(prediction, F.col("confidence")),
+        "_anomaly": risk.anomaly_points(F.col("anomaly_score")),
+        "_traffic": risk.traffic_points(),
+    }
+    points = classified.withColumns(read).withColumns(parts)
     scored = points.withColumns({
-        "risk_score": risk.blended_score(F.col("prediction"), F.col("is_anomaly"), parts),
+        "risk_score": risk.blended_score(prediction, flagged, {
+            k: F.col(f"_{k}") for k in tax.RISK_WEIGHTS}),
         "risk_components": F.create_map(
-            F.lit("class_severity"), F.bround(parts["severity"], 2),
-            F.lit("model_confidence"), F.bround(parts["confidence"], 2),
-            F.lit("anomaly"), F.bround(parts["anomaly"], 2),
-            F.lit("traffic_characteristics"), F.bround(parts["traffic"], 2),
+            F.lit("class_severity"), F.bround("_severity", 2),
+            F.lit("model_confidence"), F.bround("_confidence", 2),
+            F.lit("anomaly"), F.bround("_anomaly", 2),
+            F.lit("traffic_characteristics"), F.bround("_traffic", 2),
         ),
-        "indicators": risk.indicators(columns, F.col("is_anomaly")),
+        "indicators": risk.indicators(flagged),
     })
-    return scored.withColumn("risk_level", risk.risk_level(F.col("risk_score"))).drop(
-        *[f"_{k}" for k in tax.RISK_WEIGHTS]
-    )
+    return scored.withColumn("risk_level", risk.risk_level(F.col("risk_score"))).drop(*read, *parts)
 
 
 def result_columns(scored: DataFrame) -> dict[str, Column]:

@@ -15,6 +15,7 @@ def local_session(cores: str | int = "*", partitions: int = 8, **conf: str) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
     for key, value in conf.items():
