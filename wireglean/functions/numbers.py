@@ -1,39 +1,67 @@
-"""Numeric reading and rounding."""
+"""Numeric reading and rounding, as Spark SQL expressions.
+
+Expressions of many rules are written as SQL text: Spark parses one text per column, where a
+chain of Column calls would cross to the JVM for every rule. Column names are plain
+identifiers here, as header normalisation gives them.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+INFINITY = "double('Infinity')"
 
-def as_double(column: str | Column) -> Column:
-    """The value as a double, null when it is no number (infinities and NaN stay)."""
-    col = F.col(column) if isinstance(column, str) else column
-    return col.try_cast("double")
 
+def named(column: str) -> str:
+    return f"`{column}`"
 
-def known(column: str | Column) -> Column:
-    """A double with NaN turned into null; infinities stay."""
-    return F.nanvl(as_double(column), F.lit(None).cast("double"))
 
+def case(rules: list[tuple[str, str]], otherwise: str = "NULL") -> str:
+    """``CASE`` over (condition, value) pairs."""
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in rules) + f" ELSE {otherwise} END"
 
-def is_infinite(column: str | Column) -> Column:
-    """True for both infinities, false for every other value and for null."""
-    return F.coalesce(F.abs(as_double(column)) == F.lit(float("inf")), F.lit(False))
 
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def finite(column: str | Column) -> Column:
-    """A double with NaN and both infinities turned into null (Spark orders NaN above infinity)."""
-    value = as_double(column)
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
+def texts(values) -> str:
+    return ", ".join(text(v) for v in values)
+
+
+def known_sql(column: str) -> str:
+    return f"nanvl(try_cast({named(column)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def number_or_sql(columns, name: str, default: float = 0.0) -> str:
+    return f"coalesce({known_sql(name)}, {default!r}D)" if name in columns else f"{default!r}D"
+
+
+def finite_sql(column: str) -> str:
+    # Spark orders NaN above infinity, so this test refuses both.
+    value = f"try_cast({named(column)} AS DOUBLE)"
+    return f"CASE WHEN abs({value}) < {INFINITY} THEN {value} END"
 
-def number_or(frame_columns, name: str, default: float = 0.0) -> Column:
-    """Column ``name`` as a number; ``default`` where it is absent, missing or no number."""
-    if name not in frame_columns:
-        return F.lit(float(default))
-    return F.coalesce(known(name), F.lit(float(default)))
 
+def is_infinite_sql(column: str) -> str:
+    return f"coalesce(abs(try_cast({named(column)} AS DOUBLE)) = {INFINITY}, false)"
 
-def limited(value: Column, low: float, high: float) -> Column:
-    """Limit to [low, high]. For values that are never null: ``least`` and ``greatest`` skip
-    nulls. They name the value once, so nested limits do not multiply the expression."""
-    return F.greatest(F.lit(low), F.least(F.lit(high), value))
+
+def as_double(column: str) -> Column:
+    """The value as a double, null when it is no number (infinities and NaN stay)."""
+    return F.expr(f"try_cast({named(column)} AS DOUBLE)")
+
+
+def known(column: str) -> Column:
+    """A double with NaN turned into null; infinities stay."""
+    return F.expr(known_sql(column))
+
+
+def finite(column: str) -> Column:
+    """A double with NaN and both infinities turned into null."""
+    return F.expr(finite_sql(column))
+
+
+def number_or(columns, name: str, default: float = 0.0) -> Column:
+    """Column ``name`` as a number; ``default`` where it is absent, missing or no number."""
+    return F.expr(number_or_sql(columns, name, default))

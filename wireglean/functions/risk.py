@@ -1,28 +1,20 @@
-"""The 0-100 risk score and its parts."""
+"""The 0-100 risk score and its parts.
+
+The parts are read from columns the scoring operator adds step by step (``_pps``,
+``_severity`` and so on), and every formula names such a column as few times as it can:
+a filter on the result is moved to the scan with all formulas written out.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import finite, limited
-
+from wireglean.functions.numbers import case, finite_sql, text
 
-def severity_points(prediction: Column) -> Column:
-    chain = F.when(F.lit(False), F.lit(0.0))
-    for family, points in tax.SEVERITY.items():
-        chain = chain.when(prediction == family, F.lit(float(points)))
-    return chain.otherwise(F.lit(float(tax.UNKNOWN_SEVERITY)))
 
-
-def confidence_points(prediction: Column, confidence: Column) -> Column:
-    """A sure BENIGN lowers the risk; an attack counts from half confidence upwards."""
-    benign = (F.lit(1.0) - limited(confidence, 0.0, 1.0)) * F.lit(100.0)
-    attack = limited((confidence - F.lit(0.5)) / F.lit(0.5), 0.0, 1.0) * F.lit(100.0)
-    return F.when(prediction == tax.BENIGN, benign).otherwise(attack)
-
-
-def anomaly_points(score: Column) -> Column:
-    return limited(score, 0.0, 1.0) * F.lit(100.0)
+def limited(value: str, low: float, high: float) -> str:
+    """Limit to [low, high]. For values that are never null: ``least`` and ``greatest`` skip nulls."""
+    return f"greatest({low!r}D, least({high!r}D, {value}))"
 
 
 READINGS = {
@@ -34,66 +26,74 @@ READINGS = {
 def readings(columns: list[str]) -> dict[str, Column]:
     """What the traffic rules look at; absent, missing and infinite values read as 0."""
     return {
-        alias: F.coalesce(finite(name), F.lit(0.0)) if name in columns else F.lit(0.0)
+        alias: F.expr(f"coalesce({finite_sql(name)}, 0D)" if name in columns else "0D")
         for alias, name in READINGS.items()
     }
 
 
-def traffic_rules() -> list[tuple[Column, float, Column]]:
+def traffic_rules() -> list[tuple[str, float, str]]:
     """(condition, points, text) of each red flag read off the flow itself."""
-    pps, bps, ratio = F.col("_pps"), F.col("_bps"), F.col("_ratio")
     return [
-        (pps > tax.PACKET_RATE_ALERT, 30.0,
-         F.concat(F.lit("High packet rate ("), F.format_number(pps, 0), F.lit(" pkt/s)"))),
-        (bps > tax.BYTE_RATE_ALERT, 25.0,
-         F.concat(F.lit("High byte rate ("), F.format_number(bps / F.lit(1e6), 1), F.lit(" MB/s)"))),
-        (F.col("_density") > tax.FLAG_DENSITY_ALERT, 20.0,
-         F.lit("Control-flag-dominated flow (near-zero payload)")),
-        (ratio > tax.ASYMMETRY_ALERT, 15.0,
-         F.concat(F.lit("Extreme directional asymmetry ("), F.format_number(ratio, 0),
-                  F.lit(":1 fwd/bwd)"))),
-        ((F.col("_answered") == 0) & (F.col("_sent") > 2), 15.0,
-         F.lit("No response traffic - probe or half-open connection")),
+        (f"_pps > {tax.PACKET_RATE_ALERT}D", 30.0,
+         "concat('High packet rate (', format_number(_pps, 0), ' pkt/s)')"),
+        (f"_bps > {tax.BYTE_RATE_ALERT}D", 25.0,
+         "concat('High byte rate (', format_number(_bps / 1e6D, 1), ' MB/s)')"),
+        (f"_density > {tax.FLAG_DENSITY_ALERT}D", 20.0,
+         "'Control-flag-dominated flow (near-zero payload)'"),
+        (f"_ratio > {tax.ASYMMETRY_ALERT}D", 15.0,
+         "concat('Extreme directional asymmetry (', format_number(_ratio, 0), ':1 fwd/bwd)')"),
+        ("_answered = 0D AND _sent > 2D", 15.0,
+         "'No response traffic - probe or half-open connection'"),
     ]
 
 
 def traffic_points() -> Column:
-    points = [F.when(condition, F.lit(p)).otherwise(F.lit(0.0)) for condition, p, _ in traffic_rules()]
-    return F.least(F.lit(100.0), sum(points[1:], points[0]))
+    points = [case([(condition, f"{p}D")], "0D") for condition, p, _ in traffic_rules()]
+    return F.expr(f"least(100D, {' + '.join(points)})")
+
+
+def indicators() -> Column:
+    """The texts of the rules that hold, and of the detector's flag, in this order."""
+    found = [case([(condition, shown)]) for condition, _, shown in traffic_rules()]
+    found.append(case([("is_anomaly", "'Flagged as anomalous by unsupervised detector'")]))
+    return F.expr(f"array_compact(array({', '.join(found)}))")
+
+
+def severity_points() -> Column:
+    rules = [(f"prediction = {text(family)}", f"{float(p)}D") for family, p in tax.SEVERITY.items()]
+    return F.expr(case(rules, f"{float(tax.UNKNOWN_SEVERITY)}D"))
+
+
+def confidence_points() -> Column:
+    """A sure BENIGN lowers the risk; an attack counts from half confidence upwards."""
+    benign = f"(1D - {limited('confidence', 0.0, 1.0)}) * 100D"
+    attack = f"{limited('(confidence - 0.5D) / 0.5D', 0.0, 1.0)} * 100D"
+    return F.expr(case([(f"prediction = {text(tax.BENIGN)}", benign)], attack))
 
 
-def indicators(is_anomaly: Column) -> Column:
-    texts = [F.when(condition, text) for condition, _, text in traffic_rules()]
-    texts.append(F.when(is_anomaly, F.lit("Flagged as anomalous by unsupervised detector")))
-    return F.array_compact(F.array(*texts))
+def anomaly_points() -> Column:
+    return F.expr(f"{limited('anomaly_score', 0.0, 1.0)} * 100D")
 
 
-def blended_score(prediction: Column, is_anomaly: Column, parts: dict[str, Column]) -> Column:
-    """The weighted blend as an integer; halves round to the even neighbour."""
-    weight = tax.RISK_WEIGHTS
-    raw = (
-        F.lit(weight["severity"]) * parts["severity"]
-        + F.lit(weight["confidence"]) * parts["confidence"]
-        + F.lit(weight["anomaly"]) * parts["anomaly"]
-        + F.lit(weight["traffic"]) * parts["traffic"]
-    )
-    quiet = (prediction == tax.BENIGN) & ~is_anomaly
-    floor = F.when(is_anomaly, F.lit(tax.ANOMALY_FLOOR)).otherwise(F.lit(0.0))
-    damped = raw * F.when(quiet, F.lit(0.5)).otherwise(F.lit(1.0))
-    return F.bround(F.least(F.lit(100.0), F.greatest(floor, damped)), 0).cast("int")
+def blended_score() -> Column:
+    """The weighted blend of the part columns as an integer; halves round to the even neighbour."""
+    blend = " + ".join(f"{weight!r}D * _{part}" for part, weight in tax.RISK_WEIGHTS.items())
+    damped = f"({blend}) * " + case([(f"prediction = {text(tax.BENIGN)} AND NOT is_anomaly", "0.5D")], "1D")
+    floor = case([("is_anomaly", f"{tax.ANOMALY_FLOOR}D")], "0D")
+    return F.expr(f"CAST(bround(least(100D, greatest({floor}, {damped})), 0) AS INT)")
 
 
-def risk_level(score: Column) -> Column:
+def risk_level(score: str = "risk_score") -> Column:
     """The band of a score, looked up so that the score is named once."""
     names, low = [], 0
     for top, name in tax.RISK_BANDS:
-        names += [F.lit(name)] * (top + 1 - low)
+        names += [text(name)] * (top + 1 - low)
         low = top + 1
-    return F.get(F.array(*names), F.bround(limited(score.cast("double"), 0.0, 100.0), 0).cast("int"))
+    at = f"CAST(bround({limited(f'CAST({score} AS DOUBLE)', 0.0, 100.0)}, 0) AS INT)"
+    return F.expr(f"get(array({', '.join(names)}), {at})")
 
 
-def anomaly_band(score: Column) -> Column:
-    chain = F.when(score.isNull(), F.lit(None).cast("string"))
-    for limit, name in tax.ANOMALY_BANDS:
-        chain = chain.when(score < F.lit(limit), name)
-    return chain.otherwise(tax.ANOMALY_TOP_BAND)
+def anomaly_band(score: str = "anomaly_score") -> Column:
+    rules = [(f"{score} IS NULL", "NULL")]
+    rules += [(f"{score} < {limit!r}D", text(name)) for limit, name in tax.ANOMALY_BANDS]
+    return F.expr(case(rules, text(tax.ANOMALY_TOP_BAND)))

@@ -1,12 +1,12 @@
 """Headers, labels and display texts."""
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
+from wireglean.functions.numbers import case, named, text, texts
 
 
 def snake_case(header: str) -> str:
@@ -22,53 +22,51 @@ def snake_headers(headers: list[str]) -> list[str]:
     return [f"{name}_{n}" if n else name for name, n in zip(names, repeats)]
 
 
-def label_words(raw: Column) -> Column:
+def label_words(column: str) -> Column:
     """Label text reduced to lower-case words of letters and digits."""
-    lowered = F.lower(F.trim(raw.cast("string")))
-    return F.trim(F.regexp_replace(lowered, "[^a-z0-9]+", " "))
+    lowered = f"lower(trim(CAST({named(column)} AS STRING)))"
+    return F.expr(f"trim(regexp_replace({lowered}, '[^a-z0-9]+', ' '))")
 
 
-def label_family(words: Column) -> Column:
-    """The attack family of a label's words (see :func:`label_words`).
+def label_family(words: str) -> Column:
+    """The attack family of a label, given the column of its words (see :func:`label_words`).
 
     An exact key wins, then the first key the text contains, then ``Other``. A missing
-    label gives the empty string. Pass a column of words, not the expression: every rule
-    names it.
+    label gives the empty string. The words are a column, because every rule names them.
     """
-    by_family: dict[str, list[str]] = {}
+    keys_of: dict[str, list[str]] = {}
     for key, family in tax.LABEL_FAMILIES:
-        by_family.setdefault(family, []).append(key)
-    rules = [(words.isin(keys), family) for family, keys in by_family.items()]
-    rules += [(words.contains(key), family) for key, family in tax.LABEL_FAMILIES]
-    missing = words.isNull() | words.isin("", "nan")
-    chain = reduce(lambda c, rule: c.when(rule[0], rule[1]), rules, F.when(missing, ""))
-    return chain.otherwise(tax.OTHER)
+        keys_of.setdefault(family, []).append(key)
+    rules = [(f"{words} IS NULL OR {words} IN ('', 'nan')", "''")]
+    rules += [(f"{words} IN ({texts(keys)})", text(family)) for family, keys in keys_of.items()]
+    rules += [(f"contains({words}, {text(key)})", text(family)) for key, family in tax.LABEL_FAMILIES]
+    return F.expr(case(rules, text(tax.OTHER)))
 
 
-def masked_ip(address: Column) -> Column:
+def masked_ip(column: str) -> Column:
     """Keep the first two octets of an IPv4 address; other text is unchanged."""
-    text = address.cast("string")
-    parts = F.split(text, r"\.")
-    masked = F.concat(parts[0], F.lit("."), parts[1], F.lit(".x.x"))
-    return F.when(F.size(parts) == 4, masked).otherwise(text)
+    address = f"CAST({named(column)} AS STRING)"
+    octets = f"split({address}, '[.]')"
+    return F.expr(f"CASE WHEN size({octets}) = 4 "
+                  f"THEN concat({octets}[0], '.', {octets}[1], '.x.x') ELSE {address} END")
 
 
-def display_name(feature: Column) -> Column:
-    """The reader-facing name of a model feature."""
-    chain = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, shown in tax.DISPLAY_NAMES.items():
-        chain = chain.when(feature == name, shown)
-    for prefix, title in (("port_category_", "Service: "), ("protocol_", "Protocol: ")):
-        rest = F.substring(feature, F.lit(len(prefix) + 1), F.length(feature))
-        chain = chain.when(feature.startswith(prefix), F.concat(F.lit(title), rest))
-    return chain.otherwise(F.initcap(F.replace(feature, F.lit("_"), F.lit(" "))))
+PREFIXES = [("port_category_", "Service: "), ("protocol_", "Protocol: ")]
+
+
+def display_name(feature: str) -> Column:
+    """The reader-facing name of the model feature in a column."""
+    rules = [(f"{feature} = {text(name)}", text(shown)) for name, shown in tax.DISPLAY_NAMES.items()]
+    rules += [(f"startswith({feature}, {text(prefix)})",
+               f"concat({text(title)}, substr({feature}, {len(prefix) + 1}))") for prefix, title in PREFIXES]
+    return F.expr(case(rules, f"initcap(replace({feature}, '_', ' '))"))
 
 
 def display_text(feature: str) -> str:
     """The same name for a feature known on the driver, such as a model's column list."""
     if feature in tax.DISPLAY_NAMES:
         return tax.DISPLAY_NAMES[feature]
-    for prefix, title in (("port_category_", "Service: "), ("protocol_", "Protocol: ")):
+    for prefix, title in PREFIXES:
         if feature.startswith(prefix):
             return title + feature[len(prefix):]
     return feature.replace("_", " ").title()

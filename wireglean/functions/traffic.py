@@ -4,35 +4,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import known, number_or
+from wireglean.functions.numbers import INFINITY, case, known_sql, number_or_sql, text
 
 
-def port_category(number: Column) -> Column:
-    """The service bucket of a port number; a missing or negative port is ``unknown``."""
-    chain = F.when(number.isNull(), "unknown")
-    for service, ports in tax.SERVICE_PORTS:
-        chain = chain.when(number.isin([float(p) for p in ports]), service)
-    for bucket, low, high in tax.PORT_RANGES:
-        chain = chain.when(number.between(float(low), float(high)), bucket)
-    return chain.when(number >= float(tax.FIRST_EPHEMERAL_PORT), "ephemeral").otherwise("unknown")
+def port_category_sql(number: str) -> str:
+    rules = [(f"{number} IS NULL", "'unknown'")]
+    rules += [(f"{number} IN ({', '.join(f'{p}D' for p in ports)})", text(service))
+              for service, ports in tax.SERVICE_PORTS]
+    rules += [(f"{number} BETWEEN {low}D AND {high}D", text(bucket)) for bucket, low, high in tax.PORT_RANGES]
+    rules += [(f"{number} >= {tax.FIRST_EPHEMERAL_PORT}D", "'ephemeral'")]
+    return case(rules, "'unknown'")
 
 
-def protocol_name(protocol: Column, number: Column | None = None) -> Column:
-    """Decided row by row, so a batch and a stream agree: a number becomes its name or
-    ``other``, a missing value ``unknown``, and text stays as it is."""
-    number = known(protocol) if number is None else number
-    chain = F.when(F.lit(False), "")
-    for value, name in tax.PROTOCOL_NAMES.items():
-        chain = chain.when(number == float(value), name)
-    text = protocol.cast("string")
-    missing = text.isNull() | (F.lower(text) == "nan")
-    return chain.when(number.isNotNull(), "other").when(missing, "unknown").otherwise(text)
+def port_category(number: str) -> Column:
+    """The service bucket of a column of port numbers; a missing or negative port is ``unknown``."""
+    return F.expr(port_category_sql(number))
+
+
+def protocol_name_sql(column: str, number: str) -> str:
+    rules = [(f"{number} = {value}D", text(name)) for value, name in tax.PROTOCOL_NAMES.items()]
+    rules += [(f"{number} IS NOT NULL", "'other'"),
+              (f"{column} IS NULL OR lower(CAST({column} AS STRING)) = 'nan'", "'unknown'")]
+    return case(rules, f"CAST({column} AS STRING)")
 
 
-READINGS = {
-    "_fwd": "total_fwd_packets", "_bwd": "total_backward_packets",
-    "_fwd_bytes": "total_length_of_fwd_packets", "_bwd_bytes": "total_length_of_bwd_packets",
-}
+def protocol_name(column: str) -> Column:
+    """Decided row by row, so a batch and a stream agree: a number becomes its name or
+    ``other``, a missing value ``unknown``, and text stays as it is."""
+    return F.expr(protocol_name_sql(column, known_sql(column)))
 
 
 def readings(columns: list[str]) -> dict[str, Column]:
@@ -41,38 +40,41 @@ def readings(columns: list[str]) -> dict[str, Column]:
     They are columns first because each is used several times.
     """
 
-    def count(name: str) -> Column:
-        return number_or(columns, name)
-
-    flags = [count(c) for c in tax.FLAG_COUNTS]
-    found = {alias: count(name) for alias, name in READINGS.items()}
-    found["_seconds"] = F.abs(count("flow_duration")) / F.lit(1e6)
-    found["_flags"] = sum(flags[1:], flags[0])
-    found["_port"] = number_or(columns, "destination_port", -1.0)
-    found["_protocol"] = known("protocol") if "protocol" in columns else F.lit(None).cast("double")
-    return found
+    def count(name: str, default: float = 0.0) -> str:
+        return number_or_sql(columns, name, default)
+
+    found = {
+        "_fwd": count("total_fwd_packets"),
+        "_bwd": count("total_backward_packets"),
+        "_fwd_bytes": count("total_length_of_fwd_packets"),
+        "_bwd_bytes": count("total_length_of_bwd_packets"),
+        "_seconds": f"abs({count('flow_duration')}) / 1e6D",
+        "_flags": " + ".join(count(c) for c in tax.FLAG_COUNTS),
+        "_port": count("destination_port", -1.0),
+        "_protocol": known_sql("protocol") if "protocol" in columns else "CAST(NULL AS DOUBLE)",
+    }
+    return {name: F.expr(sql) for name, sql in found.items()}
 
 
 def derived_columns(columns: list[str]) -> dict[str, Column]:
     """The derived features, as expressions over :func:`readings`."""
-    tiny = F.lit(tax.EPSILON)
-    seconds, port = F.col("_seconds"), F.col("_port")
-    packets, volume = F.col("_fwd") + F.col("_bwd"), F.col("_fwd_bytes") + F.col("_bwd_bytes")
-
-    def capped(rate: Column) -> Column:
-        return F.when(F.abs(rate) < F.lit(float("inf")), F.least(rate, F.lit(tax.RATE_CEILING)))
-
-    given = protocol_name(F.col("protocol"), F.col("_protocol"))
-    return {
-        "duration_seconds": seconds,
-        "packets_per_second": capped(packets / (seconds + tiny)),
-        "bytes_per_second": capped(volume / (seconds + tiny)),
-        "fwd_bwd_packet_ratio": capped(F.col("_fwd") / (F.col("_bwd") + F.lit(1.0))),
-        "fwd_bwd_byte_ratio": capped(F.col("_fwd_bytes") / (F.col("_bwd_bytes") + F.lit(1.0))),
-        "avg_packet_size_derived": volume / (packets + tiny),
-        "tcp_flag_density": F.col("_flags") / (packets + tiny),
-        "bytes_per_packet": volume / (packets + tiny),
-        "is_ephemeral_port": (port >= float(tax.FIRST_EPHEMERAL_PORT)).cast("tinyint"),
-        "port_category": port_category(port),
-        "protocol": given if "protocol" in columns else F.lit("unknown"),
+    tiny = f"{tax.EPSILON!r}D"
+
+    def capped(rate: str) -> str:
+        return f"CASE WHEN abs({rate}) < {INFINITY} THEN least({rate}, {tax.RATE_CEILING!r}D) END"
+
+    size = f"(_fwd_bytes + _bwd_bytes) / (_fwd + _bwd + {tiny})"
+    found = {
+        "duration_seconds": "_seconds",
+        "packets_per_second": capped(f"(_fwd + _bwd) / (_seconds + {tiny})"),
+        "bytes_per_second": capped(f"(_fwd_bytes + _bwd_bytes) / (_seconds + {tiny})"),
+        "fwd_bwd_packet_ratio": capped("_fwd / (_bwd + 1D)"),
+        "fwd_bwd_byte_ratio": capped("_fwd_bytes / (_bwd_bytes + 1D)"),
+        "avg_packet_size_derived": size,
+        "tcp_flag_density": f"_flags / (_fwd + _bwd + {tiny})",
+        "bytes_per_packet": size,
+        "is_ephemeral_port": f"CAST(_port >= {tax.FIRST_EPHEMERAL_PORT}D AS TINYINT)",
+        "port_category": port_category_sql("_port"),
+        "protocol": protocol_name_sql("protocol", "_protocol") if "protocol" in columns else "'unknown'",
     }
+    return {name: F.expr(sql) for name, sql in found.items()}

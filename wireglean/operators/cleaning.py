@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import as_double, finite, is_infinite, known
+from wireglean.functions.numbers import as_double, finite, is_infinite_sql, known
 from wireglean.functions.text import label_family, label_words
 from wireglean.operators.sampling import class_counts
 from wireglean.session import settle
@@ -59,16 +59,25 @@ def find_label_column(flows: DataFrame) -> str:
     raise KeyError(f"none of {tax.LABEL_COLUMNS} among {sorted(flows.columns)}")
 
 
-def with_families(flows: DataFrame, label_column: str | None = None) -> DataFrame:
-    """The label column replaced by ``label``, the attack family ('' where it is missing)."""
+def _families(flows: DataFrame, label_column: str | None, only_labelled: bool) -> DataFrame:
     source = label_column or find_label_column(flows)
-    words = flows.withColumn("_words", label_words(F.col(source)))
-    named = words.withColumn("label", label_family(F.col("_words"))).drop("_words")
+    words = flows.withColumn("_words", label_words(source))
+    if only_labelled:
+        # Asked of the words, not of the family: the optimizer moves the filter to the scan
+        # and there it would repeat the whole chain of label rules.
+        words = words.where(F.col("_words").isNotNull() & ~F.col("_words").isin("", "nan"))
+    named = words.withColumn("label", label_family("_words")).drop("_words")
     return named if source == "label" else named.drop(source)
 
 
-def labelled_rows(flows: DataFrame) -> DataFrame:
-    return flows.where(F.col("label") != "")
+def with_families(flows: DataFrame, label_column: str | None = None) -> DataFrame:
+    """The label column replaced by ``label``, the attack family ('' where it is missing)."""
+    return _families(flows, label_column, only_labelled=False)
+
+
+def labelled_rows(flows: DataFrame, label_column: str | None = None) -> DataFrame:
+    """The same without the rows that have no label."""
+    return _families(flows, label_column, only_labelled=True)
 
 
 def leakage_columns(flows: DataFrame) -> list[str]:
@@ -90,8 +99,7 @@ def _may_be_infinite(dtype: T.DataType) -> bool:
 def infinities_in_row(flows: DataFrame) -> Column:
     """How many columns of the row, but for the label, hold an infinity."""
     columns = [f.name for f in flows.schema.fields if f.name != "label" and _may_be_infinite(f.dataType)]
-    flags = [is_infinite(c).cast("int") for c in columns]
-    return sum(flags[1:], flags[0]) if flags else F.lit(0)
+    return F.expr(" + ".join(f"CAST({is_infinite_sql(c)} AS INT)" for c in columns) or "0")
 
 
 def profile(flows: DataFrame, untyped_text: bool = False) -> Profile:
@@ -114,7 +122,7 @@ def profile(flows: DataFrame, untyped_text: bool = False) -> Profile:
                 F.min(f"_x{i}").alias(f"lo{i}"), F.max(f"_x{i}").alias(f"hi{i}"),
             ]
         elif _is_numeric(f.dataType):
-            values[f"_x{i}"] = finite(F.col(f.name).cast("double"))
+            values[f"_x{i}"] = finite(f.name)
             aggregates += [F.min(f"_x{i}").alias(f"lo{i}"), F.max(f"_x{i}").alias(f"hi{i}")]
         else:
             aggregates += [F.count(f.name).alias(f"filled{i}")]
@@ -172,12 +180,10 @@ def without_rare_classes(flows: DataFrame, counts: dict[str, int],
 def prepared(flows: DataFrame, label_column: str | None = None,
              untyped_text: bool = False) -> tuple[DataFrame, Profile, list[str]]:
     """Everything before de-duplication: families, leakage, types, useless columns."""
-    table = with_families(flows, label_column)
-    leaking = leakage_columns(table)
-    table = table.drop(*leaking)
-    found = profile(table, untyped_text)
-    table = without_useless_columns(coerced(labelled_rows(table), found.types), found)
-    return table, found, leaking
+    leaking = leakage_columns(flows)
+    found = profile(with_families(flows, label_column).drop(*leaking), untyped_text)
+    table = labelled_rows(flows, label_column).drop(*leaking)
+    return without_useless_columns(coerced(table, found.types), found), found, leaking
 
 
 def clean(flows: DataFrame, label_column: str | None = None,

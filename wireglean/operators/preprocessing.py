@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import finite
+from wireglean.functions.numbers import case, finite, finite_sql, text, texts
 from wireglean.operators.features import aligned, with_derived_features
 from wireglean.operators.order_statistics import quantiles
 
@@ -40,27 +40,27 @@ class Preprocessor:
             names += [f"{column}_{RARE}"] if self.rare[column] else []
         return names
 
-    def scaled(self, column: str) -> Column:
-        value = F.coalesce(finite(F.col(column).cast("double")), F.lit(self.medians[column]))
-        return (value - F.lit(self.medians[column])) / F.lit(self.scales[column])
+    def scaled(self, column: str) -> str:
+        median, scale = f"{self.medians[column]!r}D", f"{self.scales[column]!r}D"
+        return f"(coalesce({finite_sql(column)}, {median}) - {median}) / {scale}"
 
-    def encoded(self, column: str) -> list[Column]:
-        """One 0/1 column per frequent value, one for all rare ones; an unseen value is all zeros."""
-        value = F.col(column)
-        tests = [value == F.lit(v) for v in self.frequent[column]]
-        tests += [value.isin(self.rare[column])] if self.rare[column] else []
-        return [F.when(test, 1.0).otherwise(0.0) for test in tests]
+    def encoded(self, column: str) -> list[str]:
+        """One 0/1 value per frequent category, one for all rare ones; an unseen one is all zeros."""
+        tests = [f"{column} = {text(v)}" for v in self.frequent[column]]
+        tests += [f"{column} IN ({texts(self.rare[column])})"] if self.rare[column] else []
+        return [case([(test, "1D")], "0D") for test in tests]
 
-    def feature_columns(self) -> list[Column]:
-        columns = [self.scaled(c) for c in self.numeric]
+    def feature_array(self) -> Column:
+        """All features of a row, in the order of :meth:`feature_names`."""
+        values = [self.scaled(c) for c in self.numeric]
         for column in tax.CATEGORICAL_FEATURES:
-            columns += self.encoded(column)
-        return columns
+            values += self.encoded(column)
+        return F.expr(f"array({', '.join(values)})")
 
     def transform(self, flows: DataFrame, keep: list[str] = ()) -> DataFrame:
         """Derived features plus the vector ``features``; as many rows as came in."""
         derived = with_derived_features(aligned(flows, self.raw_columns, keep))
-        return derived.withColumn("features", array_to_vector(F.array(*self.feature_columns())))
+        return derived.withColumn("features", array_to_vector(self.feature_array()))
 
     def parameter_table(self, spark) -> DataFrame:
         rows = [(c, self.medians[c], self.scales[c]) for c in self.numeric]
@@ -93,7 +93,7 @@ def fit_preprocessor(train: DataFrame, raw_columns: list[str],
              if c not in tax.CATEGORICAL_FEATURES]
     facts = derived.agg(
         F.count("*").alias("rows"),
-        *[F.count(finite(F.col(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(names)],
+        *[F.count(finite(c)).alias(f"n{i}") for i, c in enumerate(names)],
     ).first()
     rows = facts["rows"]
     filled = {c: facts[f"n{i}"] for i, c in enumerate(names)}
@@ -105,7 +105,7 @@ def fit_preprocessor(train: DataFrame, raw_columns: list[str],
     gappy = [c for c in numeric if filled[c] < rows]
     if gappy:
         imputed = derived.select(*[
-            F.coalesce(finite(F.col(c).cast("double")), F.lit(medians[c])).alias(c) for c in gappy
+            F.coalesce(finite(c), F.lit(medians[c])).alias(c) for c in gappy
         ])
         for (_, c), (low, high) in quantiles(imputed, gappy, [0.05, 0.95]).items():
             found[c] = [low, medians[c], high]

@@ -57,7 +57,7 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None) -> DataFram
     columns = columns or numeric_columns(df)
     aggregates = []
     for i, c in enumerate(columns):
-        value = finite(F.col(c).cast("double"))
+        value = finite(c)
         aggregates += [F.avg(value).alias(f"mean{i}"), F.stddev_samp(value).alias(f"std{i}"),
                        F.min(value).alias(f"min{i}"), F.max(value).alias(f"max{i}")]
     names = {"mean": "mean", "std": "std", "min": "min", "max": "max"}
@@ -70,7 +70,7 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 def class_box_table(df: DataFrame, features: list[str], label: str = "label") -> DataFrame:
     """Five numbers of log1p(feature, not below 0) per class: (label, feature, share, value)."""
-    values = {f: finite(F.col(f).cast("double")) for f in features}
+    values = {f: finite(f) for f in features}
     squeezed = df.select(label, *[
         F.when(v.isNotNull(), F.log1p(F.greatest(v, F.lit(0.0)))).alias(f) for f, v in values.items()
     ])
@@ -125,7 +125,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     sums exact enough.
     """
     columns = columns or numeric_columns(df)
-    values = {c: finite(F.col(c).cast("double")) for c in columns}
+    values = {c: finite(c) for c in columns}
     table = df.select(*[v.alias(c) for c, v in values.items()])
     facts = table.agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(columns)],
                       *[F.max(F.abs(f"`{c}`")).alias(f"a{i}") for i, c in enumerate(columns)]).first()
@@ -190,8 +190,8 @@ def top_threats(scored: DataFrame, k: int = 25, tie: str = "flow_id") -> DataFra
         .orderBy(F.desc("risk_score"), tie).limit(k)
     )
     shown = {
-        "source": masked_ip(F.col("source_ip")) if "source_ip" in scored.columns else F.lit("—"),
-        "destination": masked_ip(F.col("destination_ip")) if "destination_ip" in scored.columns else F.lit("—"),
+        "source": masked_ip("source_ip") if "source_ip" in scored.columns else F.lit("—"),
+        "destination": masked_ip("destination_ip") if "destination_ip" in scored.columns else F.lit("—"),
         "port": F.col("destination_port"),
         "attack": F.col("prediction"),
         "risk": F.col("risk_score"),

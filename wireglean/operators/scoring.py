@@ -18,27 +18,23 @@ def with_risk(classified: DataFrame) -> DataFrame:
     Needs prediction, confidence, anomaly_score and is_anomaly, none of them null; the
     traffic part reads the derived features that are present. Projections only, no shuffle.
     """
-    prediction, flagged = F.col("prediction"), F.col("is_anomaly")
     read = risk.readings(classified.columns)
     parts = {
-        "_severity": risk.severity_points(prediction),
-        "_confidence": risk.confidence_points(prediction, F.col("confidence")),
-        "_anomaly": risk.anomaly_points(F.col("anomaly_score")),
+        "_severity": risk.severity_points(),
+        "_confidence": risk.confidence_points(),
+        "_anomaly": risk.anomaly_points(),
         "_traffic": risk.traffic_points(),
     }
     points = classified.withColumns(read).withColumns(parts)
     scored = points.withColumns({
-        "risk_score": risk.blended_score(prediction, flagged, {
-            k: F.col(f"_{k}") for k in tax.RISK_WEIGHTS}),
-        "risk_components": F.create_map(
-            F.lit("class_severity"), F.bround("_severity", 2),
-            F.lit("model_confidence"), F.bround("_confidence", 2),
-            F.lit("anomaly"), F.bround("_anomaly", 2),
-            F.lit("traffic_characteristics"), F.bround("_traffic", 2),
+        "risk_score": risk.blended_score(),
+        "risk_components": F.expr(
+            "map('class_severity', bround(_severity, 2), 'model_confidence', bround(_confidence, 2), "
+            "'anomaly', bround(_anomaly, 2), 'traffic_characteristics', bround(_traffic, 2))"
         ),
-        "indicators": risk.indicators(flagged),
+        "indicators": risk.indicators(),
     })
-    return scored.withColumn("risk_level", risk.risk_level(F.col("risk_score"))).drop(*read, *parts)
+    return scored.withColumn("risk_level", risk.risk_level()).drop(*read, *parts)
 
 
 def result_columns(scored: DataFrame) -> dict[str, Column]:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
 from wireglean.functions import risk
-from wireglean.functions.numbers import known, number_or
+from wireglean.functions.numbers import number_or
 from wireglean.functions.text import display_name, masked_ip
 from wireglean.functions.traffic import port_category, protocol_name
 from wireglean.operators import cleaning, features, validation
@@ -15,7 +15,7 @@ from wireglean.plans.fixtures import raw_flows, with_stand_in_prediction
 
 
 def labelled(spark, sf_dir):
-    return cleaning.labelled_rows(cleaning.with_families(raw_flows(spark, sf_dir)))
+    return cleaning.labelled_rows(raw_flows(spark, sf_dir))
 
 
 def derived(spark, sf_dir):
@@ -74,8 +74,8 @@ PORT = "CASE WHEN flow_id % 17 = 0 THEN 70000 WHEN flow_id % 19 = 0 THEN NULL "
 @query("b4_port_category", O.FLOWS + f", t AS (SELECT flow_id, {PORT} AS port FROM raw_flows) "
        f"SELECT flow_id, {O.port_sql('port')} AS category FROM t")
 def b4(spark, sf_dir):
-    table = raw_flows(spark, sf_dir).select("flow_id", known(F.expr(PORT)).alias("port"))
-    return table.select("flow_id", port_category(F.col("port")).alias("category"))
+    table = raw_flows(spark, sf_dir).select("flow_id", F.expr(PORT).cast("double").alias("port"))
+    return table.select("flow_id", port_category("port").alias("category"))
 
 
 PROTOCOL = "CASE WHEN flow_id % 31 = 0 THEN NULL WHEN flow_id % 37 = 0 THEN flow_id % 100 ELSE protocol END"
@@ -85,7 +85,7 @@ PROTOCOL = "CASE WHEN flow_id % 31 = 0 THEN NULL WHEN flow_id % 37 = 0 THEN flow
        f"SELECT flow_id, {O.protocol_sql('p')} AS protocol FROM t")
 def b5(spark, sf_dir):
     table = raw_flows(spark, sf_dir).select("flow_id", F.expr(PROTOCOL).alias("p"))
-    return table.select("flow_id", protocol_name(F.col("p")).alias("protocol"))
+    return table.select("flow_id", protocol_name("p").alias("protocol"))
 
 
 def _derived_query(name: str, columns: list[str]):
@@ -121,10 +121,8 @@ _derived_query("b12_derived_features", [*tax.DERIVED_FEATURES, *tax.CATEGORICAL_
     AS destination FROM raw_flows""")
 def b13(spark, sf_dir):
     named = F.when(F.col("flow_id") % 7 == 0, F.concat(F.lit("gateway-"), F.col("flow_id").cast("string")))
-    return raw_flows(spark, sf_dir).select(
-        "flow_id", masked_ip(F.col("source_ip")).alias("source"),
-        masked_ip(F.coalesce(named, F.col("destination_ip"))).alias("destination"),
-    )
+    table = raw_flows(spark, sf_dir).withColumn("peer", F.coalesce(named, F.col("destination_ip")))
+    return table.select("flow_id", masked_ip("source_ip").alias("source"), masked_ip("peer").alias("destination"))
 
 
 SPOILED = {
@@ -192,7 +190,7 @@ def b17(spark, sf_dir):
 @query("b18_anomaly_band", O.PREDICTED + """SELECT flow_id, CASE WHEN anomaly_score < 0.35::DOUBLE THEN 'NORMAL'
   WHEN anomaly_score < 0.70::DOUBLE THEN 'SUSPICIOUS' ELSE 'CRITICAL' END AS band FROM predicted""")
 def b18(spark, sf_dir):
-    return predicted(spark, sf_dir).select("flow_id", risk.anomaly_band(F.col("anomaly_score")).alias("band"))
+    return predicted(spark, sf_dir).select("flow_id", risk.anomaly_band().alias("band"))
 
 
 @query("b19_display_name", O.DERIVED + f""", named AS (
@@ -208,7 +206,7 @@ def b19(spark, sf_dir):
     plain = spark.createDataFrame([(c,) for c in names], "feature string")
     features_seen = table.select(F.explode(encoded).alias("feature")).unionByName(plain)
     return features_seen.groupBy("feature").agg(F.count("*").alias("n")).select(
-        "feature", display_name(F.col("feature")).alias("shown"), "n")
+        "feature", display_name("feature").alias("shown"), "n")
 
 
 @query("b20_high_risk_filter", O.SCORED + """SELECT flow_id, prediction, CAST(risk_score AS BIGINT) AS risk_score, risk_level
