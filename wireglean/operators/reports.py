@@ -165,10 +165,8 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 def timeline(scored: DataFrame, when: str = "timestamp", every: str = "30 minutes") -> DataFrame:
     """Flows per time bucket: total, malicious, benign. Buckets without flows count 0;
     rows whose time cannot be read are left out."""
-    if dict(scored.dtypes)[when] == "string":
-        moment: Column = F.try_to_timestamp(F.col(when))
-    else:
-        moment = F.col(when).cast("timestamp")
+    kind = dict(scored.dtypes)[when]
+    moment: Column = F.try_to_timestamp(F.col(when)) if kind == "string" else F.col(when)
     counts = (
         scored.select(moment.alias("_at"), (F.col("prediction") != tax.BENIGN).alias("_bad"))
         .where("_at is not null")
