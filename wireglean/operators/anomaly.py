@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,7 +198,11 @@ def fit_detector(train: DataFrame, label: str = "label", vector: str = "features
         benign = train
     forest = fit_forest(benign, vector, trees, subsample, seed)
     mixed = hash_sample(train, tax.CALIBRATION_ROWS, seed)
-    scores = {name: t.select(raw_score(forest, F.col(vector)).alias("raw"))
+    # Scored once: finding quantiles reads the scores several times.
+    scores = {name: t.select(raw_score(forest, F.col(vector)).alias("raw")).persist(StorageLevel.MEMORY_AND_DISK)
               for name, t in {"mixed": mixed, "benign": benign}.items()}
     low, high, threshold = calibration(scores["mixed"], scores["benign"], "raw", contamination)
-    return Detector(forest, low, high, threshold, contamination, benign.count())
+    trained_on = scores["benign"].count()
+    for table in scores.values():
+        table.unpersist()
+    return Detector(forest, low, high, threshold, contamination, trained_on)

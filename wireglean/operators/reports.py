@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import finite
+from wireglean.functions.numbers import finite, texts
 from wireglean.functions.text import masked_ip
 from wireglean.operators.features import numeric_columns
 from wireglean.operators.order_statistics import quantile_table
@@ -24,26 +24,40 @@ def _long(row: DataFrame, columns: list[str], fields: dict[str, str]) -> DataFra
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, missing cells, their percentage and the distinct values of every column.
 
-    Exact by default. ``approximate`` counts the distinct values by sketch, which needs
-    no shuffle of the cells.
+    Exact by default: the cells meet as (column, value) pairs, combined before the shuffle,
+    so one pass counts them all and a frequent value is one record per task. (One
+    ``count_distinct`` per column would send a whole row for each of its cells.)
+    ``approximate`` counts the distinct values by sketch and shuffles no cells.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    aggregates = [F.count("*").alias("rows")]
-    for i, f in enumerate(df.schema.fields):
+    fields = df.schema.fields
+    values = []
+    for f in fields:
         real = f.dataType.typeName() in ("double", "float")
-        value = F.nanvl(f.name, F.lit(None).cast(f.dataType)) if real else F.col(f.name)
-        aggregates += [F.count(value).alias(f"filled{i}"), distinct(value).alias(f"distinct{i}")]
-    row = df.agg(*aggregates)
-    entries = [
-        F.struct(
-            F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
-            (F.col("rows") - F.col(f"filled{i}")).alias("missing"),
-            F.round(F.try_divide(F.col("rows") - F.col(f"filled{i}"), F.col("rows")) * 100, 2).alias("missing_pct"),
-            F.col(f"distinct{i}").alias("distinct_values"),
+        # Adding 0 makes one value of both zeros.
+        values.append(F.nanvl(f.name, F.lit(None).cast(f.dataType)) + F.lit(0.0) if real else F.col(f.name))
+    if approximate:
+        row = df.agg(F.count("*").alias("rows"), *[F.count(v).alias(f"filled{i}") for i, v in enumerate(values)],
+                     *[F.approx_count_distinct(v).alias(f"distinct{i}") for i, v in enumerate(values)])
+        counted = row.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("at"), "rows", F.col(f"filled{i}").alias("filled"),
+                     F.col(f"distinct{i}").alias("distinct_values")) for i in range(len(fields))])))
+    else:
+        cells = [F.struct(F.lit(i).alias("at"), v.cast("string").alias("value")) for i, v in enumerate(values)]
+        counted = (
+            df.select(F.inline(F.array(*cells))).groupBy("at", "value").agg(F.count("*").alias("n"))
+            .groupBy("at").agg(F.sum("n").alias("rows"),
+                               F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("filled"),
+                               F.count("value").alias("distinct_values"))
+            .fillna(0, ["filled"])
         )
-        for i, f in enumerate(df.schema.fields)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    names = F.expr(f"array({texts(f.name for f in fields)})")
+    types = F.expr(f"array({texts(f.dataType.simpleString() for f in fields)})")
+    missing = F.col("rows") - F.col("filled")
+    return counted.select(
+        F.get(names, F.col("at")).alias("column"), F.get(types, F.col("at")).alias("dtype"),
+        missing.alias("missing"),
+        F.round(F.try_divide(missing, F.col("rows")) * 100, 2).alias("missing_pct"), "distinct_values",
+    )
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -174,9 +188,12 @@ def timeline(scored: DataFrame, when: str = "timestamp", every: str = "30 minute
         .agg(F.count("*").alias("total"), F.count_if("_bad").alias("malicious"))
     )
     span = counts.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
-    calendar = span.select(
-        F.explode(F.sequence("first", "last", F.expr(f"interval {every}"))).alias("bucket")
+    # In two steps, so that one stray year among the times does not make one huge array.
+    stretches = span.select(
+        "last", F.explode(F.expr(f"sequence(first, last, interval {every} * 1000)")).alias("start")
     )
+    calendar = stretches.select(F.explode(F.expr(
+        f"sequence(start, least(start + interval {every} * 999, last), interval {every})")).alias("bucket"))
     filled = calendar.join(counts, "bucket", "left").fillna(0, ["total", "malicious"])
     return filled.withColumn("benign", F.col("total") - F.col("malicious"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wireglean import taxonomy as tax
 from wireglean.operators import cleaning, preprocessing, sampling
 from wireglean.operators.features import feature_columns, with_derived_features
-from wireglean.operators.order_statistics import quantile_table
+from wireglean.operators.order_statistics import quantile_table, quantiles
 from wireglean.plans import oracle as O
 from wireglean.plans.catalog import query, rounded
 from wireglean.plans.fixtures import raw_flows
@@ -267,9 +267,21 @@ def e5(spark, sf_dir):
     )
 
 
-@query("x1_exact_quantiles", O.LABELLED + " UNION ALL ".join(
+_NARROWED = O.LABELLED + " UNION ALL ".join(
     f" SELECT label, '{c}' AS feature, {q}::DOUBLE AS share, round(quantile_cont({c}, {q}), 4) AS value "
-    f"FROM labelled GROUP BY label" for c in ("flow_duration", "flow_iat_mean") for q in (0.05, 0.5, 0.95)))
+    f"FROM labelled GROUP BY label" for c in ("flow_duration", "flow_iat_mean") for q in (0.05, 0.5, 0.95))
+
+
+@query("x2_quantiles_by_narrowing", _NARROWED)
+def x2(spark, sf_dir):
+    """The way big tables take, whatever the size of this one."""
+    columns, shares = ["flow_duration", "flow_iat_mean"], [0.05, 0.5, 0.95]
+    found = quantiles(labelled(spark, sf_dir), columns, shares, by="label", small_cells=0)
+    rows = [(g, c, s, v) for (g, c), vs in found.items() for s, v in zip(shares, vs)]
+    return rounded(spark.createDataFrame(rows, "label string, feature string, share double, value double"), 4)
+
+
+@query("x1_exact_quantiles", _NARROWED)
 def x1(spark, sf_dir):
     """Per class, which shows the order statistics on a group that holds half the rows."""
     table = labelled(spark, sf_dir)

@@ -86,6 +86,15 @@ def json_table(spark: SparkSession, document: dict) -> DataFrame:
     return rows.select(F.from_json("value", F.schema_of_json(F.lit(text))).alias("d")).select("d.*")
 
 
+ROWS_PER_PARTITION = 3_000
+
+
+def spread(rows: DataFrame, n: int) -> DataFrame:
+    """Partitions for fitting: an iteration is one short task per partition, so few rows want few."""
+    most = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(most, n // ROWS_PER_PARTITION)))
+
+
 def matrix(rows: DataFrame, preprocessor: Preprocessor, classes: list[str], keep: list[str]) -> DataFrame:
     """(features, label_index and the kept columns) for fitting and evaluation."""
     index = F.expr(f"CAST(array_position(array({texts(classes)}), label) - 1 AS DOUBLE)")
@@ -123,7 +132,7 @@ def cross_validated(train: DataFrame, name: str, classes: list[str], raw_columns
         outside = parts.where(F.col("fold") == fold).drop("fold")
         preprocessor = fit_preprocessor(inside, raw_columns)
         weighted = sampling.balanced_weights(inside)
-        rows = matrix(weighted, preprocessor, classes, ["label", "weight"]).persist()
+        rows = spread(matrix(weighted, preprocessor, classes, ["label", "weight"]), inside.count()).persist()
         model = models.fit_candidate(name, rows, settings)
         rows.unpersist()
         scored = models.classified(matrix(outside, preprocessor, classes, ["label"]), model, name, classes)
@@ -155,7 +164,9 @@ def train(clean: DataFrame, settings: ModelSettings | None = None, core_only: bo
     preprocessor = fit_preprocessor(train_rows, raw_columns)
 
     weighted = sampling.balanced_weights(train_rows)
-    rows = matrix(weighted, preprocessor, classes, ["label", "weight"]).persist(StorageLevel.MEMORY_AND_DISK)
+    kept_rows = sum(sampling.class_counts(train_rows).values())
+    rows = spread(matrix(weighted, preprocessor, classes, ["label", "weight"]), kept_rows).persist(
+        StorageLevel.MEMORY_AND_DISK)
     validation = matrix(part["validation"], preprocessor, classes, ["label"]).persist(
         StorageLevel.MEMORY_AND_DISK)
     training_rows = rows.count()

@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from wireglean import taxonomy as tax
 from wireglean.functions.text import snake_headers
+from wireglean.session import settle
 
 CORRUPT = "_corrupt"
 HEADER_JOBS = 16
+MAX_BROADCAST_BLOCKS = 200_000
 
 
 def csv_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,6 +88,9 @@ def first_rows(rows: DataFrame, limit: int) -> DataFrame:
     before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     needed = placed.where(F.col("_start") < limit).withColumn("_whole", F.col("_start") + F.col("_n") <= limit)
+    needed = settle(needed)
+    if needed.count() <= MAX_BROADCAST_BLOCKS:
+        needed = F.broadcast(needed)
     marked = rows.withColumn("_at", F.monotonically_increasing_id()).join(needed, ["_path", "_block"])
     whole = marked.where("_whole")
     order = Window.partitionBy("_path", "_block").orderBy("_at")
