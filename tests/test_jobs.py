@@ -284,3 +284,24 @@ def test_anomaly_scale_without_span(spark):
     table = spark.createDataFrame([(-0.4,)], "raw double")
     assert table.select(anomaly.normalised(F.col("raw"), -0.4, -0.4)).first()[0] == 0.0
     assert math.isclose(table.select(anomaly.normalised(F.col("raw"), -0.8, -0.4)).first()[0], 0.0)
+
+
+# --- the three jobs ------------------------------------------------------------
+
+
+def test_prepare_train_score(spark, flows, tmp_path):
+    from wireglean.plans import jobs
+    raw, clean, bundle, out = (str(tmp_path / d) for d in ("raw", "clean", "bundle", "scored"))
+    flows.write.option("header", True).csv(raw)
+    found = jobs.prepare(spark, raw, clean, report=str(tmp_path / "cleaning"))
+    assert found.rows_out == spark.read.parquet(clean).count()
+    small = ModelSettings(candidates=[models.FOREST], forest_trees=3, forest_depth=4, detector_trees=5)
+    document = jobs.train(spark, clean, bundle, report=str(tmp_path / "metrics"), cap=100, settings=small)
+    assert document["dataset"]["train_rows"] < document["dataset"]["total_rows"] * 0.64
+    assert tables.read_report(spark, str(tmp_path / "metrics")).first()["selected_model"] == models.FOREST
+    flows.write.parquet(str(tmp_path / "new"))
+    summary = jobs.score(spark, str(tmp_path / "new"), bundle, out).first()
+    assert summary["total_records"] == flows.count() == spark.read.parquet(out).count()
+    spark.read.parquet(clean).drop("label").write.parquet(str(tmp_path / "bare"))
+    with pytest.raises(KeyError):
+        jobs.train(spark, str(tmp_path / "bare"), bundle)
