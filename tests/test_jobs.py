@@ -254,6 +254,17 @@ def test_stream_equals_batch_and_goes_on_after_a_restart(spark, flows, tmp_path)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_a_trained_model_scores_a_stream_as_it_scores_a_batch(spark, trained, flows, tmp_path):
+    source, out, mark = (str(tmp_path / d) for d in ("in", "out", "mark"))
+    flows.repartition(3).write.parquet(source)
+    scorer = Scorer(trained[0])
+    columns = ["flow_id", "prediction", "confidence", "anomaly_score", "risk_score"]
+    stream = scorer.append(live.flow_stream(spark, source, flows.schema, files_per_trigger=1)).select(*columns)
+    live.append_to(stream, out, mark).awaitTermination()
+    got, want = spark.read.parquet(out), scorer.append(flows).select(*columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_counters_and_recent_events_over_several_ticks(spark, flows, tmp_path):
     source = str(tmp_path / "in")
     flows.repartition(4).write.parquet(source)

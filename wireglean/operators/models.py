@@ -115,7 +115,7 @@ def importances(model: PipelineModel, name: str) -> list[float]:
     return (sum(parts[1:], parts[0]) / len(parts)).tolist()
 
 
-def tree_nodes(model: PipelineModel, name: str, classes: int, spark, most: int = 20_000_000) -> TreeNodes | None:
+def tree_nodes(model: PipelineModel, name: str, classes: int, spark, most: int = 5_000_000) -> TreeNodes | None:
     """The split nodes of a forest or booster, read from its saved form.
 
     None when there are more nodes than a driver should hold: explanations then fall

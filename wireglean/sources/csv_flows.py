@@ -1,5 +1,6 @@
 """Reading capture files as a flow meter exports them: dirty headers, varying columns, bad lines."""
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -12,6 +13,8 @@ from wireglean import taxonomy as tax
 from wireglean.functions.text import snake_headers
 from wireglean.session import settle
 
+log = logging.getLogger(__name__)
+
 CORRUPT = "_corrupt"
 HEADER_JOBS = 16
 MAX_BROADCAST_BLOCKS = 200_000
@@ -41,7 +44,8 @@ def header_of(spark: SparkSession, path: str) -> list[str] | None:
     reader = spark.read.option("header", False).option("ignoreLeadingWhiteSpace", True)
     try:
         line = reader.csv(path).first()
-    except Exception:  # an unreadable file is left out, as are its rows
+    except Exception as error:  # an unreadable file is left out, as are its rows
+        log.warning("left out %s: %s", path, str(error).splitlines()[0])
         return None
     return None if line is None else ["" if cell is None else cell for cell in line]
 

@@ -1,5 +1,6 @@
 """Flows that keep arriving: the batch operators on a file stream, with counters, alerts and a timeline."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,8 +72,10 @@ class LatestTable:
         """The newest table (older than tick ``before``), or None when there is none yet."""
         try:
             every = spark.read.parquet(self.path)
-        except Exception:
-            return None
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
         ticks = every if before is None else every.where(F.col("tick") < before)
         newest = ticks.agg(F.max("tick")).first()[0]
         return None if newest is None else every.where(F.col("tick") == newest).drop("tick")
