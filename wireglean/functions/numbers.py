@@ -20,6 +20,13 @@ def case(rules: list[tuple[str, str]], otherwise: str = "NULL") -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in rules) + f" ELSE {otherwise} END"
 
 
+def lookup(table: dict, key: str) -> str:
+    """The value of a key in a literal table, or null: one small call in the generated code,
+    where a branch per key would soon outgrow what the JVM compiles."""
+    entries = ", ".join(f"{k}, {v}" for k, v in table.items())
+    return f"try_element_at(map({entries}), {key})"
+
+
 def text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

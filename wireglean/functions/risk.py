@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import case, finite_sql, text
+from wireglean.functions.numbers import case, finite_sql, lookup, text
 
 
 def limited(value: str, low: float, high: float) -> str:
@@ -60,8 +60,8 @@ def indicators() -> Column:
 
 
 def severity_points() -> Column:
-    rules = [(f"prediction = {text(family)}", f"{float(p)}D") for family, p in tax.SEVERITY.items()]
-    return F.expr(case(rules, f"{float(tax.UNKNOWN_SEVERITY)}D"))
+    points = lookup({text(family): f"{float(p)}D" for family, p in tax.SEVERITY.items()}, "prediction")
+    return F.expr(f"coalesce({points}, {float(tax.UNKNOWN_SEVERITY)}D)")
 
 
 def confidence_points() -> Column:

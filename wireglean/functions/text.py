@@ -1,12 +1,13 @@
 """Headers, labels and display texts."""
 
 import re
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import case, named, text, texts
+from wireglean.functions.numbers import case, lookup, named, text
 
 
 def snake_case(header: str) -> str:
@@ -34,13 +35,13 @@ def label_family(words: str) -> Column:
     An exact key wins, then the first key the text contains, then ``Other``. A missing
     label gives the empty string. The words are a column, because every rule names them.
     """
-    keys_of: dict[str, list[str]] = {}
-    for key, family in tax.LABEL_FAMILIES:
-        keys_of.setdefault(family, []).append(key)
+    exact = lookup({text(key): text(family) for key, family in tax.LABEL_FAMILIES}, words)
     rules = [(f"{words} IS NULL OR {words} IN ('', 'nan')", "''")]
-    rules += [(f"{words} IN ({texts(keys)})", text(family)) for family, keys in keys_of.items()]
-    rules += [(f"contains({words}, {text(key)})", text(family)) for key, family in tax.LABEL_FAMILIES]
-    return F.expr(case(rules, text(tax.OTHER)))
+    # Neighbours of one family need one test: whichever of them is contained, the answer is the same.
+    for family, group in groupby(tax.LABEL_FAMILIES, key=lambda rule: rule[1]):
+        either = "|".join(key for key, _ in group)
+        rules.append((f"{words} RLIKE {text(either)}", text(family)))
+    return F.expr(f"coalesce({exact}, {case(rules, text(tax.OTHER))})")
 
 
 def masked_ip(column: str) -> Column:

@@ -4,16 +4,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.functions.numbers import INFINITY, case, known_sql, number_or_sql, text
+from wireglean.functions.numbers import INFINITY, case, known_sql, lookup, number_or_sql, text
 
 
 def port_category_sql(number: str) -> str:
-    rules = [(f"{number} IS NULL", "'unknown'")]
-    rules += [(f"{number} IN ({', '.join(f'{p}D' for p in ports)})", text(service))
-              for service, ports in tax.SERVICE_PORTS]
-    rules += [(f"{number} BETWEEN {low}D AND {high}D", text(bucket)) for bucket, low, high in tax.PORT_RANGES]
+    service = lookup({f"{p}D": text(name) for name, ports in tax.SERVICE_PORTS for p in ports}, number)
+    rules = [(f"{number} BETWEEN {low}D AND {high}D", text(bucket)) for bucket, low, high in tax.PORT_RANGES]
     rules += [(f"{number} >= {tax.FIRST_EPHEMERAL_PORT}D", "'ephemeral'")]
-    return case(rules, "'unknown'")
+    return f"coalesce({service}, {case(rules, text('unknown'))})"
 
 
 def port_category(number: str) -> Column:
@@ -22,10 +20,10 @@ def port_category(number: str) -> Column:
 
 
 def protocol_name_sql(column: str, number: str) -> str:
-    rules = [(f"{number} = {value}D", text(name)) for value, name in tax.PROTOCOL_NAMES.items()]
-    rules += [(f"{number} IS NOT NULL", "'other'"),
-              (f"{column} IS NULL OR lower(CAST({column} AS STRING)) = 'nan'", "'unknown'")]
-    return case(rules, f"CAST({column} AS STRING)")
+    name = lookup({f"{value}D": text(name) for value, name in tax.PROTOCOL_NAMES.items()}, number)
+    rules = [(f"{number} IS NOT NULL", "'other'"),
+             (f"{column} IS NULL OR lower(CAST({column} AS STRING)) = 'nan'", "'unknown'")]
+    return f"coalesce({name}, {case(rules, f'CAST({column} AS STRING)')})"
 
 
 def protocol_name(column: str) -> Column:
