@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from wireglean import taxonomy as tax
 from wireglean.plans import jobs
+from wireglean.session import METHOD_LIMIT
 
 
 def arguments() -> argparse.Namespace:
@@ -35,7 +36,10 @@ def arguments() -> argparse.Namespace:
 
 def main() -> None:
     a = arguments()
-    spark = SparkSession.builder.appName(f"wireglean-{a.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"wireglean-{a.command}")
+    for key, value in METHOD_LIMIT.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     if a.command == "prepare":
         found = jobs.prepare(spark, a.raw, a.output, a.report, a.rows_per_file, a.min_per_class)
         found.to_frame(spark).show(truncate=False, vertical=True)

@@ -6,6 +6,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The JVM does not compile methods above 8000 bytes of code. A fused stage that outgrows this
+# runs interpreted; with the limit Spark leaves such a stage unfused, in methods that compile.
+METHOD_LIMIT = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def local_session(cores: str | int = "*", partitions: int = 8, **conf: str) -> SparkSession:
     """A session for one machine; on a cluster the submitter brings its own."""
     builder = (
@@ -18,7 +23,7 @@ def local_session(cores: str | int = "*", partitions: int = 8, **conf: str) -> S
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
-    for key, value in conf.items():
+    for key, value in {**METHOD_LIMIT, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
