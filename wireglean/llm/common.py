@@ -1,6 +1,8 @@
 """Helpers of the operators: column choice, settled tables, bounded batches, connected components."""
 
 import os
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -72,6 +74,21 @@ class Workspace:
             self._fs.delete(self._path(name), True)
 
 
+def held(key, make: Callable, most: int = 4):
+    """What ``make`` returns, kept in this worker process for later tasks under ``key``.
+
+    Functions travel to the workers with their code, so module variables last one task only;
+    what is expensive to build hangs on a module of its own.
+    """
+    kept = sys.modules.setdefault("wireglean_held", types.ModuleType("wireglean_held")).__dict__
+    if key not in kept:
+        own = [k for k in kept if isinstance(k, tuple) and k[0] == key[0]]
+        for old in own[:max(0, len(own) - most + 1)]:
+            del kept[old]
+        kept[key] = make()
+    return kept[key]
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch whose texts in ``column`` stay within ``limit`` bytes, or are one row."""
     start, held = 0, 0
@@ -85,6 +102,32 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start)
 
 
+def file_system(uri: str):
+    """(file system, path) of a folder in whatever store its address names, for code inside tasks."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        uri = "/" + uri[5:].lstrip("/")
+    return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
+
+
+def parquet_batches(uri: str, rows: int) -> Iterator[pa.RecordBatch]:
+    """A settled table, read inside a task in batches of at most ``rows`` rows."""
+    import pyarrow.dataset as ds
+
+    store, path = file_system(uri)
+    names = [f.path for f in store.get_file_info(_below(path)) if f.path.endswith(".parquet")]
+    if names:
+        yield from ds.dataset(sorted(names), filesystem=store, format="parquet").to_batches(
+            batch_size=rows, batch_readahead=1, fragment_readahead=1)
+
+
+def _below(path: str):
+    from pyarrow import fs
+
+    return fs.FileSelector(path)
+
+
 def components(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
     """(node, component): the smallest node reachable, for each node of ``edges`` (u, v).
 

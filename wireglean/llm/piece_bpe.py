@@ -8,7 +8,6 @@ Short parts of a batch are merged together in numpy, one agenda step of all part
 long parts use a heap. Every part that was not remembered is compared with the library.
 """
 
-import functools
 import gc
 import heapq
 import itertools
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import pick, query, slices, table, tokenizer_path
+from wireglean.llm.common import held, pick, query, slices, table, tokenizer_path
 
 SPACE = "▁"
 #: Parts of more symbols go through the heap.
@@ -250,9 +249,8 @@ class PieceModel:
         return self.library.decode(ids)
 
 
-@functools.lru_cache(maxsize=2)
 def model(path: str) -> PieceModel:
-    return PieceModel(path)
+    return held(("pieces", path), lambda: PieceModel(path))
 
 
 def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
