@@ -89,12 +89,13 @@ def held(key, make: Callable, most: int = 4):
     return kept[key]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch whose texts in ``column`` stay within ``limit`` bytes, or are one row."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES,
+           rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch whose texts in ``column`` stay within ``limit`` bytes and ``rows`` rows, or are one row."""
     start, held = 0, 0
     sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
     for i, size in enumerate(sizes):
-        if i > start and held + (size or 0) > limit:
+        if i > start and (held + (size or 0) > limit or i - start == rows):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size or 0

@@ -46,9 +46,9 @@ def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, is_word: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(lowered bytes, first byte, end, 64-bit hash) of the words in UTF-8 bytes."""
-    inside = _IS_WORD[data]
+    inside = is_word[data]
     edge = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
     start, end = edge[::2], edge[1::2]
     data = _LOWER[data]
@@ -70,11 +70,11 @@ def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return data, start, end, hashes
 
 
-def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts as UTF-8 bytes with a zero byte behind each, and where each begins (and the end)."""
+def joined(texts: list[str | None], border: bytes = b"\0") -> tuple[np.ndarray, np.ndarray]:
+    """All texts as UTF-8 bytes with a border byte behind each, and where each begins (and the end)."""
     parts = [(t or "").encode("utf-8", "replace") for t in texts]
     begin = np.cumsum([0, *(len(p) + 1 for p in parts)])
-    return np.frombuffer(b"\0".join([*parts, b""]), np.uint8), begin
+    return np.frombuffer(border.join([*parts, b""]), np.uint8), begin
 
 
 class WaveletMatrix:

@@ -1,4 +1,4 @@
 """All queries of this subpackage, by name."""
 
-from wireglean.llm import fm_index, language, personal_data, piece_bpe, reply_trees, toxicity, warc  # noqa: F401
+from wireglean.llm import fm_index, jaccard_join, language, personal_data, piece_bpe, reply_trees, toxicity, warc  # noqa: F401
 from wireglean.llm.common import ORACLES, QUERIES  # noqa: F401
