@@ -321,6 +321,10 @@ def mask(text: str, spans: list[tuple]) -> str:
     return "".join([*pieces, text[place:]])
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 @query("op9_personal_data")
 def op9_personal_data(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -329,5 +333,5 @@ def op9_personal_data(spark, sf_dir):
     listed = lambda spans: F.array_join(F.transform(
         spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select(
-        "doc_id", *[F.size(F.filter(strict, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[F.size(F.filter(strict, _of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(listed(strict), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
