@@ -1,17 +1,72 @@
-"""The corpus pipeline: stages over the documents table, each a Parquet table the next one reads."""
+"""The corpus pipeline: stages over the documents table, each a Parquet table the next one reads.
+
+Every stage but the last returns the columns of its input in their order, whatever further columns
+there are. Stages work on all rows; rows without a doc_id are judged like others, but are no one's copy.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wireglean.llm import piece_bpe
+from wireglean.llm import fm_index, jaccard_join, language, personal_data, piece_bpe
 from wireglean.llm.common import Workspace, table
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """The table with doc_id and text under their names and all other columns under numbers, which clash with nothing."""
+    names = [c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), tuple(n for n in names if n.startswith("_"))
+
+
+def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    names = [c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)]
+    return rows.select(*names).toDF(*docs.columns)
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear; texts without a letter and narrow decisions go."""
+    plain, others = _aside(docs)
+    found = language.identify(plain, language.fit_on_documents(docs), carry=others)
+    return _restored(found.where(~F.col("rejected")), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id (of its rows, the smallest)."""
+    plain, others = _aside(docs)
+    kept = (jaccard_join.near_duplicates(plain).where("doc_id = component_id").select("doc_id").distinct())
+    rest = [c for c in plain.columns if c != "doc_id"]
+    one = (plain.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+           .select("doc_id", "row.*"))
+    return _restored(one.unionByName(plain.where("doc_id IS NULL")), docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark; documents with fewer hits stay as they are."""
+    plain, others = _aside(docs)
+    found = fm_index.decontaminate(plain, table(spark, sf_dir, "benchmark"), carry=others)
+    return _restored(found.where(~F.col("contaminated")), docs)
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked; n_chars counts the masked text."""
+    plain, others = _aside(docs)
+    found = personal_data.find(plain, personal_data.fit(docs), carry=others).withColumn("text", F.col("masked"))
+    if "n_chars" in docs.columns:
+        place = f"_{docs.columns.index('n_chars')}"
+        found = found.withColumn(place, F.length("text").cast(dict(found.dtypes)[place]))
+    return _restored(found, docs)
+
+
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece ids of each text, and the text decoded from them."""
-    return piece_bpe.encode(docs)
+    """SentencePiece ids of each text, and digests of the ids and of the text decoded from them."""
+    coded = piece_bpe.encode(docs)
+    return coded.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("pieces", pieces)]
+STAGES = [("language", languages), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("personal_data", personal), ("pieces", pieces)]
 
 #: Models decide in some stages, which SQL can't state; the tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -25,4 +80,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = ws.settle(docs, f"{i}-{name}")
+            if i:
+                ws.drop(f"{i - 1}-{STAGES[i - 1][0]}")
     return docs

@@ -114,26 +114,26 @@ def _missing(body: bytes, content: bytes) -> int:
     return sum(b" " + w + b" " not in content for w in body.split())
 
 
-def identify(docs: DataFrame, model: dict[str, bytes], id_column: str = "doc_id",
-             text_column: str = "text") -> DataFrame:
-    """(id, lang_pred, lang_score, rejected) of every whole text; other columns are not carried.
+def identify(docs: DataFrame, model: dict[str, bytes], id_column: str = "doc_id", text_column: str = "text",
+             carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, text, carried columns, lang_pred, lang_score, rejected) of every whole text.
 
     Null texts and texts without a letter are undetermined, rejected and score 0. Other texts get
     the language of the smallest sum (equal sums: the one first by name), and are rejected when the
     lead is narrow. Equal rows give equal rows; an empty table gives an empty one. One pass, no shuffle.
     """
-    rows = pick(docs, id_column, text_column)
+    rows = pick(docs, id_column, text_column, *carry)
     fitted = tuple(sorted(model.items()))
-    schema = f"`{id_column}` {dict(rows.dtypes)[id_column]}, lang_pred string, lang_score double, rejected boolean"
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes), "lang_pred string, lang_score double, rejected boolean"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text_column):
                 found = [classify(t, fitted) for t in part.column(text_column).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([f[0] for f in found], pa.string()),
+                    [*part.columns, pa.array([f[0] for f in found], pa.string()),
                      pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
-                    names=[id_column, "lang_pred", "lang_score", "rejected"])
+                    names=[*part.schema.names, "lang_pred", "lang_score", "rejected"])
 
     return rows.mapInArrow(run, schema)
 
