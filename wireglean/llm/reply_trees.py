@@ -57,14 +57,15 @@ def ancestors(nodes: DataFrame, ws: Workspace) -> tuple[DataFrame, list[DataFram
     A parent that does not exist makes its child a root. Nodes on or below a cycle reach no root and
     are left out: a round doubles the distance, so what is unfinished beyond the number of nodes is one.
     """
-    known = nodes.select(F.col("node").alias("parent")).distinct().withColumn("there", F.lit(True))
-    up = F.when(F.col("there"), F.col("parent"))
+    score = F.coalesce("score", F.lit(0.0)).alias("branch")
+    first = lambda up: [up.alias("up"), F.when(up.isNull(), F.col("node")).alias("root"),
+                        F.when(up.isNull(), 0).otherwise(1).cast("long").alias("depth"), score]
+    known = nodes.select(F.col("node").alias("parent"), F.col("node").alias("there"))
     # up: the ancestor at the distance reached; branch, depth: scores and steps below it, or up to the root.
-    state = ws.settle(
-        nodes.join(known, "parent", "left")
-        .select("node", up.alias("up"), F.when(up.isNull(), F.col("node")).alias("root"),
-                F.when(up.isNull(), 0).otherwise(1).cast("long").alias("depth"),
-                F.coalesce("score", F.lit(0.0)).alias("branch")), "step-0")
+    # Nodes without a parent stay out of the join, where they would all meet under one null key.
+    answers = nodes.where("parent IS NOT NULL").join(known, "parent", "left").select("node", *first(F.col("there")))
+    tops = nodes.where("parent IS NULL").select("node", *first(F.lit(None).cast("long")))
+    state = ws.settle(answers.unionByName(tops), "step-0")
     count, jumps, step = state.count(), [], 0
     while (1 << step) <= 2 * count and state.where("up IS NOT NULL").limit(1).count():
         jumps.append(state.where("up IS NOT NULL").select("node", F.col("up").alias("ancestor")))
