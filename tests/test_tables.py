@@ -86,7 +86,7 @@ def test_quantiles_agree_with_numpy_for_a_hot_group(spark, monkeypatch):
     pdf.loc[::11, "x"] = np.nan
     table = spark.createDataFrame(pdf)
     monkeypatch.setattr(order_statistics, "LEAF_ROWS", 50)
-    got = order_statistics.quantiles(table, ["x", "y"], SHARES, by="g", small_cells=0)
+    got = order_statistics.quantiles(table, ["x", "y"], SHARES, by="g")
     direct = order_statistics.quantiles(table, ["x", "y"], SHARES, by="g")
     for (g, c), values in got.items():
         column = pdf[pdf.g == g][c].dropna()

@@ -1,5 +1,6 @@
 """Headers, labels and display texts."""
 
+import itertools
 import re
 from itertools import groupby
 
@@ -17,10 +18,14 @@ def snake_case(header: str) -> str:
 
 
 def snake_headers(headers: list[str]) -> list[str]:
-    """All headers in snake_case; the n-th repeat of a name gets the suffix ``_n``."""
-    names = [snake_case(h) for h in headers]
-    repeats = [names[:i].count(name) for i, name in enumerate(names)]
-    return [f"{name}_{n}" if n else name for name, n in zip(names, repeats)]
+    """All headers in snake_case; the n-th repeat of a name gets the suffix ``_n``, or the next that is free."""
+    taken: set[str] = set()
+    found = []
+    for name in map(snake_case, headers):
+        numbered = itertools.chain([name], (f"{name}_{n}" for n in itertools.count(1)))
+        found.append(next(n for n in numbered if n not in taken))
+        taken.add(found[-1])
+    return found
 
 
 def label_words(column: str) -> Column:

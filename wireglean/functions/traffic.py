@@ -55,21 +55,21 @@ def readings(columns: list[str]) -> dict[str, Column]:
 
 
 def derived_columns(columns: list[str]) -> dict[str, Column]:
-    """The derived features, as expressions over :func:`readings`."""
+    """The derived features, as expressions over :func:`readings`; a division by zero gives null."""
     tiny = f"{tax.EPSILON!r}D"
 
     def capped(rate: str) -> str:
         return f"CASE WHEN abs({rate}) < {INFINITY} THEN least({rate}, {tax.RATE_CEILING!r}D) END"
 
-    size = f"(_fwd_bytes + _bwd_bytes) / (_fwd + _bwd + {tiny})"
+    size = f"try_divide(_fwd_bytes + _bwd_bytes, _fwd + _bwd + {tiny})"
     found = {
         "duration_seconds": "_seconds",
-        "packets_per_second": capped(f"(_fwd + _bwd) / (_seconds + {tiny})"),
-        "bytes_per_second": capped(f"(_fwd_bytes + _bwd_bytes) / (_seconds + {tiny})"),
-        "fwd_bwd_packet_ratio": capped("_fwd / (_bwd + 1D)"),
-        "fwd_bwd_byte_ratio": capped("_fwd_bytes / (_bwd_bytes + 1D)"),
+        "packets_per_second": capped(f"try_divide(_fwd + _bwd, _seconds + {tiny})"),
+        "bytes_per_second": capped(f"try_divide(_fwd_bytes + _bwd_bytes, _seconds + {tiny})"),
+        "fwd_bwd_packet_ratio": capped("try_divide(_fwd, _bwd + 1D)"),
+        "fwd_bwd_byte_ratio": capped("try_divide(_fwd_bytes, _bwd_bytes + 1D)"),
         "avg_packet_size_derived": size,
-        "tcp_flag_density": f"_flags / (_fwd + _bwd + {tiny})",
+        "tcp_flag_density": f"try_divide(_flags, _fwd + _bwd + {tiny})",
         "bytes_per_packet": size,
         "is_ephemeral_port": f"CAST(_port >= {tax.FIRST_EPHEMERAL_PORT}D AS TINYINT)",
         "port_category": port_category_sql("_port"),

@@ -15,11 +15,10 @@ from pyspark.sql import types as T
 
 from wireglean import taxonomy as tax
 from wireglean.operators.order_statistics import quantiles
-from wireglean.operators.sampling import hash_sample, row_hash
+from wireglean.operators.sampling import row_hash
 
 TREES = 200
 SUBSAMPLE = 256
-POOL_ROWS = 200_000
 EULER = 0.5772156649015329
 
 
@@ -80,9 +79,9 @@ def fit_forest(rows: DataFrame, features: str = "features_array", trees: int = T
                subsample: int = SUBSAMPLE, seed: int = tax.SEED) -> Forest:
     """Grow the trees in parallel, each from its own ``subsample`` rows drawn without replacement.
 
-    A big table first yields a pool of about ``POOL_ROWS`` rows by hash. Every pool row
-    then draws the trees it applies to, and a tree takes the rows with its smallest
-    draws: a group holds a few hundred rows, whatever the size of the table.
+    Every row draws whether it applies to any tree, and if so to which, at the same rate
+    whatever the size of the table; a tree takes the rows with its smallest draws, so a
+    group holds a few hundred rows.
     """
     n = rows.count()
     if n == 0:
@@ -90,11 +89,12 @@ def fit_forest(rows: DataFrame, features: str = "features_array", trees: int = T
     psi = min(subsample, n)
     depth = max(1, math.ceil(math.log2(max(psi, 2))))
     hashed = rows.select(row_hash(rows.columns, seed).alias("_h"), F.col(features).alias("x"))
-    if n > POOL_ROWS:
-        hashed = hashed.where(F.col("_h") < F.lit(2.0 ** 53 * POOL_ROWS / n))
-        n = POOL_ROWS
-    # Twice the needed draws (and some), of which a tree keeps the smallest.
+    # Twice the needed draws (and some), of which a tree keeps the smallest. Most rows of a big
+    # table apply to no tree, which one draw decides; the others draw for each tree.
     chance = min(1.0, (2.0 * psi + 64) / n)
+    applies = min(1.0, trees * chance)
+    hashed = hashed.where(F.shiftrightunsigned(F.xxhash64("_h", F.lit(seed + 2)), 11) / F.lit(2.0 ** 53) < applies)
+    chance /= applies
     draws = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
         t.alias("tree"),
         (F.shiftrightunsigned(F.xxhash64(F.col("_h"), t, F.lit(seed + 1)), 11) / F.lit(2.0 ** 53)).alias("draw"),
@@ -188,7 +188,7 @@ class Detector:
 def fit_detector(train: DataFrame, label: str = "label", vector: str = "features_array",
                  contamination: float = tax.CONTAMINATION, trees: int = TREES,
                  subsample: int = SUBSAMPLE, seed: int = tax.SEED) -> Detector:
-    """Fit on benign rows (all rows, if none are) and calibrate on mixed ones.
+    """Fit on benign rows (all rows, if none are) and calibrate on all rows.
 
     ``train`` carries the label and the feature array; the rows should be distinct, as
     cleaned rows are.
@@ -197,10 +197,9 @@ def fit_detector(train: DataFrame, label: str = "label", vector: str = "features
     if benign.isEmpty():
         benign = train
     forest = fit_forest(benign, vector, trees, subsample, seed)
-    mixed = hash_sample(train, tax.CALIBRATION_ROWS, seed)
     # Scored once: finding quantiles reads the scores several times.
     scores = {name: t.select(raw_score(forest, F.col(vector)).alias("raw")).persist(StorageLevel.MEMORY_AND_DISK)
-              for name, t in {"mixed": mixed, "benign": benign}.items()}
+              for name, t in {"mixed": train, "benign": benign}.items()}
     low, high, threshold = calibration(scores["mixed"], scores["benign"], "raw", contamination)
     trained_on = scores["benign"].count()
     for table in scores.values():

@@ -65,7 +65,7 @@ def per_class(cells: DataFrame) -> DataFrame:
 
 
 def metrics(classes: DataFrame) -> DataFrame:
-    """The metric row of one model, from :func:`per_class`."""
+    """The metric row of one model, from :func:`per_class`; without rows the shares are null."""
     total = F.sum("support")
     benign = F.col("class") == tax.BENIGN
 
@@ -76,10 +76,10 @@ def metrics(classes: DataFrame) -> DataFrame:
         return F.avg(column).alias(f"macro_{column}")
 
     def weighted(column: str) -> Column:
-        return (F.sum(F.col(column) * F.col("support")) / total).alias(f"weighted_{column}")
+        return F.try_divide(F.sum(F.col(column) * F.col("support")), total).alias(f"weighted_{column}")
 
     sums = classes.agg(
-        (F.sum("tp") / total).alias("accuracy"),
+        F.try_divide(F.sum("tp"), total).alias("accuracy"),
         # Classes without true rows count as recall 0 in the macro recall but not here.
         F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
         macro("precision"), macro("recall"), macro("f1"),
@@ -143,10 +143,9 @@ def class_auc(df: DataFrame, scores: dict[str, Column], label: str = "label") ->
         Window.unboundedPreceding, -1
     )
     below = F.col("start") + F.coalesce(F.col("_below"), F.lit(0)) + F.col("neg") / 2
-    # One row per class and slice: as many as shuffle partitions, times the classes.
     won = (
         ordered.withColumn("_below", F.sum("neg").over(inside))
-        .join(F.broadcast(starts), ["class", "slice"])
+        .join(starts, ["class", "slice"])
         .groupBy("class")
         .agg(F.sum(F.col("pos") * below).alias("_won"),
              F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
@@ -190,6 +189,11 @@ def comparison_table(results: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows).orderBy(F.desc("macro_f1"), "model")
 
 
+# Metrics of which less is better.
+LOWER_IS_BETTER = {"false_alarm_rate", "false_negatives", "false_positives"}
+
+
 def best_model(results: DataFrame, metric: str = "macro_f1", order: str = "position") -> DataFrame:
-    """The row with the largest metric; among equals the first by ``order``."""
-    return results.orderBy(F.desc_nulls_last(metric), order).limit(1)
+    """The row with the best metric; a missing metric comes last, among equals the first by ``order``."""
+    best = F.asc_nulls_last(metric) if metric in LOWER_IS_BETTER else F.desc_nulls_last(metric)
+    return results.orderBy(best, order).limit(1)

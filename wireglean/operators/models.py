@@ -115,19 +115,17 @@ def importances(model: PipelineModel, name: str) -> list[float]:
     return (sum(parts[1:], parts[0]) / len(parts)).tolist()
 
 
-def tree_nodes(model: PipelineModel, name: str, classes: int, spark, most: int = 5_000_000) -> TreeNodes | None:
+def tree_nodes(model: PipelineModel, name: str, classes: int, spark) -> TreeNodes:
     """The split nodes of a forest or booster, read from its saved form.
 
-    None when there are more nodes than a driver should hold: explanations then fall
-    back to global importances.
+    Their number follows from the settings of the model (trees times nodes of a tree), as does the
+    model's own size on the driver.
     """
     folder = run_folder(spark, "model-nodes")
     model.write().save(folder)
     trees = []
     for i, stage in enumerate(model.stages):
         data = spark.read.parquet(f"{folder}/stages/{i}_{stage.uid}/data")
-        if data.count() * len(model.stages) > most:
-            return None
         rows = data.select(
             "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
             "nodeData.leftChild", "nodeData.rightChild", F.col("nodeData.split.featureIndex").alias("feature"),

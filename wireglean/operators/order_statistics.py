@@ -18,7 +18,6 @@ from wireglean.functions.numbers import finite
 
 BUCKETS = 4096
 LEAF_ROWS = 200_000
-SMALL_CELLS = 4_000_000
 MAX_GROUPS = 10_000
 
 OPEN = "tid int, grp string, item int, lo double, hi double, mode string, ranks array<bigint>"
@@ -54,8 +53,8 @@ def _narrow(cells: DataFrame, intervals: list[tuple]) -> list:
     rows = []
     for tid, grp, item, lo, hi, mode, ranks in intervals:
         rows.append((tid, grp, item, lo, hi, mode, sorted(ranks)))
-    # Bounded: one row per group, column and distinct interval, all made on the driver.
-    table = F.broadcast(spark.createDataFrame(rows, OPEN))
+    # One row per group, column and distinct interval, all made on the driver; the session sizes the join.
+    table = spark.createDataFrame(rows, OPEN)
     inside = cells.join(table, ["grp", "item"]).where("x >= lo and x <= hi")
 
     def placed(name: str) -> Column:
@@ -77,10 +76,8 @@ def _narrow(cells: DataFrame, intervals: list[tuple]) -> list:
         Window.unboundedPreceding, Window.currentRow
     )
     summed = histogram.withColumn("upto", F.sum("n").over(running))
-    ranks = F.broadcast(
-        spark.createDataFrame(
-            [(tid, r) for tid, _, _, _, _, _, rs in rows for r in rs], "tid int, rank bigint"
-        )
+    ranks = spark.createDataFrame(
+        [(tid, r) for tid, _, _, _, _, _, rs in rows for r in rs], "tid int, rank bigint"
     )
     found = summed.join(ranks, "tid").where("rank < upto and rank >= upto - n")
     return found.select(
@@ -134,11 +131,10 @@ def order_statistics(df: DataFrame, columns: list[str], ranks: dict, by: str | N
 
 
 def quantiles(df: DataFrame, columns: list[str], shares: list[float],
-              by: str | None = None, small_cells: int = SMALL_CELLS) -> dict:
+              by: str | None = None) -> dict:
     """Exact quantiles with linear interpolation: ``{(group, column): [value, ...]}``.
 
-    Few cells (counted first) take Spark's ``percentile``, which keeps every distinct
-    value of a column in one task; more cells take :func:`order_statistics`.
+    The ranks come from :func:`order_statistics` whatever the size of the table.
     """
     group, doubles = _group(by), [_value(c) for c in columns]
     sizes = df.groupBy(group.alias("grp")).agg(
@@ -148,14 +144,6 @@ def quantiles(df: DataFrame, columns: list[str], shares: list[float],
         raise ValueError(f"more than {MAX_GROUPS} groups in {by!r}: not a class column")
     counts = {(r["grp"], c): r[f"n{i}"] for r in sizes for i, c in enumerate(columns)}
 
-    if sum(counts.values()) <= small_cells:
-        probabilities = F.array(*[F.lit(float(s)) for s in shares])
-        rows = df.groupBy(group.alias("grp")).agg(
-            *[F.percentile(v, probabilities).alias(f"q{i}") for i, v in enumerate(doubles)]
-        ).collect()
-        return {(r["grp"], c): list(r[f"q{i}"] or [None] * len(shares))
-                for r in rows for i, c in enumerate(columns)}
-
     def position(n: int, share: float) -> float:
         return share * (n - 1)
 

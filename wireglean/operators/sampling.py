@@ -21,11 +21,17 @@ def row_hash(columns: list[str], seed: int) -> Column:
 
 
 def class_counts(df: DataFrame, label: str = "label", most: int = 10_000) -> dict[str, int]:
-    """Rows per class, on the driver: a class column has few values, and more are refused."""
+    """Rows per class, on the driver: a class column has few values, and more than ``most`` are refused.
+
+    Rows without a label have no class to be dealt by, so they are an error rather than lost further on.
+    """
     rows = df.groupBy(label).count().limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"{label!r} has more than {most} values: not a class column")
-    return {r[label]: r["count"] for r in rows if r[label] is not None}
+    missing = sum(r["count"] for r in rows if r[label] is None)
+    if missing:
+        raise ValueError(f"{missing} rows have no {label!r}: drop or label them first")
+    return {r[label]: r["count"] for r in rows}
 
 
 def _shares(counts: dict[str, int], total: int) -> dict[str, int]:

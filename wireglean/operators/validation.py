@@ -25,12 +25,9 @@ def _reason(flows: DataFrame, field: str) -> Column:
 
 def with_problems(flows: DataFrame) -> DataFrame:
     """Add ``problems``: one (field, reason) for each refused field."""
-    checks = []
-    for field in tax.FIELD_BOUNDS:
-        reason = _reason(flows, field)
-        entry = F.struct(F.lit(field).alias("field"), reason.alias("reason"))
-        checks.append(F.when(reason.isNotNull(), entry))
-    return flows.withColumn("problems", F.array_compact(F.array(*checks)))
+    # Each rule stands in the plan once: the array is made first and sifted afterwards.
+    checks = [F.struct(F.lit(field).alias("field"), _reason(flows, field).alias("reason")) for field in tax.FIELD_BOUNDS]
+    return flows.withColumn("problems", F.filter(F.array(*checks), lambda check: check["reason"].isNotNull()))
 
 
 def valid_and_refused(flows: DataFrame) -> tuple[DataFrame, DataFrame]:

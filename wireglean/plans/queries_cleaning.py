@@ -34,12 +34,14 @@ def c1(spark, sf_dir):
     return table.agg(F.count("*").alias("rows_in"), F.count_if(F.col("label") == "").alias("null_label_rows"))
 
 
-@query("c2_without_leakage", O.LABELLED + "SELECT destination_port, protocol, label, count(*) AS n "
-       "FROM labelled GROUP BY ALL")
+_PLAIN = [c for c in tax.CORE_FEATURES if c not in ("destination_port", "protocol")]
+
+
+@query("c2_without_leakage", O.LABELLED + "SELECT destination_port, protocol, label, "
+       + ", ".join(f"round({c}, 3) AS {c}" for c in _PLAIN) + " FROM labelled")
 def c2(spark, sf_dir):
     table = labelled(spark, sf_dir)
-    bare = table.drop(*cleaning.leakage_columns(table))
-    return bare.groupBy("destination_port", "protocol", "label").agg(F.count("*").alias("n"))
+    return rounded(table.drop(*cleaning.leakage_columns(table)), 3)
 
 
 @query("c3_infinity_count", O.LABELLED + """SELECT CAST(sum(CAST(isinf(flow_bytes_s) AS INT)
@@ -237,24 +239,35 @@ def e3(spark, sf_dir):
     return fitted(spark, sf_dir).vocabulary_table(spark).join(counts, ["feature", "category"])
 
 
-_SCALED = ["flow_duration", "flow_iat_std", "packets_per_second", "tcp_flag_density", "is_ephemeral_port"]
-
-
-@query("e4_feature_matrix", _RANGES + ", x AS (SELECT label, t.port_category, t.protocol, " + ", ".join(
+# All features: the numbers one by one, a one-hot group as the name of the entry that is set.
+@query("e4_feature_matrix", _RANGES + """, v AS (SELECT 'port_category' AS feature, port_category AS category FROM cleaned_derived
+    UNION ALL SELECT 'protocol', protocol FROM cleaned_derived),
+  rare AS (SELECT feature, category FROM v GROUP BY ALL HAVING count(*) < 0.001 * (SELECT count(*) FROM cleaned))
+  SELECT label, """ + ", ".join(
+    f"CASE WHEN t.{c} IN (SELECT category FROM rare WHERE feature = '{c}') THEN 'infrequent' ELSE t.{c} END AS {c}"
+    for c in ("port_category", "protocol")) + ", " + ", ".join(
     f"round((coalesce(CAST(t.{c} AS DOUBLE), m.{c}) - m.{c}) / CASE WHEN r.{c} = 0 THEN 1 ELSE r.{c} END, 5) AS {c}"
-    for c in _SCALED) + " FROM cleaned_derived t, med m, rng r) SELECT label, "
-    "CAST(port_category = 'http' AS DOUBLE) AS port_category_http, CAST(protocol = 'udp' AS DOUBLE) AS protocol_udp, "
-    + ", ".join(_SCALED) + " FROM x")
+    for c in _NUMERIC) + " FROM cleaned_derived t, med m, rng r")
 def e4(spark, sf_dir):
     model = fitted(spark, sf_dir)
     names = model.feature_names()
     rows = model.transform(clean_rows(spark, sf_dir), keep=["label"]).select(
         "label", vector_to_array("features").alias("x"))
-    shown = [*_SCALED, "port_category_http", "protocol_udp"]
-    return rows.select("label", *[F.round(F.get("x", F.lit(names.index(c))), 5).alias(c) for c in shown])
+
+    def hot(column):
+        places = [(i, n.removeprefix(f"{column}_")) for i, n in enumerate(names) if n.startswith(f"{column}_")]
+        found = F.filter(F.array(*[F.when(F.get("x", F.lit(i)) == 1, F.lit(n)) for i, n in places]), lambda v: v.isNotNull())
+        return F.array_join(found, "+").alias(column)
+
+    numbers = [n for n in names if n in _NUMERIC]
+    return rows.select("label", hot("port_category"), hot("protocol"),
+                       *[F.round(F.get("x", F.lit(names.index(c))), 5).alias(c) for c in numbers])
 
 
-@query("e5_fit_on_train_only")
+@query("e5_fit_on_train_only", _SPLIT + """, parts AS (SELECT 'train' AS split, CAST(sum(n_train) AS BIGINT) AS n FROM sd
+    UNION ALL SELECT 'validation', CAST(sum(m - n_train) AS BIGINT) FROM sd
+    UNION ALL SELECT 'test', CAST(sum(n - m) AS BIGINT) FROM sd)
+  SELECT split, n, CAST(1 AS BIGINT) AS widths, CAST(0 AS BIGINT) AS rows_not_finite FROM parts""")
 def e5(spark, sf_dir):
     """Learn on the training part, replay on the other two."""
     parts = sampling.stratified_split(clean_rows(spark, sf_dir))
@@ -262,7 +275,7 @@ def e5(spark, sf_dir):
     model = preprocessing.fit_preprocessor(train, feature_columns(train))
     rows = model.transform(parts, keep=["split"]).select("split", vector_to_array("features").alias("x"))
     return rows.groupBy("split").agg(
-        F.count("*").alias("n"), F.max(F.size("x")).alias("width"),
+        F.count("*").alias("n"), F.count_distinct(F.size("x")).alias("widths"),
         F.count_if(F.exists("x", lambda v: v.isNull() | F.isnan(v))).alias("rows_not_finite"),
     )
 
@@ -274,9 +287,9 @@ _NARROWED = O.LABELLED + " UNION ALL ".join(
 
 @query("x2_quantiles_by_narrowing", _NARROWED)
 def x2(spark, sf_dir):
-    """The way big tables take, whatever the size of this one."""
+    """The values as a dictionary on the driver, one per class, column and share."""
     columns, shares = ["flow_duration", "flow_iat_mean"], [0.05, 0.5, 0.95]
-    found = quantiles(labelled(spark, sf_dir), columns, shares, by="label", small_cells=0)
+    found = quantiles(labelled(spark, sf_dir), columns, shares, by="label")
     rows = [(g, c, s, v) for (g, c), vs in found.items() for s, v in zip(shares, vs)]
     return rounded(spark.createDataFrame(rows, "label string, feature string, share double, value double"), 4)
 

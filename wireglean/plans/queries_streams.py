@@ -1,5 +1,8 @@
 """Sources, sinks and streams, on files that Spark writes from the flow table first."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wireglean.operators import cleaning, features, scoring
@@ -145,10 +148,15 @@ def a9(spark, sf_dir):
     return totals(tables.read_clean(spark, folder), "label")
 
 
-@query("a10_sample_file", O.FLOWS + "SELECT label, count(*) AS n FROM raw_flows WHERE flow_id % 8 = 3 GROUP BY label")
+def each_bucket(build):
+    """What ``build`` makes of every eighth of the flows, as one table."""
+    return reduce(DataFrame.unionByName, [build(bucket).withColumn("bucket", F.lit(bucket).cast("bigint")) for bucket in range(8)])
+
+
+@query("a10_sample_file", O.FLOWS + "SELECT flow_id % 8 AS bucket, label, count(*) AS n FROM raw_flows GROUP BY ALL")
 def a10(spark, sf_dir):
-    read = csv_flows.load_sample(spark, bucket_path(spark, sf_dir, 3))
-    return read.groupBy("label").agg(F.count("*").alias("n"))
+    return each_bucket(lambda bucket: csv_flows.load_sample(spark, bucket_path(spark, sf_dir, bucket)).groupBy("label").agg(
+        F.count("*").alias("n")))
 
 
 @query("a11_report_round_trip", O.DISTINCT + """SELECT (SELECT count(*) FROM raw_flows) AS rows_in,
@@ -176,15 +184,19 @@ def a12(spark, sf_dir):
                        F.nullif("indicators", F.lit("")).alias("indicators"))
 
 
-@query("a13_intake", O.FLOWS + """, posted AS (SELECT *, row_number() OVER (ORDER BY flow_id) AS place FROM raw_flows
-    WHERE flow_id % 8 = 5)
-  SELECT flow_id, (SELECT count(*) FROM posted) AS rows_received, (SELECT count(*) FROM posted) > 300 AS truncated
-  FROM posted WHERE place <= 300""")
+# Eight uploads, which together hold all flows; the row limit is what an upload is checked for.
+@query("a13_intake", O.FLOWS + """, posted AS (SELECT flow_id, flow_id % 8 AS bucket,
+    row_number() OVER (PARTITION BY flow_id % 8 ORDER BY flow_id) AS place,
+    count(*) OVER (PARTITION BY flow_id % 8) AS rows_received FROM raw_flows)
+  SELECT bucket, flow_id, rows_received, rows_received > 300 AS truncated FROM posted WHERE place <= 300""")
 def a13(spark, sf_dir):
-    kept, facts = tables.read_upload(spark, bucket_path(spark, sf_dir, 5), max_rows=300)
-    return kept.select(F.col("flow_id").cast("bigint").alias("flow_id"),
-                       F.lit(facts["rows_received"]).cast("bigint").alias("rows_received"),
-                       F.lit(facts["truncated"]).alias("truncated"))
+    def upload(bucket):
+        kept, facts = tables.read_upload(spark, bucket_path(spark, sf_dir, bucket), max_rows=300)
+        return kept.select(F.col("flow_id").cast("bigint").alias("flow_id"),
+                           F.lit(facts["rows_received"]).cast("bigint").alias("rows_received"),
+                           F.lit(facts["truncated"]).alias("truncated"))
+
+    return each_bucket(upload)
 
 
 # --- streams ---------------------------------------------------------------------

@@ -90,9 +90,13 @@ ROWS_PER_PARTITION = 3_000
 
 
 def spread(rows: DataFrame, n: int) -> DataFrame:
-    """Partitions for fitting: an iteration is one short task per partition, so few rows want few."""
-    most = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(1, min(most, n // ROWS_PER_PARTITION)))
+    """Partitions for fitting, by content: one for each ``ROWS_PER_PARTITION`` rows.
+
+    An iteration is one short task per partition, so few rows want few. Neither the number nor the
+    rows of a partition depend on the cluster, and so neither do the draws that fits make per partition.
+    """
+    return rows.repartition(max(1, n // ROWS_PER_PARTITION), F.xxhash64(*rows.columns)).sortWithinPartitions(
+        F.xxhash64(F.lit(1), *rows.columns))
 
 
 def matrix(rows: DataFrame, preprocessor: Preprocessor, classes: list[str], keep: list[str]) -> DataFrame:
@@ -125,21 +129,33 @@ def measured(scored: DataFrame, classes: list[str]) -> dict:
 def cross_validated(train: DataFrame, name: str, classes: list[str], raw_columns: list[str],
                     settings: ModelSettings, folds: int = tax.FOLDS) -> dict:
     """Macro F1 over stratified folds; the preprocessor is fitted anew on each fold's own rows."""
-    parts = settle(sampling.with_folds(train, folds=folds, seed=settings.seed))
-    scores = []
+    return cross_validation(settle(sampling.with_folds(train, folds=folds, seed=settings.seed)), [name], classes,
+                            raw_columns, settings, folds)[name]
+
+
+def cross_validation(parts: DataFrame, names: list[str], classes: list[str], raw_columns: list[str],
+                     settings: ModelSettings, folds: int = tax.FOLDS) -> dict[str, dict]:
+    """:func:`cross_validated` for several candidates on rows that have a ``fold``; one preprocessor a fold."""
+    scores: dict[str, list[float]] = {name: [] for name in names}
     for fold in range(folds):
         inside = parts.where(F.col("fold") != fold).drop("fold")
         outside = parts.where(F.col("fold") == fold).drop("fold")
         preprocessor = fit_preprocessor(inside, raw_columns)
         weighted = sampling.balanced_weights(inside)
-        rows = spread(matrix(weighted, preprocessor, classes, ["label", "weight"]), inside.count()).persist()
-        model = models.fit_candidate(name, rows, settings)
+        rows = spread(matrix(weighted, preprocessor, classes, ["label", "weight"]), inside.count()).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        held_out = matrix(outside, preprocessor, classes, ["label"])
+        for name in names:
+            model = models.fit_candidate(name, rows, settings)
+            scored = models.classified(held_out, model, name, classes)
+            scores[name].append(evaluation.evaluate(scored, classes).first()["macro_f1"])
         rows.unpersist()
-        scored = models.classified(matrix(outside, preprocessor, classes, ["label"]), model, name, classes)
-        scores.append(evaluation.evaluate(scored, classes).first()["macro_f1"])
-    mean = sum(scores) / folds
-    spread = (sum((s - mean) ** 2 for s in scores) / folds) ** 0.5
-    return {"mean_macro_f1": mean, "std_macro_f1": spread}
+    found = {}
+    for name, values in scores.items():
+        mean = sum(values) / folds
+        found[name] = {"mean_macro_f1": mean, "std_macro_f1": (sum((v - mean) ** 2 for v in values) / folds) ** 0.5,
+                       "fold_macro_f1": values}
+    return found
 
 
 def train(clean: DataFrame, settings: ModelSettings | None = None, core_only: bool = True,
@@ -155,16 +171,20 @@ def train(clean: DataFrame, settings: ModelSettings | None = None, core_only: bo
     started = time.perf_counter()
     parts = settle(sampling.stratified_split(clean, seed=settings.seed))
     part = {p: parts.where(F.col("split") == p).drop("split") for p in sampling.PARTS}
-    counts = sampling.class_counts(clean)
+    counts = sampling.class_counts(parts)
     classes = sorted(counts)
+    # The cap bounds the rows that the classifiers iterate over; the preprocessor and the detector
+    # are fitted on the whole training part.
     train_rows = sampling.capped_classes(part["train"], cap=cap, seed=settings.seed)
+    if cap is not None:
+        train_rows = settle(train_rows)
     raw_columns = feature_columns(train_rows, core_only)
     if not raw_columns:
         raise ValueError("no feature columns in the table")
-    preprocessor = fit_preprocessor(train_rows, raw_columns)
+    preprocessor = fit_preprocessor(part["train"], raw_columns)
 
     weighted = sampling.balanced_weights(train_rows)
-    kept_rows = sum(sampling.class_counts(train_rows).values())
+    kept_rows = train_rows.count()
     rows = spread(matrix(weighted, preprocessor, classes, ["label", "weight"]), kept_rows).persist(
         StorageLevel.MEMORY_AND_DISK)
     validation = matrix(part["validation"], preprocessor, classes, ["label"]).persist(
@@ -181,12 +201,16 @@ def train(clean: DataFrame, settings: ModelSettings | None = None, core_only: bo
             continue
         seconds[name] = round(time.perf_counter() - began, 2)
         results[name] = measured(models.classified(validation, fitted[name], name, classes), classes)
-        if cross_validate:
-            folds[name] = cross_validated(train_rows, name, classes, raw_columns, settings)
     if not fitted:
         raise RuntimeError(f"every candidate failed: {failures}")
-
-    best = max(fitted, key=lambda name: results[name][selection_metric])
+    if cross_validate:
+        folds = cross_validation(settle(sampling.with_folds(train_rows, seed=settings.seed)), list(fitted), classes,
+                                 raw_columns, settings)
+
+    ranked = [(i, name, results[name][selection_metric]) for i, name in enumerate(fitted)]
+    best = evaluation.best_model(
+        clean.sparkSession.createDataFrame(ranked, f"position int, model string, {selection_metric} double"),
+        selection_metric).first()["model"]
     test = matrix(part["test"], preprocessor, classes, ["label"])
     test_result = measured(models.classified(test, fitted[best], best, classes), classes)
 
@@ -214,7 +238,8 @@ def train(clean: DataFrame, settings: ModelSettings | None = None, core_only: bo
         "total_runtime_seconds": round(time.perf_counter() - started, 2),
     }
     if with_detector:
-        vectors = rows.select("label", vector_to_array("features").alias("features_array"))
+        vectors = matrix(part["train"], preprocessor, classes, ["label"]).select(
+            "label", vector_to_array("features").alias("features_array"))
         bundle.detector = anomaly.fit_detector(vectors, trees=settings.detector_trees, seed=settings.seed)
         report["anomaly_detector"] = bundle.detector.facts()
     validation.unpersist()

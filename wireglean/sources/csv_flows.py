@@ -17,7 +17,6 @@ log = logging.getLogger(__name__)
 
 CORRUPT = "_corrupt"
 HEADER_JOBS = 16
-MAX_BROADCAST_BLOCKS = 200_000
 
 
 def csv_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,7 +40,7 @@ def csv_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def header_of(spark: SparkSession, path: str) -> list[str] | None:
     """The raw header cells of one file, or None when there is no line to read."""
-    reader = spark.read.option("header", False).option("ignoreLeadingWhiteSpace", True)
+    reader = spark.read.option("header", False).option("ignoreLeadingWhiteSpace", True).option("escape", '"')
     try:
         line = reader.csv(path).first()
     except Exception as error:  # an unreadable file is left out, as are its rows
@@ -51,11 +50,11 @@ def header_of(spark: SparkSession, path: str) -> list[str] | None:
 
 
 def _comma_count(record: Column) -> Column:
-    bare = F.regexp_replace(record, '"[^"]*"', "")
+    bare = F.regexp_replace(record, '"([^"]|"")*"', "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
 
 
-def read_group(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+def read_group(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> DataFrame:
     """Files that share one header, all cells as text.
 
     A short line is filled up with nulls, a line with too many cells is dropped, and
@@ -66,6 +65,8 @@ def read_group(spark: SparkSession, paths: list[str], names: list[str]) -> DataF
         spark.read.schema(schema).option("header", True).option("enforceSchema", True)
         .option("ignoreLeadingWhiteSpace", True).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", True)
+        # A quote inside a quoted cell is doubled; a cell with a line end needs multi_line.
+        .option("escape", '"').option("multiLine", multi_line)
         # Pruned cells are not counted, so a long line would pass when few columns are asked for.
         .option("columnPruning", False)
         .csv(paths)
@@ -93,8 +94,6 @@ def first_rows(rows: DataFrame, limit: int) -> DataFrame:
     placed = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     needed = placed.where(F.col("_start") < limit).withColumn("_whole", F.col("_start") + F.col("_n") <= limit)
     needed = settle(needed)
-    if needed.count() <= MAX_BROADCAST_BLOCKS:
-        needed = F.broadcast(needed)
     marked = rows.withColumn("_at", F.monotonically_increasing_id()).join(needed, ["_path", "_block"])
     whole = marked.where("_whole")
     order = Window.partitionBy("_path", "_block").orderBy("_at")
@@ -106,9 +105,11 @@ def first_rows(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def load_captures(spark: SparkSession, folder: str | None = None, files: list[str] | None = None,
-                  rows_per_file: int | None = None) -> DataFrame:
+                  rows_per_file: int | None = None, multi_line: bool = False) -> DataFrame:
     """All captures as one table of text columns with ``source_file``.
 
+    With ``multi_line`` a quoted cell may hold line ends; such files can't be split among tasks.
+
     Files with equal headers are read together; columns a file lacks are null. A file
     that cannot be read is left out, and no readable file is an error.
     """
@@ -127,7 +128,7 @@ def load_captures(spark: SparkSession, folder: str | None = None, files: list[st
         raise FileNotFoundError("none of the CSV files could be read")
     parts = []
     for names, paths in groups.items():
-        part = read_group(spark, paths, list(names))
+        part = read_group(spark, paths, list(names), multi_line)
         part = part if rows_per_file is None else first_rows(part, rows_per_file)
         parts.append(part.drop("_path", "_block"))
     combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

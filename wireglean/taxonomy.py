@@ -165,7 +165,6 @@ MIN_CLASS_ROWS = 50
 NUMERIC_SHARE = 0.90
 RARE_CATEGORY_SHARE = 0.001
 CONTAMINATION = 0.05
-CALIBRATION_ROWS = 50_000
 SEED = 42
 
 MAX_UPLOAD_MB = 25
