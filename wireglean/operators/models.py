@@ -4,15 +4,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
 from wireglean.functions.numbers import texts
+from wireglean.operators.boosting import Booster, fit_boosting
 from wireglean.operators.explanation import TreeNodes
 from wireglean.session import run_folder
 
@@ -32,7 +31,7 @@ class ModelSettings:
     boosting_depth: int = 8
     boosting_rate: float = 0.1
     boosting_share: float = 0.8
-    parallel_classes: int = 8
+    boosting_rows: int = 200_000  # the rows that boosting learns from, at most
     detector_trees: int = 200
     seed: int = tax.SEED
 
@@ -59,68 +58,69 @@ def _fit_forest(train: DataFrame, settings: ModelSettings) -> list:
     return [model]
 
 
-def _fit_boosting(train: DataFrame, settings: ModelSettings) -> list:
-    """One binary booster per class, several classes at a time."""
-    booster = GBTClassifier(
-        maxIter=settings.boosting_rounds, maxDepth=settings.boosting_depth,
-        stepSize=settings.boosting_rate, subsamplingRate=settings.boosting_share,
-        featureSubsetStrategy=str(settings.boosting_share), seed=settings.seed, maxMemoryInMB=512,
-    )
-    fitted = OneVsRest(
-        classifier=booster, featuresCol="features", labelCol="label_index", weightCol="weight",
-        parallelism=settings.parallel_classes,
-    ).fit(train)
-    return list(fitted.models)
-
+FITS = {LOGISTIC: _fit_logistic, FOREST: _fit_forest}
 
-FITS = {LOGISTIC: _fit_logistic, FOREST: _fit_forest, BOOSTING: _fit_boosting}
 
-
-def fit_candidate(name: str, train: DataFrame, settings: ModelSettings) -> PipelineModel:
+def fit_candidate(name: str, train: DataFrame, settings: ModelSettings) -> PipelineModel | Booster:
     """Fit one candidate on (features, label_index, weight)."""
+    if name == BOOSTING:
+        classes = int(train.agg(F.max("label_index")).first()[0] or 0) + 1
+        return fit_boosting(train, classes, settings.boosting_rounds, settings.boosting_depth, settings.boosting_rate,
+                            settings.boosting_share, settings.boosting_rows, settings.seed)
     stages = FITS[name](train, settings)
-    for i, stage in enumerate(stages):
+    for stage in stages:
         # Own output names; what is not used is not computed.
-        stage.setFeaturesCol("features").setPredictionCol("")
-        if name == BOOSTING:
-            stage.setRawPredictionCol(f"_raw{i}").setProbabilityCol("")
-        else:
-            stage.setRawPredictionCol("").setProbabilityCol("_probability")
+        stage.setFeaturesCol("features").setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_probability")
     return PipelineModel(stages)
 
 
 def _probabilities(name: str, classes: int) -> Column:
     if name != BOOSTING:
         return vector_to_array("_probability")
-    margins = [vector_to_array(f"_raw{i}")[1] for i in range(classes)]
-    odds = F.array(*[1.0 / (1.0 + F.exp(-2.0 * m)) for m in margins])
+    # Classes that training had no row of have no booster, and no chance.
+    odds = F.transform("_margins", lambda m: 1.0 / (1.0 + F.exp(-m)))
     total = F.aggregate(odds, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(odds, lambda p: p / total)
+    shares = F.transform(odds, lambda p: p / total)
+    return F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda i: F.coalesce(F.get(shares, i), F.lit(0.0)))
+
+
+def save_classifier(model: PipelineModel | Booster, spark, path: str) -> None:
+    if isinstance(model, Booster):
+        model.table(spark).write.mode("overwrite").parquet(path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_classifier(name: str, spark, path: str) -> PipelineModel | Booster:
+    return Booster.from_table(spark.read.parquet(path)) if name == BOOSTING else PipelineModel.load(path)
 
 
-def classified(df: DataFrame, model: PipelineModel, name: str, classes: list[str]) -> DataFrame:
+def classified(df: DataFrame, model: PipelineModel | Booster, name: str, classes: list[str]) -> DataFrame:
     """Add ``probabilities`` (in class order), ``confidence`` and ``prediction``."""
     scored = model.transform(df).withColumn("probabilities", _probabilities(name, len(classes)))
     scored = scored.withColumn("confidence", F.array_max("probabilities"))
     winner = F.expr(f"element_at(array({texts(classes)}), int(array_position(probabilities, confidence)))")
-    internal = [c for c in scored.columns if c == "_probability" or c.startswith("_raw")]
-    return scored.withColumn("prediction", winner).drop(*internal)
+    return scored.withColumn("prediction", winner).drop("_probability", "_margins")
 
 
-def importances(model: PipelineModel, name: str) -> list[float]:
-    """Global importance per feature: mean absolute coefficient, or mean split importance."""
+def importances(model: PipelineModel | Booster, name: str, width: int) -> list[float]:
+    """Global importance per feature: mean absolute coefficient, mean split importance, or share of splits."""
+    if name == BOOSTING:
+        return model.importances(width).tolist()
     if name == LOGISTIC:
         return abs(model.stages[0].coefficientMatrix.toArray()).mean(axis=0).tolist()
     parts = [stage.featureImportances.toArray() for stage in model.stages]
     return (sum(parts[1:], parts[0]) / len(parts)).tolist()
 
 
-def tree_nodes(model: PipelineModel, name: str, classes: int, spark) -> TreeNodes:
-    """The split nodes of a forest or booster, read from its saved form.
+def tree_nodes(model: PipelineModel | Booster, name: str, classes: int, spark) -> TreeNodes:
+    """The split nodes of a forest or booster; a forest is read from its saved form.
 
     Their number follows from the settings of the model (trees times nodes of a tree), as does the
     model's own size on the driver.
     """
+    if name == BOOSTING:
+        return TreeNodes(model.trees(), classes)
     folder = run_folder(spark, "model-nodes")
     model.write().save(folder)
     trees = []
@@ -131,18 +131,13 @@ def tree_nodes(model: PipelineModel, name: str, classes: int, spark) -> TreeNode
             "nodeData.leftChild", "nodeData.rightChild", F.col("nodeData.split.featureIndex").alias("feature"),
             F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         ).toPandas()
-        for tree, nodes in rows.groupby("treeID"):
+        for _, nodes in rows.groupby("treeID"):
             nodes = nodes.sort_values("id")
-            if name == FOREST:
-                value = np.stack(nodes["impurityStats"].to_numpy())
-                value = value / np.maximum(value.sum(axis=1, keepdims=True), 1e-300)
-                weight, only = 1.0 / stage.getNumTrees, None
-            else:
-                value = nodes["prediction"].to_numpy()[:, None]
-                weight, only = float(stage.treeWeights[int(tree)]), i
+            value = np.stack(nodes["impurityStats"].to_numpy())
+            value = value / np.maximum(value.sum(axis=1, keepdims=True), 1e-300)
             trees.append({
                 "feature": nodes["feature"].to_numpy(), "threshold": nodes["threshold"].fillna(0.0).to_numpy(),
                 "left": nodes["leftChild"].to_numpy(), "right": nodes["rightChild"].to_numpy(),
-                "value": value, "weight": weight, "only": only,
+                "value": value, "weight": 1.0 / stage.getNumTrees, "only": None,
             })
     return TreeNodes(trees, classes)

@@ -16,6 +16,7 @@ from wireglean import __version__
 from wireglean import taxonomy as tax
 from wireglean.functions.numbers import texts
 from wireglean.operators import anomaly, evaluation, models, sampling
+from wireglean.operators.boosting import Booster
 from wireglean.operators.features import feature_columns
 from wireglean.operators.models import ModelSettings
 from wireglean.operators.preprocessing import Preprocessor, fit_preprocessor
@@ -29,12 +30,13 @@ class Bundle:
     name: str
     classes: list[str]
     preprocessor: Preprocessor
-    model: PipelineModel
+    model: PipelineModel | Booster
     training_rows: int
     version: str = __version__
     trained_at: str = ""
     metrics: dict = field(default_factory=dict)
     detector: anomaly.Detector | None = None
+    candidates: dict = field(default_factory=dict)  # all fitted models by name; not saved
 
     def facts(self) -> dict:
         names = self.preprocessor.feature_names()
@@ -55,7 +57,7 @@ class Bundle:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """One folder: the classifier, the detector's trees, and the parameters as JSON."""
-        self.model.write().overwrite().save(f"{path}/classifier")
+        models.save_classifier(self.model, spark, f"{path}/classifier")
         document = self.facts() | {"preprocessor": self.preprocessor.to_dict()}
         if self.detector:
             self.detector.forest.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/detector")
@@ -74,7 +76,7 @@ class Bundle:
                                         d["trained_on_rows"])
         return Bundle(
             document["model_name"], document["supported_classes"], Preprocessor(**document["preprocessor"]),
-            PipelineModel.load(f"{path}/classifier"), document["training_rows"], document["model_version"],
+            models.load_classifier(document["model_name"], spark, f"{path}/classifier"), document["training_rows"], document["model_version"],
             document["trained_at"], document["metrics"], detector,
         )
 
@@ -217,7 +219,7 @@ def train(clean: DataFrame, settings: ModelSettings | None = None, core_only: bo
     bundle = Bundle(
         best, classes, preprocessor, fitted[best], training_rows,
         trained_at=datetime.now(timezone.utc).isoformat(timespec="seconds"),
-        metrics={"validation": results[best], "test": test_result},
+        metrics={"validation": results[best], "test": test_result}, candidates=fitted,
     )
     spark = clean.sparkSession
     compared = evaluation.comparison_table({n: json_table(spark, r) for n, r in results.items()})
