@@ -286,11 +286,23 @@ def test_near_duplicates_match_brute_force(spark):
     assert jaccard_join.near_duplicates(frame.limit(0)).count() == 0
 
 
-def test_hot_shingles_keep_their_links(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "HOT", 0)  # every shingle takes the spread path
-    rows = [(i, " ".join(f"w{j}" for j in range(60)) + f" e{i}") for i in range(30)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["component_id"] for r in jaccard_join.near_duplicates(frame).collect()} == {0}
+def test_copies_spread_over_files_keep_their_links(spark, tmp_path):
+    draw = random.Random(3)
+    rows = []
+    for i in range(60):
+        w = [f"w{j}" for j in range(90)]
+        for _ in range(i % 4):
+            w[draw.randrange(90)] = f"x{draw.randrange(10_000)}"
+        rows.append((i, " ".join(w)))
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(7).write.parquet(str(tmp_path / "docs"))
+    found = jaccard_join.near_duplicates(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=str) == brute_components(rows)
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [5], [1, 2, 3, 1 << 43]):
+        numbers = np.array(numbers, np.uint64)
+        assert (jaccard_join._unpack(jaccard_join._pack(numbers)) == numbers).all()
 
 
 # --- 7: reply trees

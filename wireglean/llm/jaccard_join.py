@@ -1,32 +1,37 @@
 """N-gram Jaccard join by prefix filtering.
 
-A document is the set of its word shingles. Shingles are ordered rare first, by counts over all
-documents in a sketch of fixed size; two sets that reach the similarity share a shingle among the
-first few of each (its prefix), so only prefixes are joined. Exact copies of a set are one class from the start.
-Within the documents that share a prefix shingle no pairs are listed at first: each is held
-against the bucket's smallest set, and what that connects is never compared again. Only documents of
-different components are then joined pair by pair, past length, positional and suffix filters,
-and every pair is verified once on the whole sets.
+A document is the set of its word shingles. Shingles are ordered rare first, by the number of documents
+that have them; two sets that reach the similarity share a shingle among the first few of each (its
+prefix), so only prefixes are joined, and of these only shingles that several documents have. Exact copies of a
+set are one class from the start. Within the documents that share a prefix shingle no pairs are
+listed at first: each is held against the one with the fewest shingles of its own, and what that connects is
+never compared again. Only documents of different components are then joined pair by pair, past
+length, positional and suffix filters, and every pair is verified once on the whole sets.
+
+Document counts are exact up to shared hashes. Rows of shingles would be several times the input, so each
+file block sends the sorted hashes of its shingles as packed differences, and is sent back those
+that other blocks or several of its documents have, with the size of their count.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import Workspace, components, pick, query, slices, table
+from wireglean.llm.common import Workspace, components, file_system, held, pick, query, slices, table
 from wireglean.llm.fm_index import joined, words
 
 SHINGLE_WORDS = 5
 #: Similarity as a fraction: linked when DOWN * intersection >= UP * union.
 UP, DOWN = 80, 100
-#: Counters of the sketch that orders shingles; its size does not grow with the corpus.
-COUNTERS = 1 << 18
-_CHUNK = 1 << 10
-#: A shingle whose counter is above so many times the mean is dealt out by document, not by shingle.
-HOT = 64
+#: Bits of a shingle that its count goes by. Shingles that agree in them count together, which makes them
+#: look shared, never unique.
+COUNTED_BITS = 44
+#: Folders among which the counts of blocks are written.
+FOLDERS = 256
 #: Verified pairs of one document that go to one task.
 PARTNERS = 256
 _BITS = 50
@@ -67,98 +72,199 @@ def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return (key >> np.uint64(_BITS)).astype(np.int64), key & np.uint64((1 << _BITS) - 1)
 
 
-def _counter(shingle: np.ndarray) -> np.ndarray:
-    return (shingle & np.uint64(COUNTERS - 1)).astype(np.int64)
+def in_blocks(docs: DataFrame, ws: Workspace, id_column: str, text_column: str) -> DataFrame:
+    """(id, text, block): each row with a number for the block of the file it lies in, the same in every pass.
 
+    A table that is not read from files is settled first.
+    """
+    block = F.expr("xxhash64(_metadata.file_path, _metadata.file_block_start)")
+    try:
+        rows = docs.select(F.col(f"`{id_column}`"), F.col(f"`{text_column}`"), block)
+    except AnalysisException:
+        rows = ws.settle(pick(docs, id_column, text_column).toDF("id", "text"), "documents").select("id", "text", block)
+    return rows.toDF("id", "text", "block").withColumn("id", F.col("id").cast("long"))
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Sorted numbers as compressed differences, byte plane by byte plane."""
+    import zstandard
+
+    planes = np.diff(numbers, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return held(("packer",), lambda: zstandard.ZstdCompressor(level=1)).compress(planes.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    import zstandard
+
+    raw = held(("unpacker",), zstandard.ZstdDecompressor).decompress(packed)
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel())
 
-def profile(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, np.ndarray]:
-    """((id, n, s1, s2) of each document, counts of all shingles by counter), in one pass.
 
-    s1 and s2 are two sums over the set: equal sets have equal sums. Every task adds up its own counters
-    and sends them in chunks, which are added up by chunk as they stream by.
+_PROFILE = "id long, n long, s1 long, s2 long, block long, range int, shingles binary, counts binary"
+
+
+def profile(rows: DataFrame, ranges: int) -> DataFrame:
+    """Two kinds of rows: (id, n, s1, s2) of each document, and (block, range, shingles, counts) of each file block.
+
+    s1 and s2 are two sums over the set: equal sets have equal sums. The shingles of a block are those of its
+    documents, cut into ranges of hashes, each with the number of the block's documents that have it (255 at most).
     """
-    schema = "id long, n long, s1 long, s2 long, chunk int, counts binary"
+    shift = np.uint64(_BITS - COUNTED_BITS)
+    per_range = np.uint64(COUNTED_BITS - (ranges - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
+        block, parts = None, []
+
+        def ended() -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(parts), return_counts=True)
+            edge = np.searchsorted(found >> per_range, np.arange(ranges + 1, dtype=np.uint64))
+            used = np.flatnonzero(np.diff(edge))
+            none = pa.nulls(len(used), pa.int64())
+            small = np.minimum(n, 255).astype(np.uint8)
+            return pa.RecordBatch.from_arrays(
+                [none, none, none, none, pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()),
+                 pa.array([_pack(found[edge[r]:edge[r + 1]]) for r in used], pa.binary()),
+                 pa.array([small[edge[r]:edge[r + 1]].tobytes() for r in used], pa.binary())],
+                names=["id", "n", "s1", "s2", "block", "range", "shingles", "counts"])
+
         for batch in batches:
-            for part in slices(batch, "text", rows=_ROWS):
+            for part in _by_block(batch):
+                own = part.column("block")[0].as_py()
+                if own != block and parts:
+                    yield ended()
+                    parts = []
+                block = own
                 doc, shingle = shingle_sets(part.column("text").to_pylist())
-                counts += np.bincount(_counter(shingle), minlength=COUNTERS)
+                parts.append(shingle >> shift)
+                if len(parts) > 64:  # what repeats within the block is counted once all of it is there
+                    parts = [np.concatenate(parts)]
                 n = np.bincount(doc, minlength=part.num_rows)
                 sums = [np.zeros(part.num_rows, np.uint64) for _ in range(2)]
                 if len(doc):
                     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
                     for s, odd in zip(sums, (0x94D049BB133111EB, 0xD6E8FEB86659FD93)):
                         s[doc[first]] = np.add.reduceat(_mix(shingle + np.uint64(1), odd), first)
-                none = pa.nulls(part.num_rows, pa.int32())
+                k = part.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), none,
-                     pa.nulls(part.num_rows, pa.binary())], names=["id", "n", "s1", "s2", "chunk", "counts"])
-        used = [c for c in range(COUNTERS // _CHUNK) if counts[c * _CHUNK:(c + 1) * _CHUNK].any()]
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(used, pa.int32()),
-             pa.array([counts[c * _CHUNK:(c + 1) * _CHUNK].tobytes() for c in used], pa.binary())],
-            names=["id", "n", "s1", "s2", "chunk", "counts"])
-
-    both = ws.settle(docs.select("id", "text").mapInArrow(run, schema), "profile")
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                total[chunk] = total.get(chunk, 0) + np.frombuffer(counts, np.int64)
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(total), pa.int32()),
-                                          "counts": pa.array([t.tobytes() for t in total.values()], pa.binary())})
+                    [part.column("id"), pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums),
+                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())],
+                    names=["id", "n", "s1", "s2", "block", "range", "shingles", "counts"])
+        if parts:
+            yield ended()
+
+    return rows.select("id", "text", "block").mapInArrow(run, _PROFILE)
 
-    chunks = both.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(
-        add, "chunk int, counts binary")
-    counts = np.zeros(COUNTERS, np.int64)
-    for row in chunks.collect():  # the sketch, of fixed size
-        counts[row["chunk"] * _CHUNK:(row["chunk"] + 1) * _CHUNK] += np.frombuffer(row["counts"], np.int64)
-    return both.where("chunk IS NULL").select("id", "n", "s1", "s2"), counts
 
+def _by_block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Bounded pieces of a batch that stay within a file block."""
+    block = np.asarray(batch.column("block"))
+    edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else []
+    for a, b in zip(edge[:-1], edge[1:]):
+        yield from slices(batch.slice(a, b - a), "text", rows=_ROWS)
 
-def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(shingle, hot, id, n, place) of the prefix of each document, once a task for equal sets.
 
-    The order is rare first: by the logarithm of the counter, then by the shingle itself.
+def shared_shingles(profiled: DataFrame) -> DataFrame:
+    """(folder, block, range, shingles, sizes): of each block the shingles that several documents have anywhere, and
+    the logarithm of their number. Ranges come one after another, each a small share of all shingles."""
+    lists = profiled.where("block IS NOT NULL").select("block", "range", "shingles", "counts")
+    ordered = lists.repartition("range").sortWithinPartitions("range")
+    schema = "folder int, block long, range int, shingles binary, sizes binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows = None, []
+
+        def merged() -> Iterator[pa.RecordBatch]:
+            parts = [_unpack(r[2]) for r in rows]
+            found, place = np.unique(np.concatenate(parts), return_inverse=True)
+            n = np.bincount(place, weights=np.concatenate([np.frombuffer(r[3], np.uint8) for r in rows]).astype(float))
+            size = np.minimum(63, 4 * np.log2(n)).astype(np.uint8)[place]
+            several = (n > 1)[place]
+            at = 0
+            for (block, number, _, _), own in zip(rows, parts):
+                keep = several[at:at + len(own)]
+                if keep.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block % FOLDERS], pa.int32()), pa.array([block], pa.int64()), pa.array([number], pa.int32()),
+                         pa.array([_pack(own[keep])], pa.binary()),
+                         pa.array([size[at:at + len(own)][keep].tobytes()], pa.binary())],
+                        names=["folder", "block", "range", "shingles", "sizes"])
+                at += len(own)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if rows and row[1] != current:
+                    yield from merged()
+                    rows = []
+                current = row[1]
+                rows.append(row)
+        if rows:
+            yield from merged()
+
+    return ordered.mapInArrow(run, schema)
+
+
+def _counts_of(path: str, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, sizes) of a block, read inside a task from the folder that holds it."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    store, name = file_system(path)
+    folder = f"{name}/folder={block % FOLDERS}"
+    if store.get_file_info(folder).type == fs.FileType.NotFound:
+        return np.empty(0, np.uint64), np.empty(0, np.uint8)
+    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".parquet"))
+    found = ds.dataset(files, filesystem=store, format="parquet").to_table(filter=ds.field("block") == block).sort_by("range")
+    if not found.num_rows:
+        return np.empty(0, np.uint64), np.empty(0, np.uint8)
+    return (np.concatenate([_unpack(p) for p in found["shingles"].to_pylist()]),
+            np.concatenate([np.frombuffer(p, np.uint8) for p in found["sizes"].to_pylist()]))
+
+
+def prefixes(rows: DataFrame, path: str) -> DataFrame:
+    """(shingle, id, n, place, own) of the prefix of each document, once a task for equal sets.
+
+    The order is rare first: by the logarithm of the count, then by the shingle itself. Shingles that no other
+    document has are the first, ``own`` of them; they have their places but are not sent, since nothing meets them.
     """
-    step = np.minimum(63, 4 * np.log2(np.maximum(counts, 1))).astype(np.uint64)
-    hot = counts > HOT * max(1.0, counts.mean())
-    shared = docs.sparkSession.sparkContext.broadcast((step.astype(np.uint8).tobytes(), np.packbits(hot).tobytes()))
+    shift = np.uint64(_BITS - COUNTED_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = np.frombuffer(shared.value[0], np.uint8).astype(np.uint64)
-        hot = np.unpackbits(np.frombuffer(shared.value[1], np.uint8)).astype(bool)
         seen: set[bytes] = set()
+        block, known, size = None, np.empty(0, np.uint64), np.empty(0, np.uint8)
         for batch in batches:
-            for part in slices(batch, "text", rows=_ROWS):
+            for part in _by_block(batch):
+                if part.column("block")[0].as_py() != block:
+                    block = part.column("block")[0].as_py()
+                    known, size = _counts_of(path, block)
                 doc, shingle = shingle_sets(part.column("text").to_pylist())
-                if not len(doc):
+                if not len(doc) or not len(known):
                     continue
+                short = shingle >> shift
+                at = np.minimum(np.searchsorted(known, short), len(known) - 1)
+                step = np.where(known[at] == short, size[at], 0).astype(np.uint64)
                 n = np.bincount(doc, minlength=part.num_rows)
                 first = np.cumsum(n) - n
-                key = np.sort((doc.astype(np.uint64) << np.uint64(_BITS + 6)) | (step[_counter(shingle)] << np.uint64(_BITS))
-                              | shingle)
+                own = np.bincount(doc, weights=step == 0, minlength=part.num_rows).astype(np.int64)
+                key = np.sort((doc.astype(np.uint64) << np.uint64(_BITS + 6)) | (step << np.uint64(_BITS)) | shingle)
                 shingle = key & np.uint64((1 << _BITS) - 1)
+                last = n - -(-UP * n // DOWN)  # the last place of the prefix
                 fresh = np.zeros(part.num_rows, bool)
-                for d in np.flatnonzero(n):
-                    own = _digest(shingle[first[d]:first[d] + n[d]])
-                    if own not in seen:
+                for d in np.flatnonzero((n > 0) & (own <= last)):
+                    name = _digest(shingle[first[d]:first[d] + n[d]])
+                    if name not in seen:
                         fresh[d] = True
                         if len(seen) < 1_000_000:  # a memory for repeated sets; what it forgets is merely sent twice
-                            seen.add(own)
+                            seen.add(name)
                 place = np.arange(len(doc)) - first[doc]
-                keep = fresh[doc] & (place <= (n - -(-UP * n // DOWN))[doc])
-                ids = np.array(part.column("id").to_pylist())
+                keep = fresh[doc] & (place >= own[doc]) & (place <= last[doc])
+                ids = np.array([i if i is not None else 0 for i in part.column("id").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shingle[keep].astype(np.int64)), pa.array(hot[_counter(shingle[keep])]),
-                     pa.array(ids[doc[keep]], pa.int64()), pa.array(n[doc[keep]], pa.int32()),
-                     pa.array(place[keep], pa.int32())], names=["shingle", "hot", "id", "n", "place"])
+                    [pa.array(shingle[keep].astype(np.int64)), pa.array(ids[doc[keep]], pa.int64()),
+                     pa.array(n[doc[keep]], pa.int32()), pa.array(place[keep], pa.int32()), pa.array(own[doc[keep]], pa.int32())],
+                    names=["shingle", "id", "n", "place", "own"])
 
-    return docs.select("id", "text").mapInArrow(run, "shingle long, hot boolean, id long, n int, place int")
+    return rows.select("id", "text", "block").where("id IS NOT NULL").mapInArrow(
+        run, "shingle long, id long, n int, place int, own int")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -167,32 +273,6 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def buckets(prefix: DataFrame) -> DataFrame:
-    """The prefix rows whose shingle stands in more than one row (hot shingles: all of their rows).
-
-    Rows are dealt by shingle and stream by in order, so a bucket is never held; rows of hot shingles are
-    dealt by document as well, since they need no company to be kept.
-    """
-    deal = F.when(F.col("hot"), F.xxhash64("shingle", "id")).otherwise(F.col("shingle"))
-    ordered = prefix.repartition(deal).sortWithinPartitions("shingle")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, gone = None, False  # the row before, and whether it has gone out
-        for batch in batches:
-            if last is not None:
-                batch = pa.concat_batches([last, batch])
-            code = np.asarray(batch.column("shingle"))
-            same = code[1:] == code[:-1]
-            keep = np.r_[False, same] | np.r_[same, False] | np.asarray(batch.column("hot"))
-            known = keep[-1]
-            if gone:
-                keep[0] = False
-            yield batch.filter(pa.array(keep))
-            last, gone = batch.slice(batch.num_rows - 1), bool(known)
-
-    return ordered.mapInArrow(run, prefix.schema).drop("hot")
-
-
 def _alpha(a: str, b: str):
     """Shared shingles that sets of sizes a and b need: the smallest I with DOWN * I >= UP * (a + b - I)."""
     return F.ceil(F.lit(UP) * (F.col(a) + F.col(b)) / F.lit(UP + DOWN) - F.lit(1e-9))
@@ -204,10 +284,12 @@ def _lengths(small: str, large: str):
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): each member of a bucket with the bucket's smallest set, once, past the length filter."""
-    least = members.groupBy("shingle").agg(F.min(F.struct("n", "node")).alias("least"))
+    """(a, b): each member of a bucket with the one that has the fewest shingles of its own, once, past the
+    length filter. In a group of edited copies that is the text the others were made from."""
+    least = members.groupBy("shingle").agg(F.min(F.struct("own", "n", "node")).alias("least"))
     pairs = members.join(least, "shingle").where("node <> least.node").withColumn("m", F.col("least.n"))
-    return (pairs.where(_lengths("m", "n")).select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct())
+    return (pairs.where(_lengths("m", "n") & _lengths("n", "m"))
+            .select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct())
 
 
 def cross_pairs(members: DataFrame, component: DataFrame, known: DataFrame) -> DataFrame:
@@ -217,15 +299,16 @@ def cross_pairs(members: DataFrame, component: DataFrame, known: DataFrame) -> D
     mixed = (placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("shingle"))
     left = placed.join(mixed, "shingle")
-    right = left.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component")])
-    # At a shared shingle, what can be shared is at most the lesser of what stands before, itself, and the
-    # lesser of what stands behind.
-    bound = (F.least("place", "place_b") + 1 + F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) - 1)
+    right = left.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "own", "component")])
+    # At a shared shingle, what can be shared is at most the lesser of what stands before (without the
+    # shingles of their own), itself, and the lesser of what stands behind.
+    bound = (F.least(F.col("place") - F.col("own"), F.col("place_b") - F.col("own_b")) + 1
+             + F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) - 1)
     pairs = left.join(right, "shingle").where(
         (F.struct("n", "node") < F.struct("n_b", "node_b")) & (F.col("component") != F.col("component_b"))
         & _lengths("n", "n_b") & (bound >= _alpha("n", "n_b")))
     return (pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
-            .join(known, ["a", "b"], "left_anti"))
+            .join(known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
 
 
 def _overlap(x: np.ndarray, y: np.ndarray, need: int, depth: int = 3) -> int:
@@ -295,22 +378,28 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     with nothing. Rows of one id are one document: what links with either links with both. Rows without id
     are linked with nothing and have no component. An empty table gives an empty one.
     """
-    ws = Workspace(docs.sparkSession, "jaccard")
-    rows = pick(docs, id_column, text_column).toDF("id", "text").withColumn("id", F.col("id").cast("long"))
-    named = rows.where("id IS NOT NULL")
-    sized, counts = profile(rows, ws)
+    spark = docs.sparkSession
+    ws = Workspace(spark, "jaccard")
+    rows = in_blocks(docs, ws, id_column, text_column)
+    ranges = 1 << max(6, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    profiled = ws.settle(profile(rows, ranges), "profile")
+    shared_shingles(profiled).repartition("block").write.partitionBy("folder").parquet(f"{ws.folder}/counts")
     # Equal sets are one class, named by its smallest id; a class with a large share of the rows combines
     # before the shuffle, and the join back is one the session splits.
+    sized = profiled.where("block IS NULL").select("id", "n", "s1", "s2")
     classes = sized.where("n > 0 AND id IS NOT NULL").groupBy("n", "s1", "s2").agg(F.min("id").alias("node"))
     mapped = ws.settle(sized.join(classes, ["n", "s1", "s2"], "left").select(
         "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("node", "id")).alias("node")), "mapped")
-    shared = ws.settle(buckets(prefixes(named, counts)), "buckets")
+    ws.drop("profile")
+    named = rows.where("id IS NOT NULL").select("id", "text")
     own = mapped.where("id IS NOT NULL").select("id", "node").distinct()
-    members = shared.join(own, "id").select("shingle", "node", "n", "place").distinct()
+    sent = ws.settle(prefixes(rows, f"{ws.folder}/counts"), "prefixes")
+    ws.drop("counts")
+    members = sent.join(own, "id").select("shingle", "node", "n", "place", "own").distinct()
     several = (members.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"))
                .where("low <> high").select("shingle"))
     members = ws.settle(members.join(several, "shingle"), "members")
-    ws.drop("buckets")
+    ws.drop("prefixes")
     texts = ws.settle(named.join(members.select(F.col("node").alias("id")).distinct(), "id"), "texts")
     stars = ws.settle(star_pairs(members), "stars")
     links = ws.settle(verified(stars, texts, ws, "star-deal"), "star-links")
