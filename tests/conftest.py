@@ -40,16 +40,16 @@ def trained(clean_table):
 
 
 EXAMPLES = {
-    # A web session, a probe of a remote-desktop port, and a SYN flood.
-    "benign": dict(destination_port=443, protocol=6, flow_duration=5e6, total_fwd_packets=25.0,
-                   total_backward_packets=22.0, total_length_of_fwd_packets=3200.0,
-                   total_length_of_bwd_packets=18000.0, syn_flag_count=1.0, ack_flag_count=20.0),
-    "scan": dict(destination_port=3389, protocol=6, flow_duration=120.0, total_fwd_packets=2.0,
+    # A mail delivery, a knock on a database port, and a burst of handshakes that nobody answers.
+    "benign": dict(destination_port=993, protocol=6, flow_duration=731_000.0, total_fwd_packets=17.0,
+                   total_backward_packets=13.0, total_length_of_fwd_packets=4_410.0,
+                   total_length_of_bwd_packets=6_120.0, syn_flag_count=2.0, ack_flag_count=13.0),
+    "scan": dict(destination_port=1433, protocol=6, flow_duration=77.0, total_fwd_packets=1.0,
                  total_backward_packets=0.0, total_length_of_fwd_packets=0.0,
-                 total_length_of_bwd_packets=0.0, syn_flag_count=2.0, ack_flag_count=0.0),
-    "flood": dict(destination_port=80, protocol=6, flow_duration=3000.0, total_fwd_packets=480.0,
-                  total_backward_packets=1.0, total_length_of_fwd_packets=28800.0,
-                  total_length_of_bwd_packets=0.0, syn_flag_count=480.0, ack_flag_count=0.0),
+                 total_length_of_bwd_packets=0.0, syn_flag_count=1.0, ack_flag_count=0.0),
+    "flood": dict(destination_port=443, protocol=6, flow_duration=1_900.0, total_fwd_packets=353.0,
+                  total_backward_packets=2.0, total_length_of_fwd_packets=21_886.0,
+                  total_length_of_bwd_packets=0.0, syn_flag_count=353.0, ack_flag_count=2.0),
 }
 
 

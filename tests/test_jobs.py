@@ -61,6 +61,16 @@ def test_rows_per_file_follow_the_file(spark, tmp_path):
     assert big == list(range(1700)) and len(got) == 1703
 
 
+def test_quotes_inside_cells_are_kept(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('Flow ID,Note,Label\n1,"a ""q, r"" b",BENIGN\n2,"x,""y""",Bot,extra\n3,plain,Bot\n')
+    got = {r["flow_id"]: (r["note"], r["label"]) for r in csv_flows.load_captures(spark, str(tmp_path)).collect()}
+    assert got == {"1": ('a "q, r" b', "BENIGN"), "3": ("plain", "Bot")}
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "q.csv").write_text('Flow ID,Note,Label\n1,"two\nlines",BENIGN\n')
+    row = csv_flows.load_captures(spark, str(tmp_path / "m"), multi_line=True).first()
+    assert (row["note"], row["label"]) == ("two\nlines", "BENIGN")
+
+
 def test_nothing_to_read_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         csv_flows.load_captures(spark, str(tmp_path / "none"))
@@ -160,6 +170,30 @@ def test_summary_adds_up(trained, flows):
     assert sum(s["attack_distribution"].values()) == s["total_records"]
 
 
+def test_all_candidates_are_cross_validated(clean_table):
+    settings = ModelSettings(logistic_iterations=5, forest_trees=2, forest_depth=3, boosting_rounds=2, boosting_depth=2,
+                             detector_trees=3)
+    _, report = training.train(clean_table, settings, cross_validate=True, with_detector=False,
+                               selection_metric="false_alarm_rate")
+    assert sorted(report["cross_validation"]) == sorted(models.CANDIDATES)
+    for found in report["cross_validation"].values():
+        assert len(found["fold_macro_f1"]) == tax.FOLDS and 0 <= found["mean_macro_f1"] <= 1
+    alarms = {n: r["false_alarm_rate"] for n, r in report["validation_results"].items()}
+    assert alarms[report["selected_model"]] == min(alarms.values())
+
+
+def test_boosting_learns_what_a_line_cannot(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 3))
+    label = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    from pyspark.ml.linalg import Vectors
+    table = spark.createDataFrame([(Vectors.dense(r), float(k), 1.0) for r, k in zip(x, label)],
+                                  ["features", "label_index", "weight"])
+    model = models.fit_candidate(models.BOOSTING, table, ModelSettings(boosting_rounds=30, boosting_depth=3))
+    got = models.classified(table, model, models.BOOSTING, ["no", "yes"]).select("label_index", "prediction").collect()
+    assert sum((r["prediction"] == "yes") == (r["label_index"] == 1) for r in got) > 0.95 * len(got)
+
+
 def test_a_failing_candidate_is_skipped(clean_table):
     settings = ModelSettings(candidates=["NoSuchModel", models.FOREST], forest_trees=2, forest_depth=3)
     bundle, report = training.train(clean_table, settings, with_detector=False)
@@ -313,6 +347,20 @@ def test_prepare_train_score(spark, flows, tmp_path):
     flows.write.parquet(str(tmp_path / "new"))
     summary = jobs.score(spark, str(tmp_path / "new"), bundle, out).first()
     assert summary["total_records"] == flows.count() == spark.read.parquet(out).count()
+    upload = tmp_path / "up.csv"
+    upload.write_text("Destination Port,Total Fwd Packets\n443,5\n80,-3\nhttp,1\n22,9\n")
+    answer = jobs.score_upload(spark, str(upload), bundle, str(tmp_path / "answer"), max_rows=3, preview_rows=2, explain=True)
+    assert (answer["rows_received"], answer["truncated"], answer["rows_refused"]) == (4, True, 2)
+    assert answer["summary"].first()["total_records"] == 1 and answer["preview"].count() == 1
+    assert spark.read.parquet(str(tmp_path / "answer/scored")).first()["explanation"].startswith("Classified as")
+    queries = jobs.stream(spark, str(tmp_path / "new"), bundle, str(tmp_path / "live"), every="1 second")
+    for query in queries:
+        query.processAllAvailable()
+        query.stop()
+    assert spark.read.parquet(str(tmp_path / "live/scored")).count() == flows.count()
+    assert live.LatestTable(str(tmp_path / "live/counters")).read(spark).first()["analysed"] == flows.count()
+    names = jobs.write_reports(spark, clean, out, str(tmp_path / "reports"))
+    assert all(spark.read.parquet(str(tmp_path / "reports" / n)).columns for n in names) and len(names) >= 10
     spark.read.parquet(clean).drop("label").write.parquet(str(tmp_path / "bare"))
     with pytest.raises(KeyError):
         jobs.train(spark, str(tmp_path / "bare"), bundle)

@@ -25,13 +25,24 @@ def test_header(raw, name):
 
 def test_repeated_headers_are_numbered():
     assert snake_headers(["A b", "a_b", "A  B", "c"]) == ["a_b", "a_b_1", "a_b_2", "c"]
+    assert snake_headers(["A", "A", "A.1", "A"]) == ["a", "a_1", "a_1_1", "a_2"]
+
+
+def test_counts_of_minus_one_give_missing_ratios(spark):
+    table = spark.createDataFrame([(4.0, -1.0, 70.0, 10.0), (4.0, 2.0, 70.0, -1.0), (0.0, -1e-6, 1.0, 1.0)],
+                                  "total_fwd_packets double, total_backward_packets double, "
+                                  "total_length_of_fwd_packets double, total_length_of_bwd_packets double")
+    rows = features.with_derived_features(table).collect()
+    assert rows[0]["fwd_bwd_packet_ratio"] is None and rows[0]["fwd_bwd_byte_ratio"] == pytest.approx(70 / 11)
+    assert rows[1]["fwd_bwd_byte_ratio"] is None and rows[1]["fwd_bwd_packet_ratio"] == pytest.approx(4 / 3)
+    assert rows[2]["bytes_per_packet"] is None and rows[2]["tcp_flag_density"] is None
 
 
 LABELS = {
     "BENIGN": "BENIGN", "DDoS": "DDoS", "DoS Hulk": "DoS", "DoS GoldenEye": "DoS", "PortScan": "PortScan",
     "FTP-Patator": "BruteForce", "SSH-Patator": "BruteForce", "Bot": "Botnet", "Infiltration": "Infiltration",
     "Web Attack \x96 XSS": "WebAttack", "Web Attack - Brute Force": "BruteForce", "": "", "nan": "", None: "",
-    "SomeNovelAttack": "Other", "  heartbleed ": "DoS", "robot swarm": "Botnet", "my ddos tool": "DDoS",
+    "Quiet Beacon": "Other", "  heartbleed ": "DoS", "robot swarm": "Botnet", "my ddos tool": "DDoS",
 }
 
 
@@ -151,8 +162,8 @@ def assessed(spark, rows):
 
 
 def test_risk_is_bounded_and_ordered(spark):
-    rows = [(c, conf, a, a > 0.5) for c in ("BENIGN", "DDoS", "Infiltration", "PortScan", "Other")
-            for conf in (0.0, 0.5, 1.0) for a in (0.0, 0.5, 1.0)]
+    rows = [(c, conf, a, odd) for c in (*tax.CLASSES, tax.OTHER, "unheard of")
+            for conf in (0.02, 0.31, 0.77, 0.96) for a in (0.07, 0.64, 0.93) for odd in (False, True)]
     got = assessed(spark, rows)
     assert all(0 <= r["risk_score"] <= 100 for r in got)
     assert max(r["risk_score"] for r in got) <= 98
@@ -162,14 +173,17 @@ def test_risk_is_bounded_and_ordered(spark):
         if r["is_anomaly"]:
             assert r["risk_score"] >= 45
             assert r["indicators"][-1].startswith("Flagged as anomalous")
-    score = {(r["prediction"], r["confidence"], r["anomaly_score"]): r["risk_score"] for r in got}
-    assert score["Infiltration", 1.0, 0.0] > score["PortScan", 1.0, 0.0] > score["BENIGN", 1.0, 0.0]
+    score = {r["prediction"]: r["risk_score"] for r in got
+             if (r["confidence"], r["anomaly_score"], r["is_anomaly"]) == (0.96, 0.07, False)}
+    by_severity = sorted(tax.SEVERITY, key=tax.SEVERITY.get)
+    assert [score[c] for c in by_severity] == sorted(score[c] for c in by_severity)
+    assert score[tax.BENIGN] == min(score.values())
 
 
 def test_risk_components(spark):
-    row = assessed(spark, [("DDoS", 0.9, 0.8, True)])[0]
-    assert row["risk_components"] == {"class_severity": 88.0, "model_confidence": 80.0, "anomaly": 80.0,
-                                      "traffic_characteristics": 0.0}
+    row = assessed(spark, [("PortScan", 0.75, 0.35, False)])[0]
+    assert row["risk_components"] == {"class_severity": float(tax.SEVERITY["PortScan"]), "model_confidence": 50.0,
+                                      "anomaly": 35.0, "traffic_characteristics": 0.0}
 
 
 def test_half_points_round_to_even(spark):

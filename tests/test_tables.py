@@ -87,6 +87,7 @@ def test_quantiles_agree_with_numpy_for_a_hot_group(spark, monkeypatch):
     table = spark.createDataFrame(pdf)
     monkeypatch.setattr(order_statistics, "LEAF_ROWS", 50)
     got = order_statistics.quantiles(table, ["x", "y"], SHARES, by="g")
+    monkeypatch.undo()  # in one pass over the distinct values
     direct = order_statistics.quantiles(table, ["x", "y"], SHARES, by="g")
     for (g, c), values in got.items():
         column = pdf[pdf.g == g][c].dropna()
@@ -218,3 +219,24 @@ def test_column_profile(spark):
     got = {r["column"]: r for r in reports.column_profile(table).collect()}
     assert (got["x"]["missing"], got["x"]["distinct_values"]) == (2, 1)
     assert (got["t"]["missing"], got["t"]["distinct_values"], got["t"]["missing_pct"]) == (1, 1, 33.33)
+
+
+def test_rows_without_label_are_refused_where_classes_are_dealt(spark):
+    table = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "label string, x int")
+    for deal in (sampling.stratified_split, sampling.with_folds, sampling.balanced_weights,
+                 lambda df: sampling.capped_classes(df, cap=1)):
+        with pytest.raises(ValueError, match="1 rows have no"):
+            deal(table)
+
+
+def test_an_empty_part_has_no_shares(spark):
+    table = spark.createDataFrame([], "label string, prediction string")
+    row = evaluation.evaluate(table, ["a", "BENIGN"]).first()
+    assert row["accuracy"] is None and row["weighted_f1"] is None and row["macro_f1"] == 0.0
+
+
+def test_the_best_model_has_the_least_alarms(spark):
+    table = spark.createDataFrame([(0, "x", 0.2, None), (1, "y", 0.1, 0.4), (2, "z", None, 0.3)],
+                                  "position int, model string, false_alarm_rate double, roc_auc_ovr double")
+    assert evaluation.best_model(table, "false_alarm_rate").first()["model"] == "y"
+    assert evaluation.best_model(table, "roc_auc_ovr").first()["model"] == "y"

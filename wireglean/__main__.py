@@ -1,4 +1,4 @@
-"""Command line: ``python -m wireglean prepare|train|score`` (or through spark-submit)."""
+"""Command line: ``python -m wireglean prepare|train|score|upload|stream|report`` (or through spark-submit)."""
 
 import argparse
 
@@ -31,6 +31,23 @@ def arguments() -> argparse.Namespace:
     s.add_argument("bundle")
     s.add_argument("output")
     s.add_argument("--no-detector", action="store_true")
+    u = commands.add_parser("upload", help="one CSV, checked and validated, to scored rows, refused rows and a preview")
+    u.add_argument("path")
+    u.add_argument("bundle")
+    u.add_argument("output")
+    u.add_argument("--rows", type=int, default=tax.MAX_UPLOAD_ROWS)
+    u.add_argument("--preview", type=int, default=100)
+    u.add_argument("--explain", action="store_true")
+    w = commands.add_parser("stream", help="flows that keep arriving in a folder")
+    w.add_argument("folder")
+    w.add_argument("bundle")
+    w.add_argument("output")
+    w.add_argument("--every", help='such as "10 seconds"; without it, what is there and an end')
+    w.add_argument("--files-per-tick", type=int)
+    r = commands.add_parser("report", help="report tables of a clean or scored table")
+    r.add_argument("output")
+    r.add_argument("--clean")
+    r.add_argument("--scored")
     return parser.parse_args()
 
 
@@ -49,6 +66,16 @@ def main() -> None:
                               a.selection_metric)
         spark.createDataFrame(document["comparison_table"]).show(truncate=False)
         print("selected", document["selected_model"])
+    elif a.command == "upload":
+        answer = jobs.score_upload(spark, a.path, a.bundle, a.output, a.rows, a.preview, a.explain)
+        answer.pop("summary").show(truncate=False, vertical=True)
+        answer.pop("preview").show(a.preview, truncate=False)
+        print(answer)
+    elif a.command == "stream":
+        for query in jobs.stream(spark, a.folder, a.bundle, a.output, a.every, a.files_per_tick):
+            query.awaitTermination()
+    elif a.command == "report":
+        print("\n".join(jobs.write_reports(spark, a.clean, a.scored, a.output)))
     else:
         jobs.score(spark, a.flows, a.bundle, a.output, not a.no_detector).show(truncate=False, vertical=True)
 

@@ -10,6 +10,7 @@ from wireglean.functions.numbers import finite, texts
 from wireglean.functions.text import masked_ip
 from wireglean.operators.features import numeric_columns
 from wireglean.operators.order_statistics import quantile_table
+from wireglean.session import settle
 
 
 def _long(row: DataFrame, columns: list[str], fields: dict[str, str]) -> DataFrame:
@@ -176,6 +177,16 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
 
 
+def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
+    """One row: the share of benign rows, the rarest class, and how many times rarer it is than the most frequent."""
+    counts = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
+    return counts.agg(
+        F.try_divide(F.sum(F.when(F.col("label") == tax.BENIGN, F.col("n"))), F.sum("n")).alias("benign_share"),
+        F.min_by("label", F.struct("n", "label")).alias("rarest"),
+        F.try_divide(F.max("n"), F.min("n")).alias("imbalance"),
+    )
+
+
 def timeline(scored: DataFrame, when: str = "timestamp", every: str = "30 minutes") -> DataFrame:
     """Flows per time bucket: total, malicious, benign. Buckets without flows count 0;
     rows whose time cannot be read are left out."""
@@ -187,13 +198,15 @@ def timeline(scored: DataFrame, when: str = "timestamp", every: str = "30 minute
         .groupBy(F.window("_at", every).start.alias("bucket"))
         .agg(F.count("*").alias("total"), F.count_if("_bad").alias("malicious"))
     )
+    counts = settle(counts)  # read twice, and what it is made from may hold a model
     span = counts.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
     # In two steps, so that one stray year among the times does not make one huge array.
     stretches = span.select(
         "last", F.explode(F.expr(f"sequence(first, last, interval {every} * 1000)")).alias("start")
     )
-    calendar = stretches.select(F.explode(F.expr(
+    calendar = stretches.repartition("start").select(F.explode(F.expr(
         f"sequence(start, least(start + interval {every} * 999, last), interval {every})")).alias("bucket"))
+    # The stretches come out of one row; dealt out, the buckets of a long time are made by many tasks.
     filled = calendar.join(counts, "bucket", "left").fillna(0, ["total", "malicious"])
     return filled.withColumn("benign", F.col("total") - F.col("malicious"))
 

@@ -372,12 +372,7 @@ def l3(spark, sf_dir):
   (SELECT label FROM class_sizes WHERE n >= 50 ORDER BY n, label LIMIT 1) AS rarest,
   round(max(n) * 1.0 / min(n), 6) AS imbalance FROM class_sizes WHERE n >= 50""")
 def l4(spark, sf_dir):
-    counts = clean_rows(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n"))
-    return rounded(counts.agg(
-        (F.sum(F.when(F.col("label") == tax.BENIGN, F.col("n"))) / F.sum("n")).alias("benign_share"),
-        F.min_by("label", F.struct("n", "label")).alias("rarest"),
-        (F.max("n") / F.min("n")).alias("imbalance"),
-    ))
+    return rounded(reports.class_distribution(clean_rows(spark, sf_dir)))
 
 
 _BOXED = tax.BEHAVIOUR_FEATURES

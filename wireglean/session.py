@@ -1,5 +1,6 @@
 """Session settings and the shared folder for tables that cut lineage."""
 
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="wireglean-")
     if context.getCheckpointDir() is None:
@@ -48,14 +49,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared one."""
-    return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one, which goes when the session ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared folder and go on from there.
 
-    A reliable checkpoint: a lost executor costs a re-read, not a recomputation.
+    The rows are written as a columnar table: later reads take the columns they need, and a
+    lost executor costs a re-read, not a recomputation.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = run_folder(df.sparkSession, "settled")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -72,10 +72,11 @@ def read_upload(spark: SparkSession, path: str,
 
 
 def preview(scored: DataFrame, rows: int = 100) -> DataFrame:
-    """Up to ``rows`` result rows, as a batch answer shows them."""
+    """Up to ``rows`` result rows, highest risk first, as a batch answer shows them."""
     if not 0 <= rows <= tax.MAX_PREVIEW_ROWS:
         raise IntakeError(f"preview must be between 0 and {tax.MAX_PREVIEW_ROWS} rows")
     columns = [c for c in tax.RESULT_COLUMNS if c in scored.columns and c != "indicators"]
-    return scored.select(*columns).limit(rows)
+    first = [F.desc(c) for c in ("risk_score", "confidence") if c in columns]
+    return scored.select(*columns).orderBy(*first, *[c for c in columns if c not in ("risk_score", "confidence")]).limit(rows)
 
 

@@ -1,6 +1,5 @@
 """Flows that keep arriving: the batch operators on a file stream, with counters, alerts and a timeline."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,12 +20,16 @@ def flow_stream(spark: SparkSession, folder: str, schema: T.StructType,
     return reader.parquet(folder)
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write what is there and stop; started again, it goes on behind the last written file."""
-    return (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
-    )
+def _paced(stream: DataFrame, checkpoint: str, every: str | None):
+    """A tick every so often, or (None) what is there and an end."""
+    writer = stream.writeStream.option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+
+
+def append_to(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write what is there and stop, or with ``every`` go on at that interval; started again, it goes on
+    behind the last written file."""
+    return _paced(stream, checkpoint, every).format("parquet").outputMode("append").start(path)
 
 
 def alerts(scored: DataFrame) -> DataFrame:
@@ -60,37 +63,43 @@ def window_counts(scored: DataFrame, when: str = "timestamp", every: str = "30 m
 
 class LatestTable:
     """A small table replaced at every tick. Each tick writes its own folder, so a
-    repeated tick overwrites itself and a reader never sees half a table."""
+    repeated tick overwrites itself and a reader never sees half a table. The newest ``KEPT``
+    folders stay, for readers that have just begun and ticks that are repeated."""
+
+    KEPT = 3
 
     def __init__(self, path: str):
         self.path = path
 
+    def _folders(self, spark: SparkSession) -> tuple[object, dict[int, object]]:
+        """The file system, and the folder of each finished tick, by a listing of names."""
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        listed = [s.getPath() for s in system.listStatus(path)] if system.exists(path) else []
+        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        ticks = {int(p.getName().removeprefix("tick=")): p for p in listed if p.getName().startswith("tick=")
+                 and system.exists(done(p, "_SUCCESS"))}
+        return system, ticks
+
     def write(self, table: DataFrame, tick: int) -> None:
         table.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/tick={tick}")
+        system, ticks = self._folders(table.sparkSession)
+        for old in sorted(ticks)[:-self.KEPT]:
+            system.delete(ticks[old], True)
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
         """The newest table (older than tick ``before``), or None when there is none yet."""
-        try:
-            every = spark.read.parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        ticks = every if before is None else every.where(F.col("tick") < before)
-        newest = ticks.agg(F.max("tick")).first()[0]
-        return None if newest is None else every.where(F.col("tick") == newest).drop("tick")
-
-
-def keep_counters(scored: DataFrame, table: LatestTable, checkpoint: str) -> StreamingQuery:
-    return (
-        running_counters(scored).writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        .foreachBatch(table.write).start()
-    )
+        _, ticks = self._folders(spark)
+        found = [t for t in ticks if before is None or t < before]
+        return spark.read.parquet(ticks[max(found)].toString()) if found else None
+
+
+def keep_counters(scored: DataFrame, table: LatestTable, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    return _paced(running_counters(scored), checkpoint, every).outputMode("complete").foreachBatch(table.write).start()
 
 
 def keep_recent(scored: DataFrame, table: LatestTable, checkpoint: str, when: str = "timestamp",
-                tie: str = "flow_id", rows: int = RECENT) -> StreamingQuery:
+                tie: str = "flow_id", rows: int = RECENT, every: str | None = None) -> StreamingQuery:
     """The newest events: each tick's newest against those kept before."""
 
     def newest(df: DataFrame) -> DataFrame:
@@ -101,7 +110,4 @@ def keep_recent(scored: DataFrame, table: LatestTable, checkpoint: str, when: st
         before = table.read(batch.sparkSession, before=number)
         table.write(newest(top if before is None else top.unionByName(before)), number)
 
-    return (
-        scored.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        .foreachBatch(tick).start()
-    )
+    return _paced(scored, checkpoint, every).foreachBatch(tick).start()
