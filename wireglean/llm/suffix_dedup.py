@@ -25,7 +25,7 @@ from wireglean.llm.common import Workspace, pick, query, slices, table
 DEPTH = 200
 FIRST_DIGIT = 32
 #: Contexts of one string that meet in one task; of larger groups every window becomes a row.
-GROUP = 50_000
+GROUP = 10_000
 #: Bytes of contexts that are ordered at once.
 ORDER_BYTES = 2 << 20
 _CHUNK = 1 << 17
