@@ -86,8 +86,12 @@ def category_counts(derived: DataFrame) -> DataFrame:
 
 
 def fit_preprocessor(train: DataFrame, raw_columns: list[str],
-                     rare_share: float = tax.RARE_CATEGORY_SHARE) -> Preprocessor:
-    """Learn medians, the 5-95 % ranges of the imputed values, and the vocabularies."""
+                     rare_share: float = tax.RARE_CATEGORY_SHARE, most_categories: int = MAX_CATEGORIES) -> Preprocessor:
+    """Learn medians, the 5-95 % ranges of the imputed values, and the vocabularies.
+
+    Frequent categories are at most ``1 / rare_share`` a column. The rare ones are kept too, so that seen and unseen
+    values differ; more than ``most_categories`` together are refused as no categorical columns.
+    """
     derived = with_derived_features(aligned(train, raw_columns))
     names = [c for c in dict.fromkeys([*raw_columns, *tax.DERIVED_FEATURES])
              if c not in tax.CATEGORICAL_FEATURES]
@@ -112,9 +116,9 @@ def fit_preprocessor(train: DataFrame, raw_columns: list[str],
     # A zero range scales by 1, so that a later deviation is kept as it is.
     scales = {c: (found[c][2] - found[c][0]) or 1.0 for c in numeric}
 
-    seen = category_counts(derived).limit(MAX_CATEGORIES + 1).collect()
-    if len(seen) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories: not a categorical column")
+    seen = category_counts(derived).limit(most_categories + 1).collect()
+    if len(seen) > most_categories:
+        raise ValueError(f"more than {most_categories} categories: not a categorical column")
     frequent = {c: [] for c in tax.CATEGORICAL_FEATURES}
     rare = {c: [] for c in tax.CATEGORICAL_FEATURES}
     for row in sorted(seen, key=lambda r: r["category"]):
