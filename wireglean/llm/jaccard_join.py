@@ -35,6 +35,9 @@ FOLDERS = 256
 #: Verified pairs of one document that go to one task.
 PARTNERS = 256
 _BITS = 50
+#: Longs of the bitmap that a prefix row carries.
+_MAP = 4
+_BEFORE = [f"before{k}" for k in range(_MAP)]
 _ROWS = 256
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -221,10 +224,11 @@ def _counts_of(path: str, block: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(rows: DataFrame, path: str) -> DataFrame:
-    """(shingle, id, n, place, own) of the prefix of each document, once a task for equal sets.
+    """(shingle, id, n, place, own, before0 to before3) of the prefix of each document, once a task for equal sets.
 
     The order is rare first: by the logarithm of the count, then by the shingle itself. Shingles that no other
     document has are the first, ``own`` of them; they have their places but are not sent, since nothing meets them.
+    The four longs are a bitmap of the shared shingles that stand before a row's.
     """
     shift = np.uint64(_BITS - COUNTED_BITS)
 
@@ -258,13 +262,28 @@ def prefixes(rows: DataFrame, path: str) -> DataFrame:
                 place = np.arange(len(doc)) - first[doc]
                 keep = fresh[doc] & (place >= own[doc]) & (place <= last[doc])
                 ids = np.array([i if i is not None else 0 for i in part.column("id").to_pylist()])
+                shingle, doc, place = shingle[keep], doc[keep], place[keep]
+                before = _bits_before(shingle, doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shingle[keep].astype(np.int64)), pa.array(ids[doc[keep]], pa.int64()),
-                     pa.array(n[doc[keep]], pa.int32()), pa.array(place[keep], pa.int32()), pa.array(own[doc[keep]], pa.int32())],
-                    names=["shingle", "id", "n", "place", "own"])
+                    [pa.array(shingle.astype(np.int64)), pa.array(ids[doc], pa.int64()), pa.array(n[doc], pa.int32()),
+                     pa.array(place, pa.int32()), pa.array(own[doc], pa.int32()),
+                     *(pa.array(np.ascontiguousarray(before[:, k]).view(np.int64)) for k in range(_MAP))],
+                    names=["shingle", "id", "n", "place", "own", *_BEFORE])
 
     return rows.select("id", "text", "block").where("id IS NOT NULL").mapInArrow(
-        run, "shingle long, id long, n int, place int, own int")
+        run, "shingle long, id long, n int, place int, own int, " + ", ".join(f"{b} long" for b in _BEFORE))
+
+
+def _bits_before(shingle: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each row the bits of the rows of its document that come before it."""
+    bits = np.zeros((len(shingle) + 1, _MAP), np.uint64)
+    bits[np.arange(len(shingle)) + 1, (shingle >> np.uint64(6)).astype(np.int64) % _MAP] = (
+        np.uint64(1) << (shingle & np.uint64(63)))
+    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else []
+    for a, b in zip(first, [*first[1:], len(doc)]):
+        bits[a] = 0
+        bits[a:b] = np.bitwise_or.accumulate(bits[a:b], axis=0)
+    return bits[:-1]
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -299,10 +318,13 @@ def cross_pairs(members: DataFrame, component: DataFrame, known: DataFrame) -> D
     mixed = (placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("shingle"))
     left = placed.join(mixed, "shingle")
-    right = left.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "own", "component")])
-    # At a shared shingle, what can be shared is at most the lesser of what stands before (without the
-    # shingles of their own), itself, and the lesser of what stands behind.
-    bound = (F.least(F.col("place") - F.col("own"), F.col("place_b") - F.col("own_b")) + 1
+    right = left.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "own", "component", *_BEFORE)])
+    # At a shared shingle, what can be shared is at most what can be shared of what stands before, itself, and the
+    # lesser of what stands behind. Before it, shingles of their own are not shared, and each bit that only one
+    # has stands for at least one shingle that the other lacks.
+    lacking = lambda x, y: sum((F.bit_count(F.col(f"{b}{x}").bitwiseAND(F.bitwise_not(F.col(f"{b}{y}"))))
+                                for b in _BEFORE), F.lit(0))
+    bound = (F.least(F.col("place") - F.col("own") - lacking("", "_b"), F.col("place_b") - F.col("own_b") - lacking("_b", "")) + 1
              + F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) - 1)
     pairs = left.join(right, "shingle").where(
         (F.struct("n", "node") < F.struct("n_b", "node_b")) & (F.col("component") != F.col("component_b"))
@@ -395,7 +417,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     own = mapped.where("id IS NOT NULL").select("id", "node").distinct()
     sent = ws.settle(prefixes(rows, f"{ws.folder}/counts"), "prefixes")
     ws.drop("counts")
-    members = sent.join(own, "id").select("shingle", "node", "n", "place", "own").distinct()
+    members = sent.join(own, "id").select("shingle", "node", "n", "place", "own", *_BEFORE).distinct()
     several = (members.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"))
                .where("low <> high").select("shingle"))
     members = ws.settle(members.join(several, "shingle"), "members")
