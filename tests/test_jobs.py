@@ -338,7 +338,10 @@ def test_prepare_train_score(spark, flows, tmp_path):
     from wireglean.plans import jobs
     raw, clean, bundle, out = (str(tmp_path / d) for d in ("raw", "clean", "bundle", "scored"))
     flows.write.option("header", True).csv(raw)
+    (tmp_path / "raw" / "blank.csv").write_text("\n\n")
     found = jobs.prepare(spark, raw, clean, report=str(tmp_path / "cleaning"))
+    left_out = tables.read_report(spark, str(tmp_path / "cleaning-left-out")).collect()
+    assert [(r["path"].endswith("/blank.csv"), r["reason"]) for r in left_out] == [(True, "no header line")]
     assert found.rows_out == spark.read.parquet(clean).count()
     small = ModelSettings(candidates=[models.FOREST], forest_trees=3, forest_depth=4, detector_trees=5)
     document = jobs.train(spark, clean, bundle, report=str(tmp_path / "metrics"), cap=100, settings=small)

@@ -40,13 +40,19 @@ def csv_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def header_of(spark: SparkSession, path: str) -> list[str] | None:
     """The raw header cells of one file, or None when there is no line to read."""
+    return _header(spark, path)[0]
+
+
+def _header(spark: SparkSession, path: str) -> tuple[list[str] | None, str | None]:
+    """The header cells, or None and why there are none."""
     reader = spark.read.option("header", False).option("ignoreLeadingWhiteSpace", True).option("escape", '"')
     try:
         line = reader.csv(path).first()
     except Exception as error:  # an unreadable file is left out, as are its rows
-        log.warning("left out %s: %s", path, str(error).splitlines()[0])
-        return None
-    return None if line is None else ["" if cell is None else cell for cell in line]
+        reason = str(error).splitlines()[0][:500]
+        log.warning("left out %s: %s", path, reason)
+        return None, reason
+    return (None, "no header line") if line is None else (["" if cell is None else cell for cell in line], None)
 
 
 def _comma_count(record: Column) -> Column:
@@ -105,9 +111,12 @@ def first_rows(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def load_captures(spark: SparkSession, folder: str | None = None, files: list[str] | None = None,
-                  rows_per_file: int | None = None, multi_line: bool = False) -> DataFrame:
+                  rows_per_file: int | None = None, multi_line: bool = False,
+                  left_out: list[tuple[str, str]] | None = None) -> DataFrame:
     """All captures as one table of text columns with ``source_file``.
 
+    Files whose header can't be read are left out; each goes into ``left_out`` with the reason.
+
     With ``multi_line`` a quoted cell may hold line ends; such files can't be split among tasks.
 
     Files with equal headers are read together; columns a file lacks are null. A file
@@ -119,7 +128,10 @@ def load_captures(spark: SparkSession, folder: str | None = None, files: list[st
         raise FileNotFoundError(f"no CSV files in {folder}")
     # One line per file, fetched by small concurrent jobs.
     with ThreadPoolExecutor(HEADER_JOBS) as pool:
-        headers = list(pool.map(lambda path: header_of(spark, path), files))
+        found = list(pool.map(lambda path: _header(spark, path), files))
+    headers = [header for header, _ in found]
+    if left_out is not None:
+        left_out += [(path, reason) for path, (header, reason) in zip(files, found) if not header]
     groups: dict[tuple, list[str]] = {}
     for path, header in zip(files, headers):
         if header:
