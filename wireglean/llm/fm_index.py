@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import Workspace, held, parquet_batches, pick, query, slices, table
+from wireglean.llm.common import Workspace, held, parquet_batches, pick, query, slices, table, tidied
 
 WINDOW_WORDS = 13
 #: Bits of the bitmap of benchmark words: its size does not grow with the benchmark.
@@ -318,7 +318,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
                      pa.array(items, pa.list_(pa.string()))],
                     names=[*part.schema.names, "n_words", "n_hit", "spans", "items"])
 
-    found = rows.mapInArrow(run, schema)
+    found = rows.mapInArrow(tidied(run), schema)
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import Workspace, components, file_system, held, pick, query, slices, table
+from wireglean.llm.common import Workspace, components, file_system, held, pick, query, slices, table, tidied
 from wireglean.llm.fm_index import joined, words
 
 SHINGLE_WORDS = 5
@@ -155,7 +155,7 @@ def profile(rows: DataFrame, ranges: int) -> DataFrame:
         if parts:
             yield ended()
 
-    return rows.select("id", "text", "block").mapInArrow(run, _PROFILE)
+    return rows.select("id", "text", "block").mapInArrow(tidied(run), _PROFILE)
 
 
 def _by_block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -203,7 +203,7 @@ def shared_shingles(profiled: DataFrame) -> DataFrame:
         if rows:
             yield from merged()
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(tidied(run), schema)
 
 
 def _counts_of(path: str, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -271,7 +271,7 @@ def prefixes(rows: DataFrame, path: str) -> DataFrame:
                     names=["shingle", "id", "n", "place", "own", *_BEFORE])
 
     return rows.select("id", "text", "block").where("id IS NOT NULL").mapInArrow(
-        run, "shingle long, id long, n int, place int, own int, " + ", ".join(f"{b} long" for b in _BEFORE))
+        tidied(run), "shingle long, id long, n int, place int, own int, " + ", ".join(f"{b} long" for b in _BEFORE))
 
 
 def _bits_before(shingle: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -379,7 +379,7 @@ def verified(pairs: DataFrame, texts: DataFrame, ws: Workspace, name: str) -> Da
                 yield pa.RecordBatch.from_pydict({"u": pa.array([f[0] for f in found], pa.int64()),
                                                   "v": pa.array([f[1] for f in found], pa.int64())})
 
-    return ordered.mapInArrow(run, "u long, v long").distinct()
+    return ordered.mapInArrow(tidied(run), "u long, v long").distinct()
 
 
 def _linked(x: np.ndarray, y: np.ndarray) -> bool:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import held, pick, query, slices, table
+from wireglean.llm.common import held, pick, query, slices, table, tidied
 
 #: Sampled texts a language, and characters of each that go into its dictionary. These bound what
 #: the driver gathers and every task receives: languages x DOCS x CHARS characters.
@@ -139,7 +139,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], id_column: str = "doc_id"
                      pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
                     names=[*part.schema.names, "lang_pred", "lang_score", "rejected"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def fit_on_documents(docs: DataFrame) -> dict[str, bytes]:

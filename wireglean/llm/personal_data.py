@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import pick, query, slices, table
+from wireglean.llm.common import pick, query, slices, table, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 #: The training sample: so many texts with a digit or at sign at most, none longer than TEXT_CHARS.
@@ -309,7 +309,7 @@ def find(docs: DataFrame, model: SkipChain, id_column: str = "doc_id", text_colu
                      pa.array([t if t is None else mask(t, f) for t, f in zip(texts, found)], pa.string())],
                     names=[*part.schema.names, "spans", "masked"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def mask(text: str, spans: list[tuple]) -> str:

@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import held, pick, query, slices, table, tokenizer_path
+from wireglean.llm.common import held, pick, query, slices, table, tidied, tokenizer_path
 
 SPACE = "▁"
 #: Parts of more symbols go through the heap.
 SHORT_PART = 48
-#: Remembered parts of a worker; the memory is emptied beyond.
-MEMORY_PARTS = 300_000
+#: Remembered parts of a task; the memory is emptied beyond.
+MEMORY_PARTS = 150_000
 #: Characters below this code (and the space mark, which takes the place of code 0) have cuts of their own.
 CUT_CODES = 1024
 _NEVER = np.int32(2**31 - 1)
@@ -267,15 +267,18 @@ def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(path)
-        for batch in batches:
-            for part in slices(batch, text_column):
-                texts = [t or "" for t in part.column(text_column).to_pylist()]
-                ids = bpe.encode(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(bpe.decode(ids), pa.string())],
-                    names=[id_column, "ids", "decoded"])
-
-    return rows.mapInArrow(run, schema)
+        try:
+            for batch in batches:
+                for part in slices(batch, text_column):
+                    texts = [t or "" for t in part.column(text_column).to_pylist()]
+                    ids = bpe.encode(texts)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(bpe.decode(ids), pa.string())],
+                        names=[id_column, "ids", "decoded"])
+        finally:
+            bpe.memory = {}  # the worker lives on in other stages
+
+    return rows.mapInArrow(tidied(run), schema)
 
 
 @query("op5_sentencepiece")
