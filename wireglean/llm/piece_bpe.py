@@ -24,7 +24,9 @@ SPACE = "▁"
 #: Parts of more symbols go through the heap.
 SHORT_PART = 48
 #: Remembered parts of a task; the memory is emptied beyond.
-MEMORY_PARTS = 150_000
+MEMORY_PARTS = 100_000
+#: Bytes of text encoded at once; a part takes some twenty times its bytes while it is merged.
+TEXT_BYTES = 1 << 20
 #: Characters below this code (and the space mark, which takes the place of code 0) have cuts of their own.
 CUT_CODES = 1024
 _NEVER = np.int32(2**31 - 1)
@@ -269,7 +271,7 @@ def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
         bpe = model(path)
         try:
             for batch in batches:
-                for part in slices(batch, text_column):
+                for part in slices(batch, text_column, TEXT_BYTES):
                     texts = [t or "" for t in part.column(text_column).to_pylist()]
                     ids = bpe.encode(texts)
                     yield pa.RecordBatch.from_arrays(
