@@ -6,6 +6,7 @@ import types
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,6 +124,36 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES,
         yield batch.slice(start)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Shards: batches put together until their texts in ``column`` fill ``limit`` bytes; one longer text is a shard."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in slices(batch, column, limit):
+            own = pa.compute.sum(pa.compute.binary_length(part.column(column))).as_py() or 0
+            if held and size + own > limit:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            if part.num_rows:
+                held.append(part)
+                size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of the maximal runs of true."""
+    edge = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
+    return edge[::2], edge[1::2]
+
+
+def strings(data: np.ndarray, lengths: np.ndarray) -> pa.StringArray:
+    """The strings of these lengths in bytes, which stand behind each other in ``data``."""
+    offsets = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def file_system(uri: str):
     """(file system, path) of a folder in whatever store its address names, for code inside tasks."""
     from pyarrow import fs
