@@ -10,6 +10,7 @@ groups could not fill singly they fill together. No task holds more than one gro
 """
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -49,6 +50,8 @@ class WordCoder:
     character is, and how it is normalised, is asked of the library. Texts with special tokens go to it whole.
     """
 
+    # Characters before these neither compose nor decompose, and are lowered one by one.
+    _COMPOSING = re.compile("[\u0300-\U0010ffff]")
     _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
     _SPACE, _LETTER, _DIGIT, _SIGN = range(4)
 
@@ -61,11 +64,16 @@ class WordCoder:
         self.bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None}))
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.kind = np.full(0x110000, -1, np.int8)
+        # The last token of a word carries the vocabulary's mark for word ends, the others do not.
+        mark = spec["model"]["end_of_word_suffix"]
+        vocabulary = self.whole.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
         self._forget()
 
     def _forget(self):
-        self.number: dict[str, int] = {}
-        self.begin, self.length, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.known = pa.array([], pa.string())
+        self.begin, self.length, self.flat = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.uint32)
 
     def _kind_of(self, char: str) -> int:
         def cuts(text):
@@ -104,18 +112,37 @@ class WordCoder:
         np.cumsum(np.where(in_word, width, 0), out=before[1:])
         return strings(bytes_, np.diff(np.r_[before[first], before[-1]])), first
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.number) + len(words) > KNOWN_WORDS:
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, how many each has); words of one text are told apart by their last tokens."""
+        parts, lengths = [], []
+        for a in range(0, len(words), 512):
+            some = words[a:a + 512]
+            ids = np.array(self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            stop = np.flatnonzero(self.ends_word[ids])
+            if len(stop) != len(some):  # the words one by one
+                own = [e.ids for e in self.bare.encode_batch_fast(some, add_special_tokens=False)]
+                ids, length = np.array([i for one in own for i in one], np.uint32), np.array([len(o) for o in own])
+            else:
+                length = np.diff(stop, prepend=-1)
+            parts.append(ids)
+            lengths.append(length)
+        return np.concatenate(parts), np.concatenate(lengths).astype(np.int32)
+
+    def _numbers(self, words: pa.StringArray) -> np.ndarray:
+        if len(self.known) + len(words) > KNOWN_WORDS:
             self._forget()
-        new = [w for w in words if w not in self.number]
-        if new:
-            ids = [e.ids for e in self.bare.encode_batch_fast(new, add_special_tokens=False)]
-            length = np.array([len(i) for i in ids], np.int64)
-            self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(length) - length]
+        number = pa.compute.index_in(words, value_set=self.known)
+        new = np.asarray(number.is_null())
+        out = np.asarray(number.fill_null(0)).copy()
+        if new.any():
+            fresh = words.filter(pa.array(new))
+            ids, length = self._encoded(fresh.to_pylist())
+            out[new] = len(self.known) + np.arange(len(fresh))
+            self.begin = np.r_[self.begin, (len(self.flat) + np.cumsum(length) - length).astype(np.int32)]
             self.length = np.r_[self.length, length]
-            self.flat = np.r_[self.flat, np.array([i for one in ids for i in one], np.uint32)]
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        return np.array([self.number[w] for w in words], np.int64)
+            self.flat = np.r_[self.flat, ids]
+            self.known = pa.concat_arrays([self.known, fresh])
+        return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text (null: none)."""
@@ -125,14 +152,15 @@ class WordCoder:
             if any(s in t for s in self.special):
                 by_library[i] = np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
                 t = ""
-            plain.append(t.lower() if t.isascii() else self.whole.normalizer.normalize_str(t))
+            plain.append(self.whole.normalizer.normalize_str(t) if self._COMPOSING.search(t) else t.lower())
         ends = np.cumsum([len(t) + 1 for t in plain])
         words, first = self._words("\n".join([*plain, ""]))
         coded = words.dictionary_encode()
-        number = self._numbers(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        number = self._numbers(coded.dictionary)[np.asarray(coded.indices)]
         length = self.length[number]
-        stop = np.cumsum(length)
-        ids = self.flat[np.repeat(self.begin[number] - stop + length, length) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        stop = np.cumsum(length, dtype=np.int32)
+        ids = self.flat[np.repeat(self.begin[number] - stop + length, length)
+                        + np.arange(int(stop[-1]) if len(stop) else 0, dtype=np.int32)]
         # Words of a text begin before the text's end.
         upto = np.r_[0, stop][np.searchsorted(first, ends)]
         out = np.split(ids, upto[:-1])
