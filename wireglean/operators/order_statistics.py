@@ -1,41 +1,40 @@
-"""Exact order statistics and quantiles that never put a whole column into one task.
+"""Exact order statistics and quantiles in two scans that never put a whole column into one task.
 
-A rank is narrowed down by histograms: each pass counts the values of the open
-intervals in a few thousand buckets (combined before the shuffle, so a hot value
-or a hot group is one small record per task), picks the bucket that holds the
-rank, and goes on inside it. An interval closes when it holds one distinct value,
-or few enough rows to rank its distinct values directly.
+The first scan keeps a mergeable sketch per group and column; it brackets each wanted rank between two
+values. The second scan counts what lies below a bracket and keeps the values inside it, a few thousandths
+of the column, combined before the shuffle into one row per distinct value. Ranks are then found among these
+settled values by histograms, which are narrowed further only where very many distinct values are left. A
+sketch is right only with high probability: a rank outside of its bracket gets the side that it lies on as a
+new one, and one more scan.
 """
 
 from itertools import groupby
 from math import ceil, floor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wireglean.functions.numbers import finite
+from wireglean.session import settle
 
 BUCKETS = 4096
 LEAF_ROWS = 200_000
 MAX_GROUPS = 10_000
+#: Size of a sketch, and how far around a rank its bracket reaches (about twice the sketch's usual error).
+SKETCH_SIZE, REACH = 2048, 0.005
+#: Edges of brackets are quantiles at multiples of 1 / GRID.
+GRID = 1000
 
-OPEN = "tid int, grp string, item int, lo double, hi double, mode string, ranks array<bigint>"
+OPEN = "tid int, bracket long, lo double, hi double, mode string, ranks array<bigint>"
 
 
 def _group(by: str | None) -> Column:
     return F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
 
 
-def _cells(df: DataFrame, columns: list[str], by: str | None) -> DataFrame:
-    """One row (grp, item, x) per non-null cell."""
-    group = _group(by)
-    items = [F.struct(F.lit(i).alias("item"), _value(c).alias("x")) for i, c in enumerate(columns)]
-    cells = df.select(group.alias("grp"), F.explode(F.array(*items)).alias("cell"))
-    return cells.select("grp", "cell.item", "cell.x").where("x is not null")
-
-
-
 def _value(column: str) -> Column:
     """The cell as a finite double: NaN and infinities count as missing."""
     return finite(column)
@@ -48,14 +47,11 @@ def _folded(x: Column) -> Column:
 
 
 def _narrow(cells: DataFrame, intervals: list[tuple]) -> list:
-    """One pass: for each interval and rank, the bucket that holds the rank."""
+    """One pass over the kept values: for each interval and rank, the bucket that holds the rank."""
     spark = cells.sparkSession
-    rows = []
-    for tid, grp, item, lo, hi, mode, ranks in intervals:
-        rows.append((tid, grp, item, lo, hi, mode, sorted(ranks)))
-    # One row per group, column and distinct interval, all made on the driver; the session sizes the join.
-    table = spark.createDataFrame(rows, OPEN)
-    inside = cells.join(table, ["grp", "item"]).where("x >= lo and x <= hi")
+    # One row per distinct interval, all made on the driver; the session sizes the join.
+    table = spark.createDataFrame([(*i[:5], sorted(i[5])) for i in intervals], OPEN)
+    inside = cells.join(table, "bracket").where("x >= lo and x <= hi")
 
     def placed(name: str) -> Column:
         return F.when(F.col("mode") == "folded", _folded(F.col(name))).otherwise(F.col(name))
@@ -67,9 +63,9 @@ def _narrow(cells: DataFrame, intervals: list[tuple]) -> list:
         F.least(F.floor(share * BUCKETS).cast("double"), F.lit(float(BUCKETS - 1)))
     )
     histogram = (
-        inside.select("tid", bucket.alias("bucket"), "x")
+        inside.select("tid", bucket.alias("bucket"), "x", "n")
         .groupBy("tid", "bucket")
-        .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .agg(F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     )
     # At most BUCKETS, or LEAF_ROWS distinct values, per interval.
     running = Window.partitionBy("tid").orderBy("bucket").rowsBetween(
@@ -77,7 +73,7 @@ def _narrow(cells: DataFrame, intervals: list[tuple]) -> list:
     )
     summed = histogram.withColumn("upto", F.sum("n").over(running))
     ranks = spark.createDataFrame(
-        [(tid, r) for tid, _, _, _, _, _, rs in rows for r in rs], "tid int, rank bigint"
+        [(i[0], r) for i in intervals for r in i[5]], "tid int, rank bigint"
     )
     found = summed.join(ranks, "tid").where("rank < upto and rank >= upto - n")
     return found.select(
@@ -85,85 +81,168 @@ def _narrow(cells: DataFrame, intervals: list[tuple]) -> list:
     ).collect()
 
 
-def order_statistics(df: DataFrame, columns: list[str], ranks: dict, by: str | None = None) -> dict:
-    """The values at the given 0-based ranks.
+def _sketches(df: DataFrame, columns: list[str], by: str | None, most_groups: int) -> DataFrame:
+    """(grp, item, n, lo, hi, sketch) of each group and column with values, from one scan; settled."""
+    rows = df.select(_group(by).alias("grp"), *[_value(c).alias(f"x{i}") for i, c in enumerate(columns)])
+    facts = [F.struct(F.lit(i).alias("item"), F.count(f"x{i}").alias("n"), F.min(f"x{i}").alias("lo"),
+                      F.max(f"x{i}").alias("hi"), F.kll_sketch_agg_double(f"x{i}", SKETCH_SIZE).alias("sketch"))
+             for i in range(len(columns))]
+    found = settle(rows.groupBy("grp").agg(F.array(*facts).alias("facts")))
+    if by and found.count() > most_groups:
+        raise ValueError(f"more than {most_groups} groups in {by!r}: not a class column")
+    return found.select("grp", F.inline("facts"))
 
-    ``ranks[(group, column)]`` lists the ranks wanted (group is ``""`` without
-    ``by``). Returns ``{(group, column, rank): (value, rows below it, rows equal to it)}``.
-    Works for any number of rows; the driver holds only the open intervals.
+
+def _bracketed(wanted: DataFrame) -> list:
+    """(grp, item, n, lo, hi, rank, from, to) of rows (grp, item, n, lo, hi, sketch, rank)."""
+    n, grid = F.col("n"), F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    low, high = F.floor((F.col("rank") / n - REACH) * GRID), F.ceil(((F.col("rank") + 1) / n + REACH) * GRID)
+    rows = wanted.where("n > 0").withColumn("grid", F.kll_sketch_get_quantile_double("sketch", grid)).select(
+        "grp", "item", "n", "lo", "hi", "rank",
+        F.when(low <= 0, F.col("lo")).otherwise(F.get("grid", low.cast("int"))).alias("from"),
+        F.when(high >= GRID, F.col("hi")).otherwise(F.get("grid", high.cast("int"))).alias("to"))
+    return [tuple(r) for r in rows.distinct().collect()]
+
+
+def _kept(df: DataFrame, columns: list[str], by: str | None, brackets: list[tuple]) -> DataFrame:
+    """(bracket, x, n): the distinct values inside each bracket and how often they occur; x null: how many lie below.
+
+    ``brackets`` are (group, item, from, to). One scan, vectorised by column; settled.
     """
-    bounds = df.groupBy(_group(by).alias("grp")).agg(
-        *[F.struct(F.count(_value(c)).alias("n"), F.min(_value(c)).alias("lo"),
-                   F.max(_value(c)).alias("hi")).alias(f"b{i}") for i, c in enumerate(columns)]
-    ).limit(MAX_GROUPS + 1).collect()
-    if len(bounds) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {by!r}: not a class column")
-
-    cells = _cells(df, columns, by)
+    groups = sorted({b[0] for b in brackets})
+    place = {g: i for i, g in enumerate(groups)}
+    layers: list[dict] = []  # of each column, arrays over the groups: one bracket a group
+    used: dict[tuple, int] = {}
+    for number, (grp, item, low, high) in enumerate(brackets):
+        depth = used[grp, item] = used.get((grp, item), -1) + 1
+        while True:
+            layer = next((one for one in layers if one["item"] == item and one["depth"] == depth), None)
+            if layer is not None:
+                break
+            layers.append({"item": item, "depth": depth, "from": np.full(len(groups), np.inf),
+                           "to": np.full(len(groups), -np.inf), "number": np.full(len(groups), -1)})
+        layer["from"][place[grp]], layer["to"][place[grp]], layer["number"][place[grp]] = low, high, number
+    items = sorted({b[1] for b in brackets})
+    shared = df.sparkSession.sparkContext.broadcast((place, layers))
+
+    def run(batches):
+        place, layers = shared.value
+        below = np.zeros((len(layers), len(place) + 1), np.int64)
+        for batch in batches:
+            coded = batch.column("grp").dictionary_encode()
+            group = np.array([place.get(g, -1) for g in coded.dictionary.to_pylist()])[np.asarray(coded.indices)]
+            for i, layer in enumerate(layers):
+                column = batch.column(f"x{layer['item']}")
+                has = np.asarray(column.is_valid()) & (group >= 0)
+                x, g = column.to_numpy(zero_copy_only=False)[has], group[has]
+                below[i] += np.bincount(g[x < layer["from"][g]], minlength=len(place) + 1)
+                inside = (x >= layer["from"][g]) & (x <= layer["to"][g])
+                if inside.any():
+                    order = np.lexsort((x[inside], g[inside]))
+                    x, g = x[inside][order], g[inside][order]
+                    first = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (g[1:] != g[:-1])])
+                    yield pa.RecordBatch.from_pydict({
+                        "bracket": layer["number"][g[first]], "x": x[first], "n": np.diff(np.r_[first, len(x)])})
+        for i, layer in enumerate(layers):
+            some = np.flatnonzero(below[i])
+            yield pa.RecordBatch.from_pydict({"bracket": layer["number"][some], "x": pa.nulls(len(some), pa.float64()),
+                                              "n": below[i][some]})
+
+    rows = df.select(_group(by).alias("grp"), *[_value(columns[i]).alias(f"x{i}") for i in items])
+    found = rows.mapInArrow(run, "bracket long, x double, n long")
+    return settle(found.groupBy("bracket", "x").agg(F.sum("n").alias("n")))
+
+
+def _solved(df: DataFrame, columns: list[str], by: str | None, pending: list[tuple]) -> dict:
+    """``{(group, column, rank): (value, rows below it, rows equal to it)}`` from (grp, item, n, lo, hi, rank, from, to)."""
     answers: dict = {}
-    pending = []  # (group, item, lo, hi, rows, rows below lo, rank, way to bucket)
-    for row in bounds:
-        for i, column in enumerate(columns):
-            n, lo, hi = row[f"b{i}"]
-            wanted = {r for r in ranks.get((row["grp"], column), []) if 0 <= r < n}
-            pending += [(row["grp"], i, lo, hi, n, 0, r, "folded") for r in wanted]
     while pending:
-        for grp, item, lo, hi, n, below, rank, _ in pending:
-            if lo == hi:
-                answers[(grp, columns[item], rank)] = (lo, below, n)
-        still = sorted(p for p in pending if p[2] != p[3])
-        if not still:
-            break
-        intervals, details = [], {}
-        for tid, (same, members) in enumerate(groupby(still, key=lambda p: p[:6] + p[7:])):
-            grp, item, lo, hi, n, below, mode = same
-            mode = "value" if n <= LEAF_ROWS else mode
-            details[tid] = same
-            intervals.append((tid, grp, item, lo, hi, mode, [m[6] - below for m in members]))
-        pending = []
-        for hit in _narrow(cells, intervals):
-            grp, item, lo, hi, n, below, _ = details[hit["tid"]]
-            # An interval too narrow to divide holds but a few doubles: rank those.
-            stuck = (hit["lo"], hit["hi"], hit["n"]) == (lo, hi, n)
-            pending.append((grp, item, hit["lo"], hit["hi"], hit["n"], below + hit["below"],
-                            below + hit["rank"], "value" if stuck else "linear"))
+        brackets = sorted({(p[0], p[1], p[6], p[7]) for p in pending})
+        number = {b: i for i, b in enumerate(brackets)}
+        kept = _kept(df, columns, by, brackets)
+        # One row a bracket.
+        totals = {r["bracket"]: r for r in kept.groupBy("bracket").agg(
+            F.sum(F.when(F.col("x").isNull(), F.col("n")).otherwise(0)).alias("below"),
+            F.sum(F.when(F.col("x").isNotNull(), F.col("n")).otherwise(0)).alias("inside"),
+            F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+        open_, again = [], []
+        for grp, item, n, lo, hi, rank, start, end in pending:
+            key = number[grp, item, start, end]
+            found = totals.get(key)
+            below, inside = (found["below"], found["inside"]) if found else (0, 0)
+            if rank < below:
+                again.append((grp, item, n, lo, hi, rank, lo, start))
+            elif rank >= below + inside:
+                again.append((grp, item, n, lo, hi, rank, end, hi))
+            else:
+                open_.append((key, found["lo"], found["hi"], inside, below, rank, "folded"))
+        cells = kept.where("x IS NOT NULL")
+        where = {i: (b[0], columns[b[1]]) for b, i in number.items()}
+        while open_:
+            for key, lo, hi, n, below, rank, _ in open_:
+                if lo == hi:
+                    answers[(*where[key], rank)] = (lo, below, n)
+            still = sorted(p for p in open_ if p[1] != p[2])
+            if not still:
+                break
+            intervals, details = [], {}
+            for tid, (same, members) in enumerate(groupby(still, key=lambda p: p[:5] + p[6:])):
+                key, lo, hi, n, below, mode = same
+                details[tid] = same
+                intervals.append((tid, key, lo, hi, "value" if n <= LEAF_ROWS else mode, [m[5] - below for m in members]))
+            open_ = []
+            for hit in _narrow(cells, intervals):
+                key, lo, hi, n, below, _ = details[hit["tid"]]
+                # An interval too narrow to divide holds but a few doubles: rank those.
+                stuck = (hit["lo"], hit["hi"], hit["n"]) == (lo, hi, n)
+                open_.append((key, hit["lo"], hit["hi"], hit["n"], below + hit["below"], below + hit["rank"],
+                              "value" if stuck else "linear"))
+        pending = again
     return answers
 
 
+def order_statistics(df: DataFrame, columns: list[str], ranks: dict, by: str | None = None,
+                     most_groups: int = MAX_GROUPS) -> dict:
+    """The values at the given 0-based ranks.
+
+    ``ranks[(group, column)]`` lists the ranks wanted (group is ``""`` without
+    ``by``). Returns ``{(group, column, rank): (value, rows below it, rows equal to it)}``.
+    Works for any number of rows; the driver holds only the brackets.
+    """
+    wanted = [(grp, columns.index(column), int(r)) for (grp, column), rs in ranks.items() if column in columns
+              for r in set(rs) if r >= 0]
+    if not wanted:
+        return {}
+    table = df.sparkSession.createDataFrame(wanted, "grp string, item int, rank bigint")
+    sketches = _sketches(df, columns, by, most_groups)
+    return _solved(df, columns, by, _bracketed(sketches.join(table, ["grp", "item"]).where("rank < n")))
+
+
 def quantiles(df: DataFrame, columns: list[str], shares: list[float],
-              by: str | None = None) -> dict:
+              by: str | None = None, most_groups: int = MAX_GROUPS) -> dict:
     """Exact quantiles with linear interpolation: ``{(group, column): [value, ...]}``.
 
     The ranks come from :func:`order_statistics` whatever the size of the table.
     """
-    group, doubles = _group(by), [_value(c) for c in columns]
-    sizes = df.groupBy(group.alias("grp")).agg(
-        *[F.count(v).alias(f"n{i}") for i, v in enumerate(doubles)]
-    ).limit(MAX_GROUPS + 1).collect()
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {by!r}: not a class column")
-    counts = {(r["grp"], c): r[f"n{i}"] for r in sizes for i, c in enumerate(columns)}
-
-    def position(n: int, share: float) -> float:
-        return share * (n - 1)
-
-    wanted = {
-        key: [edge(position(n, s)) for s in shares for edge in (floor, ceil)]
-        for key, n in counts.items() if n
-    }
-    found = order_statistics(df, columns, wanted, by)
+    sketches = _sketches(df, columns, by, most_groups)
+    sizes = {(r["grp"], r["item"]): r["n"] for r in sketches.select("grp", "item", "n").collect()}
+    places = F.transform(F.array(*map(F.lit, map(float, shares))), lambda s: s * (F.col("n") - 1))
+    ranks = F.array_distinct(F.concat(F.transform(places, lambda p: F.floor(p)), F.transform(places, lambda p: F.ceil(p))))
+    found = _solved(df, columns, by, _bracketed(sketches.where("n > 0").withColumn("rank", F.explode(ranks))))
     result = {}
-    for (grp, column), n in counts.items():
-        values = []
-        for share in shares:
-            if not n:
-                values.append(None)
-                continue
-            at = position(n, share)
-            low = found[(grp, column, floor(at))][0]
-            high = found[(grp, column, ceil(at))][0]
-            values.append(low if low == high else low + (high - low) * (at - floor(at)))
-        result[(grp, column)] = values
+    for grp in sorted({g for g, _ in sizes}):
+        for i, column in enumerate(columns):
+            n = sizes.get((grp, i), 0)
+            values = []
+            for share in shares:
+                if not n:
+                    values.append(None)
+                    continue
+                at = share * (n - 1)
+                low = found[(grp, column, floor(at))][0]
+                high = found[(grp, column, ceil(at))][0]
+                values.append(low if low == high else low + (high - low) * (at - floor(at)))
+            result[(grp, column)] = values
     return result
 
 
