@@ -8,12 +8,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wireglean import taxonomy as tax
-from wireglean.operators import anomaly, cleaning, features, models, scoring
+from wireglean.operators import anomaly, boosting, cleaning, features, models, scoring
 from wireglean.operators.models import ModelSettings
 from wireglean.plans import training
 from wireglean.plans.fixtures import with_stand_in_prediction
 from wireglean.plans.scoring_job import Scorer
-from wireglean.sources import csv_flows, tables
+from wireglean.sources import capture_ranges, csv_flows, tables
 from wireglean.streaming import live
 
 
@@ -71,6 +71,28 @@ def test_quotes_inside_cells_are_kept(spark, tmp_path):
     assert (row["note"], row["label"]) == ("two\nlines", "BENIGN")
 
 
+@pytest.mark.parametrize("size", [64, 100, 333, 5000])
+def test_ranges_cut_through_quoted_cells(spark, tmp_path, size):
+    rng = np.random.default_rng(size)
+    parts = ["a", "é", "\n", "\r\n", '""', ",", " ", "x" * 90]
+    rows = [[str(i), "".join(rng.choice(parts, rng.integers(0, 9)))] for i in range(300)]
+    text = "Flow ID, Note\r\n" + "".join(f'{i},"{note}"\n' + "\n" * (int(i) % 7 == 0) for i, note in rows)
+    (tmp_path / "q.csv").write_bytes(text.encode())
+    (tmp_path / "plain.csv").write_bytes(b"Flow ID,Other\n900,1,2,3\n901\n902,NA")
+    (tmp_path / "stray.csv").write_bytes(b'Note,Flow ID\nodd " quote,903\nnext,904\n')
+    (tmp_path / "blank.csv").write_bytes(b"\n \n")
+    files = csv_flows.csv_files(spark, str(tmp_path))
+    gone = spark.createDataFrame([(f"file:{tmp_path}/gone.csv", 500)], "path string, bytes long")
+    probed = capture_ranges.probe(files.select("path", "bytes").unionByName(gone), size)
+    reasons = {r["path"].rsplit("/", 1)[-1]: r["reason"] for r in capture_ranges.left_out(probed).collect()}
+    assert set(reasons) == {"blank.csv", "gone.csv"} and reasons["blank.csv"] == "no header line"
+    got = {r["flow_id"]: (r["note"], r["other"], r["source_file"]) for r in capture_ranges.read(probed, spark).collect()}
+    wanted = {i: (note.replace('""', '"') or None, None, "q.csv") for i, note in rows}
+    wanted |= {"901": (None, None, "plain.csv"), "902": (None, None, "plain.csv"), "903": ('odd " quote', None, "stray.csv"),
+               "904": ("next", None, "stray.csv")}
+    assert got == wanted
+
+
 def test_nothing_to_read_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         csv_flows.load_captures(spark, str(tmp_path / "none"))
@@ -194,6 +216,19 @@ def test_boosting_learns_what_a_line_cannot(spark):
     assert sum((r["prediction"] == "yes") == (r["label_index"] == 1) for r in got) > 0.95 * len(got)
 
 
+def test_boosting_grows_the_same_trees_on_one_task_and_level_by_level(spark):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(700, 4)), 1)
+    label = (x[:, 0] > 0).astype(int) + (x[:, 1] * x[:, 2] > 0.3)
+    from pyspark.ml.linalg import Vectors
+    table = spark.createDataFrame([(Vectors.dense(r), float(k), float(w)) for r, k, w in zip(x, label, 1 + rng.random(700))],
+                                  ["features", "label_index", "weight"]).repartition(5).persist()
+    whole, split = (boosting.fit_boosting(table, 3, 27, 5, 0.3, 0.8, 7, rows) for rows in (10 ** 6, 60))
+    assert (whole.feature == split.feature).all() and (whole.threshold == split.threshold).all()
+    assert (whole.value == split.value).all()
+    table.unpersist()
+
+
 def test_a_failing_candidate_is_skipped(clean_table):
     settings = ModelSettings(candidates=["NoSuchModel", models.FOREST], forest_trees=2, forest_depth=3)
     bundle, report = training.train(clean_table, settings, with_detector=False)

@@ -18,6 +18,7 @@ def arguments() -> argparse.Namespace:
     p.add_argument("--report")
     p.add_argument("--rows-per-file", type=int)
     p.add_argument("--min-per-class", type=int, default=tax.MIN_CLASS_ROWS)
+    p.add_argument("--multi-line", action="store_true", help="quoted cells may hold line ends")
     t = commands.add_parser("train", help="a clean table to a saved model")
     t.add_argument("clean")
     t.add_argument("bundle")
@@ -58,7 +59,7 @@ def main() -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if a.command == "prepare":
-        found = jobs.prepare(spark, a.raw, a.output, a.report, a.rows_per_file, a.min_per_class)
+        found = jobs.prepare(spark, a.raw, a.output, a.report, a.rows_per_file, a.min_per_class, a.multi_line)
         found.to_frame(spark).show(truncate=False, vertical=True)
     elif a.command == "train":
         cap = None if a.no_balance else tax.CLASS_CAP

@@ -1,77 +1,141 @@
-"""Gradient boosting on histograms: one booster per class, the classes side by side on the cluster.
+"""Gradient boosting on histograms, grown on the cluster: one tree per class and round, all by one softmax loss.
 
-After J. Friedman, "Greedy function approximation", Annals of Statistics 2001, with second-order
-gains (T. Chen, C. Guestrin, "XGBoost", KDD 2016). The fit is on a bounded sample of the training rows
-(``rows`` at most, drawn by content hash), whose binned values are a few megabytes; each task grows
-the trees of one class. Scoring is a walk over arrays in the tasks that hold the rows.
+After J. Friedman, "Greedy function approximation", Annals of Statistics 2001, with second-order gains
+(T. Chen, C. Guestrin, "XGBoost", KDD 2016). Rows stay where they are, binned to one byte a feature. Nodes
+with many rows are split level by level: each partition adds its rows to histograms (class, node, feature,
+bin), which are combined and searched per node, and only the chosen splits reach the driver. Nodes with at
+most ``local_rows`` rows are grown to their end by one task each. Gradients are whole numbers of a small
+unit, so that sums are exact and neither the partitions nor ``local_rows`` change a tree. Scoring is a walk
+over arrays in the tasks that hold the rows.
 """
 
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wireglean.session import settle
+
 BINS = 32
 SMALLEST_WEIGHT, PENALTY, SMALLEST_GAIN = 1.0, 1.0, 1e-6
+#: Gradients are counted in units of 1 / UNIT; float64 adds such numbers exactly for 10**8 rows and more.
+UNIT = 2.0 ** 24
+#: Rows of a node that one task grows to the end.
+LOCAL_ROWS = 50_000
+#: Rounds after which the margins of all rows are written anew; in between tasks add the newest trees to them.
+SETTLE_ROUNDS = 25
 
 _TABLE = "class int, tree int, feature array<int>, threshold array<double>, value array<double>"
+_STATE = "row long, bins binary, label int, weight double, margins binary"
+
+
+def _best_splits(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(column * BINS + bin, or -1 without a split; its gain) for histograms (node, column, bin)."""
+    g, h = g.cumsum(axis=2) / UNIT, h.cumsum(axis=2) / UNIT
+    total_g, total_h = g[:, :, -1:], h[:, :, -1:]
+    gain = (g * g / (h + PENALTY) + (total_g - g) ** 2 / (total_h - h + PENALTY)
+            - total_g * total_g / (total_h + PENALTY))
+    gain[(h < SMALLEST_WEIGHT) | (total_h - h < SMALLEST_WEIGHT)] = -1.0
+    gain = gain.reshape(len(g), -1)
+    best = gain.argmax(axis=1)
+    found = gain[np.arange(len(g)), best]
+    return np.where(found > SMALLEST_GAIN, best, -1), found
 
 
-def _grow(bins: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, columns: np.ndarray, depth: int):
-    """One tree as a heap: (feature or -1, bin threshold, gradient and hessian sums, node of each row)."""
-    size = 2 ** (depth + 1) - 1
-    feature, cut = np.full(size, -1, np.int32), np.zeros(size, np.int32)
-    sums = np.zeros((size, 2))
-    node = np.zeros(len(bins), np.int64)
-    picked = bins[:, columns].astype(np.int64) + np.arange(len(columns)) * BINS
-    open_ = np.ones(len(bins), bool)
+def _grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A whole subtree as a heap: (column or -1, bin, sums of g and h). Of two siblings the smaller one is counted."""
+    size, columns = 2 ** (depth + 1) - 1, bins.shape[1]
+    column, cut, sums = np.full(size, -1, np.int32), np.zeros(size, np.int32), np.zeros((size, 2))
+    picked = bins.astype(np.int32) + np.arange(columns, dtype=np.int32) * BINS
+    cells = columns * BINS
+    node, rows = np.zeros(len(bins), np.int32), np.arange(len(bins))
+    known = np.zeros((0, 2, cells))
     for level in range(depth + 1):
         first, width = 2 ** level - 1, 2 ** level
-        at = np.flatnonzero(open_)
-        place = node[at] - first
-        for k, values in enumerate((gradient, hessian)):
-            sums[first:first + width, k] = np.bincount(place, weights=values[at], minlength=width)
-        if level == depth or not len(at):
+        place = node[rows] - first
+        for k, values in enumerate((g, h)):
+            sums[first:first + width, k] += np.bincount(place, weights=values[rows], minlength=width)
+        if level == depth or not len(rows):
             break
-        flat = (place[:, None] * (len(columns) * BINS) + picked[at]).ravel()
-        shape = (width, len(columns), BINS)
-        g, h = (np.bincount(flat, weights=np.repeat(values[at], len(columns)), minlength=width * len(columns) * BINS)
-                .reshape(shape).cumsum(axis=2) for values in (gradient, hessian))
-        total_g, total_h = g[:, :, -1:], h[:, :, -1:]
-        gain = (g * g / (h + PENALTY) + (total_g - g) ** 2 / (total_h - h + PENALTY)
-                - total_g * total_g / (total_h + PENALTY))
-        gain[(h < SMALLEST_WEIGHT) | (total_h - h < SMALLEST_WEIGHT)] = -1.0
-        flat_gain = gain.reshape(width, -1)
-        best = flat_gain.argmax(axis=1)
-        split = flat_gain[np.arange(width), best] > SMALLEST_GAIN
-        feature[first:first + width] = np.where(split, columns[best // BINS], -1)
-        cut[first:first + width] = best % BINS
-        moves = split[place]
-        open_[at[~moves]] = False
-        at = at[moves]
-        now = node[at]
-        node[at] = 2 * now + 1 + (bins[at, feature[now]] > cut[now])
-    return feature, cut, sums, node
-
-
-def _boost(bins: np.ndarray, hit: np.ndarray, weight: np.ndarray, edges: np.ndarray, rounds: int, depth: int,
-           rate: float, share: float, seed: list[int]):
-    """The trees of one class, by the logistic loss; yields (feature, threshold, value)."""
-    draw = np.random.default_rng(seed)
-    margin = np.zeros(len(bins))
-    n_columns = max(1, int(round(share * bins.shape[1])))
-    for _ in range(rounds):
-        chance = 1 / (1 + np.exp(-margin))
-        inside = weight * (draw.random(len(bins)) < share)
-        columns = np.sort(draw.choice(bins.shape[1], n_columns, replace=False))
-        feature, cut, sums, node = _grow(bins, inside * (chance - hit), inside * chance * (1 - chance), columns, depth)
-        value = -rate * sums[:, 0] / (sums[:, 1] + PENALTY)
-        margin += value[node]
-        yield feature, np.where(feature >= 0, edges[np.maximum(feature, 0), np.minimum(cut, BINS - 2)], 0.0), value
+        counts = np.bincount(place, minlength=width)
+        counted = np.ones(width, bool)
+        if level:
+            pair = counts.reshape(-1, 2)
+            counted = np.stack([pair[:, 0] <= pair[:, 1], pair[:, 0] > pair[:, 1]], 1).ravel()
+        number = np.cumsum(counted) - 1
+        mine = counted[place]
+        at = rows[mine]
+        flat = (number[place[mine]][:, None] * cells + picked[at]).ravel()
+        total = np.stack([np.bincount(flat, weights=np.repeat(v[at], columns), minlength=int(counted.sum()) * cells)
+                          .reshape(-1, cells) for v in (g, h)], axis=1)
+        now = np.empty((width, 2, cells))
+        now[counted] = total
+        if level:
+            other = np.flatnonzero(~counted)
+            now[other] = known[other // 2] - now[other ^ 1]
+        known = now
+        shape = (width, columns, BINS)
+        best, _ = _best_splits(now[:, 0].reshape(shape), now[:, 1].reshape(shape))
+        best[counts == 0] = -1
+        column[first:first + width] = np.where(best >= 0, best // BINS, -1)
+        cut[first:first + width] = np.maximum(best, 0) % BINS
+        rows = rows[best[place] >= 0]
+        now_at = node[rows]
+        node[rows] = 2 * now_at + 1 + (bins[rows, column[now_at]] > cut[now_at])
+    return column, cut, sums
+
+
+def _mixed(number: np.ndarray, salt: int) -> np.ndarray:
+    """A share between 0 and 1 for each number."""
+    x = number.astype(np.uint64) ^ np.uint64((salt * 0x9E3779B97F4A7C15) % 2 ** 64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))) / 2.0 ** 64
+
+
+def _fixed(column: pa.Array, dtype) -> np.ndarray:
+    """Equally long binary cells as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1)
+
+
+def _leaf(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The node of a heap at which each row ends."""
+    at = np.zeros(len(bins), np.int32)
+    rows = np.arange(len(bins))
+    while len(rows):
+        rows = rows[feature[at[rows]] >= 0]
+        now = at[rows]
+        at[rows] = 2 * now + 1 + (bins[rows, feature[now]] > cut[now])
+    return at
+
+
+class _Rows:
+    """The rows of one batch with their margins brought up to date, and their gradients in this round."""
+
+    def __init__(self, batch, newest, classes):
+        self.number, self.label = np.asarray(batch.column("row")), np.asarray(batch.column("label"))
+        self.weight = np.asarray(batch.column("weight"))
+        self.bins = _fixed(batch.column("bins"), np.uint8)
+        self.margins = _fixed(batch.column("margins"), np.float64).copy()
+        for trees in newest:
+            for k, (feature, cut, value) in enumerate(trees):
+                self.margins[:, k] += value[_leaf(self.bins, feature, cut)]
+        self.classes = classes
+
+    def gradients(self, share: float, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows of this round's draw, g, h), g and h by class in whole units."""
+        rows = np.flatnonzero(_mixed(self.number, salt) < share)
+        chance = np.exp(self.margins[rows] - self.margins[rows].max(axis=1, keepdims=True))
+        chance /= chance.sum(axis=1, keepdims=True)
+        hit = self.label[rows][:, None] == np.arange(self.classes)
+        weight = self.weight[rows][:, None] * UNIT
+        return rows, np.rint(weight * (chance - hit)), np.rint(weight * np.maximum(2 * chance * (1 - chance), 1e-16))
 
 
 @dataclass
@@ -138,30 +202,196 @@ class Booster:
         return found
 
 
-def fit_boosting(train: DataFrame, classes: int, rounds: int, depth: int, rate: float, share: float, rows: int,
-                 seed: int) -> Booster:
-    """Fit on (features, label_index, weight); at most about ``rows`` of the rows, drawn by their hash."""
-    spark = train.sparkSession
-    table = train.select(vector_to_array("features").alias("x"), "label_index", "weight")
-    n = table.count()
-    if not n:
-        raise ValueError("no rows to fit the booster on")
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "x", "label_index"), 11) / F.lit(2.0 ** 53)
-    sample = table.where(draw < min(1.0, rows / n)).limit(2 * rows).toArrow()
-    x = sample["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(sample), -1)
-    label, weight = sample["label_index"].to_numpy(), sample["weight"].to_numpy()
-    order = np.lexsort((label, *x.T))  # whatever order the rows came in
-    x, label, weight = x[order], label[order], weight[order]
-    edges = np.quantile(x, np.arange(1, BINS) / BINS, axis=0, method="lower").T
-    bins = np.stack([np.searchsorted(e, column, side="left") for e, column in zip(edges, x.T)], axis=1).astype(np.uint8)
-    shared = spark.sparkContext.broadcast((bins, label.astype(np.int32), weight, edges))
-
-    def fit(batches):
-        for batch in batches:
-            for c in batch["id"]:
-                bins, label, weight, edges = shared.value
-                made = _boost(bins, (label == c).astype(float), weight, edges, rounds, depth, rate, share, [seed, int(c)])
-                found = [(int(c), t, f, cut, v) for t, (f, cut, v) in enumerate(made)]
-                yield pd.DataFrame(found, columns=["class", "tree", "feature", "threshold", "value"])
-
-    return Booster.from_table(spark.range(0, classes, 1, classes).mapInPandas(fit, _TABLE))
+class _Fit:
+    """The state of one fit: the table of binned rows, and the trees of the rounds that its margins lack."""
+
+    def __init__(self, train: DataFrame, classes: int, depth: int, rate: float, share: float, seed: int, local_rows: int):
+        self.classes, self.depth, self.rate, self.share = classes, depth, rate, share
+        self.seed, self.local_rows, self.newest = seed, local_rows, []
+        table = train.select(vector_to_array("features").alias("x"), F.col("label_index").cast("int").alias("label"), "weight")
+        first = table.select(F.size("x")).first()
+        if first is None:
+            raise ValueError("no rows to fit the booster on")
+        self.width = first[0]
+        # A mergeable sketch per feature; its values are values of the feature.
+        shares = ", ".join(f"{i / BINS}D" for i in range(1, BINS))
+        sketches = [F.expr(f"percentile_approx(x[{i}], array({shares}), 10000)").alias(f"q{i}") for i in range(self.width)]
+        self.edges = edges = np.array(table.agg(*sketches).first(), dtype=float).reshape(self.width, BINS - 1)
+
+        def binned(batches):
+            number, start = TaskContext.get().partitionId() << 36, np.zeros(classes).tobytes()
+            for batch in batches:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                bins = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1).astype(np.uint8)
+                yield pa.RecordBatch.from_pydict({
+                    "row": pa.array(np.arange(number, number + len(x))), "bins": pa.array([b.tobytes() for b in bins], pa.binary()),
+                    "label": batch.column("label"), "weight": batch.column("weight"),
+                    "margins": pa.array([start] * len(x), pa.binary())})
+                number += len(x)
+
+        self.state = settle(table.mapInArrow(binned, _STATE))
+        self.rows = self.state.count()
+        # A number for each slot that the hash of a repartition sends to a partition of its own.
+        spread = table.sparkSession.range(64 * classes).select("id", F.expr(f"pmod(hash(id), {classes})").alias("p"))
+        chosen = {r["p"]: r["id"] for r in spread.groupBy("p").agg(F.min("id").alias("id")).collect()}
+        self.slots = [chosen.get(k, k) for k in range(classes)]
+
+    def columns(self, round_: int, k: int) -> np.ndarray:
+        draw = np.random.default_rng([self.seed, round_, k])
+        return np.sort(draw.choice(self.width, max(1, int(round(self.share * self.width))), replace=False))
+
+    def grow(self, round_: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The trees of one round: (feature or -1, bin, value) heaps, one per class."""
+        size = 2 ** (self.depth + 1) - 1
+        trees = [(np.full(size, -1, np.int32), np.zeros(size, np.int32), np.zeros((size, 2))) for _ in range(self.classes)]
+        columns = [self.columns(round_, k) for k in range(self.classes)]
+        ready: list[tuple[int, int]] = []  # (class, node) that one task can finish
+        open_ = [(k, 0, self.rows) for k in range(self.classes)]
+        while open_:
+            ready += [(k, node) for k, node, n in open_ if n <= self.local_rows]
+            large = [(k, node) for k, node, n in open_ if n > self.local_rows]
+            open_ = []
+            if not large:
+                break
+            for k, node, column, cut, g, h, left, right in self._split(round_, trees, columns, large):
+                trees[k][2][node] = g, h
+                if column >= 0 and 2 * node + 2 < size:
+                    trees[k][0][node], trees[k][1][node] = columns[k][column], cut
+                    open_ += [(k, 2 * node + 1, left), (k, 2 * node + 2, right)]
+        if ready:
+            for k, node, column, cut, sums in self._finish(round_, trees, columns, ready):
+                # The subtree's levels, laid into those of the tree below the node.
+                for level in range(int(np.log2(len(column) + 1))):
+                    here, there = 2 ** level - 1, (node + 1) * 2 ** level - 1
+                    own, into = slice(here, here + 2 ** level), slice(there, there + 2 ** level)
+                    trees[k][0][into] = np.where(column[own] >= 0, columns[k][np.maximum(column[own], 0)], -1)
+                    trees[k][1][into], trees[k][2][into] = cut[own], sums[own]
+        return [(f, c, -self.rate * s[:, 0] / (s[:, 1] + PENALTY * UNIT)) for f, c, s in trees]
+
+    def _routed(self, round_: int, trees, columns, wanted, make):
+        """Rows (class, node, packed) that ``make(bins, g, h)`` gives for each wanted node and batch."""
+        newest, classes, share, salt = self.newest, self.classes, self.share, self.seed * 100_003 + round_
+        partial = [(f, c) for f, c, _ in trees]
+        by_class: dict[int, list[int]] = {}
+        for k, node in wanted:
+            by_class.setdefault(k, []).append(node)
+        slots = self.slots
+
+        def run(batches):
+            for batch in batches:
+                own = _Rows(batch, newest, classes)
+                rows, g, h = own.gradients(share, salt)
+                found = []
+                for k, nodes in by_class.items():
+                    at = _leaf(own.bins[rows], *partial[k])
+                    for node in nodes:
+                        here = np.flatnonzero(at == node)
+                        if len(here):
+                            packed = make(own.bins[rows[here]][:, columns[k]], g[here, k], h[here, k])
+                            found.append((k, node, slots[k] + 64 * classes * node, *(p.tobytes() for p in packed)))
+                names = ("class", "node", "slot", "bins", "g", "h")
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[i] for f in found], t) for i, t in enumerate(kinds)], names=list(names))
+
+        return self.state.mapInArrow(run, "class int, node int, slot long, bins binary, g binary, h binary")
+
+    def _split(self, round_: int, trees, columns, large) -> list[tuple]:
+        """The best split of each large node, from histograms that are combined per partition and then per node."""
+        def histogram(bins, g, h):
+            flat = (bins.astype(np.int64) + np.arange(bins.shape[1]) * BINS).ravel()
+            cells = bins.shape[1] * BINS
+            return (np.bincount(flat, minlength=cells),
+                    *(np.bincount(flat, weights=np.repeat(v, bins.shape[1]), minlength=cells) for v in (g, h)))
+
+        def added(batches):  # of one partition: a histogram a node
+            total: dict = {}
+            for batch in batches:
+                for k, node, slot, *cells in zip(*(c.to_pylist() for c in batch.columns)):
+                    own = [np.frombuffer(c, t) for c, t in zip(cells, (np.int64, float, float))]
+                    held = total.get((k, node, slot))
+                    total[k, node, slot] = own if held is None else [a + b for a, b in zip(held, own)]
+            yield _packed(total)
+
+        def best(batches):
+            totals: dict = {}
+            for out in added(batches):
+                for k, node, _, n, g, h in zip(*(c.to_pylist() for c in out.columns)):
+                    totals[k, node] = [np.frombuffer(c, t).reshape(1, -1, BINS) for c, t in
+                                       zip((n, g, h), (np.int64, float, float))]
+            found = []
+            for (k, node), (n, g, h) in totals.items():
+                at = int(_best_splits(g, h)[0][0])
+                column, cut = (at // BINS, at % BINS) if at >= 0 else (-1, 0)
+                left = int(n[0, max(column, 0), :cut + 1].sum())
+                found.append((k, node, column, cut, g[0, 0].sum(), h[0, 0].sum(), left, int(n[0, 0].sum()) - left))
+            yield pd.DataFrame(found, columns=["class", "node", "column", "cut", "g", "h", "left", "right"])
+
+        def best_in_arrow(batches):
+            for frame in best(batches):
+                yield pa.RecordBatch.from_pandas(frame.astype({c: "int32" for c in ("class", "node", "column", "cut")}),
+                                                 preserve_index=False)
+
+        kind = "class int, node int, slot long, bins binary, g binary, h binary"
+        parts = self._routed(round_, trees, columns, large, histogram).mapInArrow(added, kind)
+        rows = parts.repartition("class", "node").mapInArrow(
+            best_in_arrow, "class int, node int, column int, cut int, g double, h double, left long, right long")
+        return [tuple(r) for r in rows.collect()]  # one row a node
+
+    def _finish(self, round_: int, trees, columns, ready) -> list[tuple]:
+        """The subtrees of the small nodes, one task a node."""
+        depth = self.depth
+
+        def grown(batches):
+            groups: dict = {}
+            for batch in batches:
+                for k, node, _, *cells in zip(*(c.to_pylist() for c in batch.columns)):
+                    groups.setdefault((k, node), []).append(cells)
+            for (k, node), parts in groups.items():
+                g, h = (np.frombuffer(b"".join(p[i] for p in parts), float) for i in (1, 2))
+                bins = np.frombuffer(b"".join(p[0] for p in parts), np.uint8).reshape(len(g), -1)
+                column, cut, sums = _grow(bins, g, h, depth - (node + 1).bit_length() + 1)
+                yield pa.RecordBatch.from_pydict({
+                    "class": pa.array([k], pa.int32()), "node": pa.array([node], pa.int32()), "column": [column.tobytes()],
+                    "cut": [cut.tobytes()], "sums": [sums.tobytes()]})
+
+        packed = self._routed(round_, trees, columns, ready, lambda bins, g, h: (np.ascontiguousarray(bins), g, h))
+        rows = packed.repartition(max(self.classes, len(ready)), "slot").mapInArrow(
+            grown, "class int, node int, column binary, cut binary, sums binary")
+        return [(r["class"], r["node"], np.frombuffer(r["column"], np.int32), np.frombuffer(r["cut"], np.int32),
+                 np.frombuffer(r["sums"], float).reshape(-1, 2)) for r in rows.collect()]
+
+    def advance(self, trees) -> None:
+        """Take a round's trees into account; now and then into the table itself."""
+        self.newest.append(trees)
+        if len(self.newest) < SETTLE_ROUNDS:
+            return
+        newest, classes = self.newest, self.classes
+
+        def moved(batches):
+            for batch in batches:
+                own = _Rows(batch, newest, classes)
+                yield batch.set_column(4, "margins", pa.array([m.tobytes() for m in own.margins], pa.binary()))
+
+        self.state, self.newest = settle(self.state.mapInArrow(moved, _STATE)), []
+
+
+def _packed(total: dict) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int64())
+    arrays = [pa.array([key[i] for key in total], t) for i, t in enumerate(kinds)]
+    arrays += [pa.array([v[i].tobytes() for v in total.values()], pa.binary()) for i in range(3)]
+    return pa.RecordBatch.from_arrays(arrays, names=["class", "node", "slot", "bins", "g", "h"])
+
+
+def fit_boosting(train: DataFrame, classes: int, rounds: int, depth: int, rate: float, share: float, seed: int,
+                 local_rows: int = LOCAL_ROWS) -> Booster:
+    """Fit on (features, label_index, weight), all rows. ``share`` of the rows and of the features are drawn for each
+    tree. A round is one job while no node is large, and one more for each level of large nodes."""
+    fit = _Fit(train, classes, depth, rate, share, seed, local_rows)
+    made = []
+    for round_ in range(rounds):
+        made.append(fit.grow(round_))
+        fit.advance(made[-1])
+    feature, cut, value = (np.array([[trees[k][i] for trees in made] for k in range(classes)]) for i in range(3))
+    threshold = np.where(feature >= 0, fit.edges[np.maximum(feature, 0), np.minimum(cut, BINS - 2)], 0.0)
+    return Booster(feature, threshold, value)

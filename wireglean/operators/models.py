@@ -31,7 +31,7 @@ class ModelSettings:
     boosting_depth: int = 8
     boosting_rate: float = 0.1
     boosting_share: float = 0.8
-    boosting_rows: int = 200_000  # the rows that boosting learns from, at most
+    boosting_local_rows: int = 50_000  # a node with so many rows is grown to its end by one task
     detector_trees: int = 200
     seed: int = tax.SEED
 
@@ -66,7 +66,7 @@ def fit_candidate(name: str, train: DataFrame, settings: ModelSettings) -> Pipel
     if name == BOOSTING:
         classes = int(train.agg(F.max("label_index")).first()[0] or 0) + 1
         return fit_boosting(train, classes, settings.boosting_rounds, settings.boosting_depth, settings.boosting_rate,
-                            settings.boosting_share, settings.boosting_rows, settings.seed)
+                            settings.boosting_share, settings.seed, settings.boosting_local_rows)
     stages = FITS[name](train, settings)
     for stage in stages:
         # Own output names; what is not used is not computed.
@@ -77,8 +77,9 @@ def fit_candidate(name: str, train: DataFrame, settings: ModelSettings) -> Pipel
 def _probabilities(name: str, classes: int) -> Column:
     if name != BOOSTING:
         return vector_to_array("_probability")
-    # Classes that training had no row of have no booster, and no chance.
-    odds = F.transform("_margins", lambda m: 1.0 / (1.0 + F.exp(-m)))
+    # Classes that training had no row of have no trees, and no chance.
+    most = F.array_max("_margins")
+    odds = F.transform("_margins", lambda m: F.exp(m - most))
     total = F.aggregate(odds, F.lit(0.0), lambda a, b: a + b)
     shares = F.transform(odds, lambda p: p / total)
     return F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda i: F.coalesce(F.get(shares, i), F.lit(0.0)))

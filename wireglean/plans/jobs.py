@@ -15,20 +15,22 @@ from wireglean.streaming import live
 
 
 def prepare(spark: SparkSession, raw: str, output: str, report: str | None = None,
-            rows_per_file: int | None = None, least: int = tax.MIN_CLASS_ROWS) -> cleaning.CleaningReport:
+            rows_per_file: int | None = None, least: int = tax.MIN_CLASS_ROWS,
+            multi_line: bool = False) -> cleaning.CleaningReport:
     """Captures (a folder of CSV files, or one file) to a clean parquet table and its report.
 
-    Files that were left out are listed, with the reason, in a table beside the report (``…-left-out``).
+    Files that were left out are listed, with the reason, in a table beside the report (``…-left-out``). With
+    ``multi_line`` quoted cells may hold line ends.
     """
     one_file = raw.lower().endswith(".csv")
-    left_out: list[tuple[str, str]] = []
+    left_out: list[DataFrame] = []
     flows = csv_flows.load_captures(
-        spark, None if one_file else raw, [raw] if one_file else None, rows_per_file, left_out=left_out)
+        spark, None if one_file else raw, [raw] if one_file else None, rows_per_file, multi_line, left_out)
     table, found = cleaning.clean(flows, least=least, untyped_text=True)
     tables.write_clean(table, output)
     if report:
         tables.write_report(found.to_frame(spark), report)
-        tables.write_report(spark.createDataFrame(left_out, "path string, reason string"), f"{report.rstrip('/')}-left-out")
+        tables.write_report(left_out[0], f"{report.rstrip('/')}-left-out")
     return found
 
 

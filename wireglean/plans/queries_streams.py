@@ -12,7 +12,7 @@ from wireglean.plans.fixtures import raw_flows, with_stand_in_prediction
 from wireglean.plans.queries_cleaning import cleaned, clean_rows, totals, _TOTALS
 from wireglean.plans.queries_rows import scored
 from wireglean.session import run_folder
-from wireglean.sources import csv_flows, tables
+from wireglean.sources import capture_ranges, csv_flows, tables
 from wireglean.streaming import live
 
 _folders: dict = {}
@@ -94,6 +94,45 @@ def a2(spark, sf_dir):
         *[F.col(c).cast("double").alias(c) for c in ("flow_duration", "init_win_bytes_forward")], "label")
 
 
+@query("a2_quoted_line_ends", O.FLOWS + """SELECT flow_id, 'port ' || destination_port || chr(10) || '"' || label || '", ' || chr(10)
+  AS note, label FROM raw_flows""")
+def a2_quoted(spark, sf_dir):
+    """Cells with line ends, quotes and commas, read in ranges that cut through them."""
+    folder = run_folder(spark, "quoted")
+    note = F.concat(F.lit("port "), "destination_port", F.lit('\n"'), "label", F.lit('", \n'))
+    (raw_flows(spark, sf_dir).select(F.col("flow_id").alias("Flow ID"), note.alias(" Note"), F.col("label").alias("Label"))
+     .coalesce(2).write.option("header", True).option("escape", '"').csv(folder))
+    probed = capture_ranges.probe(csv_flows.csv_files(spark, folder), range_bytes=1 << 16)
+    return capture_ranges.read(probed, spark).select(F.col("flow_id").cast("bigint").alias("flow_id"), "note", "label")
+
+
+@query("a5_files_left_out", O.FLOWS + """SELECT flow_id % 8 AS bucket, CASE WHEN flow_id % 8 < 3 THEN 'no header line' END AS reason,
+  CASE WHEN flow_id % 8 < 3 THEN 0 ELSE count(*) END AS n FROM raw_flows GROUP BY 1""")
+def a5_left_out(spark, sf_dir):
+    """A folder in which the files of three buckets are blank: what was read of each file, and why not."""
+    folder = run_folder(spark, "some-blank")
+    bucket = F.col("flow_id") % 8
+    line = F.when(bucket < 3, F.lit("")).otherwise(F.col("flow_id").cast("string"))
+    lines = raw_flows(spark, sf_dir).select(bucket.alias("bucket"), line.alias("value"))
+    header = spark.range(3, 8).select(F.col("id").alias("bucket"), F.lit("Flow ID").alias("value"))
+    # The header sorts behind the digits in falling order only.
+    (lines.unionByName(header).repartition(8, "bucket").sortWithinPartitions("bucket", F.desc("value"))
+     .write.partitionBy("bucket").text(folder))
+    probed = capture_ranges.probe(_as_csv(spark, folder), range_bytes=1 << 16)
+    left_out = capture_ranges.left_out(probed)
+    of = F.regexp_extract("path", "bucket=([0-9]+)", 1).cast("bigint")
+    files = probed.where("start = 0").select("path", of.alias("bucket")).join(left_out, "path", "left")
+    read = capture_ranges.read(probed, spark).groupBy((F.col("flow_id").cast("bigint") % 8).alias("bucket")).agg(
+        F.count("*").alias("n"))
+    return files.groupBy("bucket").agg(F.max("reason").alias("reason")).join(read, "bucket", "left").select(
+        "bucket", "reason", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _as_csv(spark, folder):
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(folder)
+    return listing.select("path", F.col("length").alias("bytes"))
+
+
 @query("a3_header_names", _READ + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS filled FROM read_rows"
     for c in ("flow_id", "destination_port", "flow_duration", "init_win_bytes_forward", "label")))

@@ -1,7 +1,5 @@
 """Reading capture files as a flow meter exports them: dirty headers, varying columns, bad lines."""
 
-import logging
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,11 +10,9 @@ from pyspark.sql import types as T
 from wireglean import taxonomy as tax
 from wireglean.functions.text import snake_headers
 from wireglean.session import settle
-
-log = logging.getLogger(__name__)
+from wireglean.sources import capture_ranges
 
 CORRUPT = "_corrupt"
-HEADER_JOBS = 16
 
 
 def csv_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,19 +36,8 @@ def csv_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def header_of(spark: SparkSession, path: str) -> list[str] | None:
     """The raw header cells of one file, or None when there is no line to read."""
-    return _header(spark, path)[0]
-
-
-def _header(spark: SparkSession, path: str) -> tuple[list[str] | None, str | None]:
-    """The header cells, or None and why there are none."""
-    reader = spark.read.option("header", False).option("ignoreLeadingWhiteSpace", True).option("escape", '"')
-    try:
-        line = reader.csv(path).first()
-    except Exception as error:  # an unreadable file is left out, as are its rows
-        reason = str(error).splitlines()[0][:500]
-        log.warning("left out %s: %s", path, reason)
-        return None, reason
-    return (None, "no header line") if line is None else (["" if cell is None else cell for cell in line], None)
+    found = capture_ranges.headers(capture_ranges.probe(csv_files(spark, path), count_quotes=False))
+    return found[0] if found else None
 
 
 def _comma_count(record: Column) -> Column:
@@ -60,8 +45,8 @@ def _comma_count(record: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
 
 
-def read_group(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> DataFrame:
-    """Files that share one header, all cells as text.
+def read_group(spark: SparkSession, paths: list[str] | str, names: list[str]) -> DataFrame:
+    """Files that share one header (or all below a folder), all cells as text.
 
     A short line is filled up with nulls, a line with too many cells is dropped, and
     the texts that mean "missing" become null. Undecodable bytes become U+FFFD.
@@ -71,8 +56,8 @@ def read_group(spark: SparkSession, paths: list[str], names: list[str], multi_li
         spark.read.schema(schema).option("header", True).option("enforceSchema", True)
         .option("ignoreLeadingWhiteSpace", True).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", True)
-        # A quote inside a quoted cell is doubled; a cell with a line end needs multi_line.
-        .option("escape", '"').option("multiLine", multi_line)
+        # A quote inside a quoted cell is doubled; cells with line ends are left to the reader of ranges.
+        .option("escape", '"').option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
         # Pruned cells are not counted, so a long line would pass when few columns are asked for.
         .option("columnPruning", False)
         .csv(paths)
@@ -112,35 +97,42 @@ def first_rows(rows: DataFrame, limit: int) -> DataFrame:
 
 def load_captures(spark: SparkSession, folder: str | None = None, files: list[str] | None = None,
                   rows_per_file: int | None = None, multi_line: bool = False,
-                  left_out: list[tuple[str, str]] | None = None) -> DataFrame:
+                  left_out: list[DataFrame] | None = None) -> DataFrame:
     """All captures as one table of text columns with ``source_file``.
 
-    Files whose header can't be read are left out; each goes into ``left_out`` with the reason.
-
-    With ``multi_line`` a quoted cell may hold line ends; such files can't be split among tasks.
+    One job reads the first line of all files. Files whose header can't be read are left out; with ``left_out`` a table
+    (path, reason) of them is added to it. Files with equal headers are read together; columns a file lacks are null.
+    No readable file is an error.
 
-    Files with equal headers are read together; columns a file lacks are null. A file
-    that cannot be read is left out, and no readable file is an error.
+    With ``multi_line`` quoted cells may hold line ends, and every byte of every file is looked at first: a file
+    that can't be read to its end is left out whole, with the reason. Files are split in both ways.
     """
     if files is None:
-        files = [r["path"] for r in csv_files(spark, folder).orderBy("path").select("path").collect()]
-    if not files:
+        found = csv_files(spark, folder)
+    else:
+        found = reduce(DataFrame.unionByName, [csv_files(spark, f) for f in files]) if files else csv_files(spark, "")
+    if not files and found.isEmpty():
         raise FileNotFoundError(f"no CSV files in {folder}")
-    # One line per file, fetched by small concurrent jobs.
-    with ThreadPoolExecutor(HEADER_JOBS) as pool:
-        found = list(pool.map(lambda path: _header(spark, path), files))
-    headers = [header for header, _ in found]
+    probed = capture_ranges.probe(found, count_quotes=multi_line)
+    bad = capture_ranges.left_out(probed)
     if left_out is not None:
-        left_out += [(path, reason) for path, (header, reason) in zip(files, found) if not header]
-    groups: dict[tuple, list[str]] = {}
-    for path, header in zip(files, headers):
-        if header:
-            groups.setdefault(tuple(snake_headers(header)), []).append(path)
-    if not groups:
+        left_out.append(bad)
+    known = [snake_headers(header) for header in capture_ranges.headers(probed)]
+    if not known:
         raise FileNotFoundError("none of the CSV files could be read")
+    if multi_line and rows_per_file is None:
+        return capture_ranges.read(probed, spark)
+    if files is None and len(known) == 1 and bad.isEmpty():
+        sources = [(known[0], folder)]  # no path passes through the driver
+    else:
+        good = probed.where("header IS NOT NULL").join(bad.select("path"), "path", "left_anti")
+        groups: dict[tuple, list[str]] = {tuple(names): [] for names in known}
+        for row in good.select("path", "header").orderBy("path").toLocalIterator():
+            groups[tuple(snake_headers(row["header"]))].append(row["path"])
+        sources = [(list(names), paths) for names, paths in groups.items()]
     parts = []
-    for names, paths in groups.items():
-        part = read_group(spark, paths, list(names), multi_line)
+    for names, paths in sources:
+        part = read_group(spark, paths, names)
         part = part if rows_per_file is None else first_rows(part, rows_per_file)
         parts.append(part.drop("_path", "_block"))
     combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
