@@ -23,31 +23,42 @@ def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; texts without a letter and narrow decisions go."""
+    """Documents whose language is clear; null texts, texts without a letter and narrow decisions go.
+
+    Each row is judged by its text alone, so equal rows stay or go together; an empty table gives an empty one.
+    """
     plain, others = _aside(docs)
     found = language.identify(plain, language.fit_on_documents(docs), carry=others)
     return _restored(found.where(~F.col("rejected")), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id (of its rows, the smallest)."""
-    plain, others = _aside(docs)
-    kept = (jaccard_join.near_duplicates(plain).where("doc_id = component_id").select("doc_id").distinct())
-    rest = [c for c in plain.columns if c != "doc_id"]
-    one = (plain.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
-           .select("doc_id", "row.*"))
-    return _restored(one.unionByName(plain.where("doc_id IS NULL")), docs)
+    """One document of each group of near copies: the one with the smallest id (of rows with one id, any).
+
+    Rows are told apart by numbers of their own, so different texts that share an id all stay. Rows without an id, and
+    null or empty texts, are no one's copy and stay too. An empty table gives an empty one.
+    """
+    plain, _ = _aside(docs)
+    ws = Workspace(spark, "near")
+    rows = ws.settle(plain.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = jaccard_join.near_duplicates(rows.where("doc_id IS NOT NULL").select("_row", "text"), "_row")
+    named = found.select("_row", F.col("component_id").alias("group")).join(rows.select("_row", "doc_id"), "_row")
+    kept = named.groupBy("group").agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row")
+    return _restored(rows.join(kept, "_row", "left_semi").unionByName(rows.where("doc_id IS NULL")), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark; documents with fewer hits stay as they are."""
+    """Documents that are not contaminated by the benchmark; documents with fewer hits stay as they are.
+
+    Null and empty texts have no hits. An empty table on either side removes nothing.
+    """
     plain, others = _aside(docs)
     found = fm_index.decontaminate(plain, table(spark, sf_dir, "benchmark"), carry=others)
     return _restored(found.where(~F.col("contaminated")), docs)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data masked; n_chars counts the masked text."""
+    """All documents, with personal data masked; n_chars counts the masked text. Null texts stay null."""
     plain, others = _aside(docs)
     found = personal_data.find(plain, personal_data.fit(docs), carry=others).withColumn("text", F.col("masked"))
     if "n_chars" in docs.columns:
@@ -57,7 +68,7 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece ids of each text, and digests of the ids and of the text decoded from them."""
+    """SentencePiece ids of each text (null: none), and digests of the ids and of the text decoded from them."""
     coded = piece_bpe.encode(docs)
     return coded.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),

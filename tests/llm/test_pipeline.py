@@ -78,3 +78,16 @@ def test_odd_tables_pass_all_stages(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         assert docs.count() == (3 if data else 0)
+
+
+def test_near_duplicates_lose_no_other_text(spark):
+    """Different documents with one id, map columns, copies under several ids, and a very long text."""
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(5, "one text about rivers and hills and roads", {"a": 1}), (5, "another text about birds and trees and seas", None),
+            (5, "another text about birds and trees and seas", {}), (4, "one text about rivers and hills and roads", {"b": 2}),
+            (9, long, {}), (8, long + " end", {}), (None, long, {}), (7, None, {}), (7, "", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, marks map<string,int>").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.dtypes == docs.dtypes
+    got = sorted(((r["doc_id"] or 0), (r["text"] or "")[-4:]) for r in kept.collect())
+    assert got == sorted([(5, "seas"), (4, "oads"), (8, " end"), (0, "9999"), (7, ""), (7, "")])

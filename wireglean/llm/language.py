@@ -25,8 +25,6 @@ LEVEL = 3
 NARROW = 0.004
 #: A lead of this share counts as certain.
 WIDE = 0.1
-#: Texts of so few distinct words are hardly compressed; the words themselves are looked up as well.
-FEW_WORDS = 12
 UNDETERMINED = "und"
 
 
@@ -102,22 +100,11 @@ def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[st
     sizes = {lang: sum(len(c.compress(b)) for b in blocks) for lang, c in _compressors(model)}
     if len(sizes) == 1:
         return model[0][0], 1.0, False
-    few = _few_words(body)
-    if few:  # nothing to compress: every word that a dictionary lacks costs its length
-        sizes = {lang: sizes[lang] + sum(len(w) for w in few if b" " + w + b" " not in content) for lang, content in model}
     (least, lang), (second, _) = sorted((size, lang) for lang, size in sizes.items())[:2]
     lead = (second - least) / second
     return lang, min(1.0, 0.5 + lead / WIDE / 2), lead < NARROW
 
 
-def _few_words(body: bytes) -> set[bytes]:
-    """The distinct words of a text that has only a few, however often it repeats them."""
-    if len(body) > FEW_WORDS * 16 and len(body[:1024].split()) > 4 * FEW_WORDS and len(set(body[:1024].split())) > FEW_WORDS:
-        return set()
-    words = set(body.split())
-    return words if len(words) <= FEW_WORDS else set()
-
-
 def identify(docs: DataFrame, model: dict[str, bytes], id_column: str = "doc_id", text_column: str = "text",
              carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, text, carried columns, lang_pred, lang_score, rejected) of every whole text.
