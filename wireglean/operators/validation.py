@@ -1,5 +1,7 @@
 """Checking single flow records against the field bounds."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,18 @@ def _reason(flows: DataFrame, field: str) -> Column:
     return reason.when(number > float(high), f"above {high:g}")
 
 
+def _fits(flows: DataFrame, field: str) -> Column:
+    """Whether the field is accepted: the same rule as a plain comparison (NaN and infinities lie outside of all bounds)."""
+    required = field in tax.REQUIRED_FIELDS
+    if field not in flows.columns:
+        return F.lit(not required)
+    number, (low, high) = as_double(field), tax.FIELD_BOUNDS[field]
+    inside = number.between(float(low), float(high)) & (F.abs(number) < float("inf"))
+    if field in tax.INTEGER_FIELDS:
+        inside &= number == F.floor(number)
+    return F.when(F.col(field).isNull(), F.lit(not required)).otherwise(F.coalesce(inside, F.lit(False)))
+
+
 def with_problems(flows: DataFrame) -> DataFrame:
     """Add ``problems``: one (field, reason) for each refused field."""
     # Each rule stands in the plan once: the array is made first and sifted afterwards.
@@ -31,6 +45,9 @@ def with_problems(flows: DataFrame) -> DataFrame:
 
 
 def valid_and_refused(flows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows without problems, and the others with theirs."""
-    checked = with_problems(flows)
-    return checked.where("size(problems) = 0").drop("problems"), checked.where("size(problems) > 0")
+    """The rows without problems, and the others with theirs.
+
+    Rows are told apart by one comparison a field, which stops at the first refusal; reasons are made for refused rows only.
+    """
+    fits = reduce(lambda a, b: a & b, [_fits(flows, field) for field in tax.FIELD_BOUNDS])
+    return flows.where(fits), with_problems(flows.where(~fits))

@@ -1,9 +1,9 @@
 """Flows that keep arriving: the batch operators on a file stream, with counters, alerts and a timeline."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from wireglean import taxonomy as tax
 
@@ -61,6 +61,74 @@ def window_counts(scored: DataFrame, when: str = "timestamp", every: str = "30 m
     )
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_BUCKET = "ms long, total long, malicious long"
+
+
+class _EmptyBuckets(StatefulProcessor):
+    """Passes closed buckets on in time order, with a row of zeros for each one between them that had no flow.
+
+    The state is the last bucket passed on. A timer stands at the end of the next one: when the watermark reaches it
+    and no row has come, the bucket was empty, and need not wait for a later row to show that.
+    """
+
+    def __init__(self, step: int):
+        self.step = step
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ms long")
+
+    def _wait(self, last: int) -> None:
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.last.update((last,))
+        self.handle.registerTimer(last + 2 * self.step)
+
+    def handleInputRows(self, key, rows, timerValues):
+        last = self.last.get()[0] if self.last.exists() else None
+        for row in sorted(rows, key=lambda r: r["ms"]):
+            for gap in range(row["ms"] if last is None else last + self.step, row["ms"], self.step):
+                yield Row(ms=gap, total=0, malicious=0)
+            last = row["ms"]
+            yield Row(ms=last, total=row["total"], malicious=row["malicious"])
+        self._wait(last)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last, now = self.last.get()[0], timerValues.getCurrentWatermarkInMs()
+        while last + 2 * self.step <= now:
+            last += self.step
+            yield Row(ms=last, total=0, malicious=0)
+        self._wait(last)
+
+    def close(self) -> None:
+        pass
+
+
+def filled_window_counts(scored: DataFrame, when: str = "timestamp", minutes: int = 30,
+                         lateness: str = LATENESS) -> DataFrame:
+    """:func:`window_counts` without gaps: closed buckets that had no flow are rows of zeros.
+
+    Flows are counted per bucket in all tasks; only the closed buckets, one row each, meet in one stateful task.
+    The state is kept in RocksDB, which the session is told to use.
+    """
+    spark = scored.sparkSession
+    if spark.conf.get(_PROVIDER, "") != _ROCKS:
+        spark.conf.set(_PROVIDER, _ROCKS)
+    counted = (
+        scored.select(F.col(when).cast("timestamp").alias("_at"), "prediction")
+        .where("_at is not null").withWatermark("_at", lateness)
+        .groupBy(F.window("_at", f"{minutes} minutes"))
+        .agg(F.count("*").alias("total"), F.count_if(F.col("prediction") != tax.BENIGN).alias("malicious"))
+        .select(F.lit(0).alias("series"), F.window_time("window").alias("_at"), F.unix_millis("window.start").alias("ms"), "total", "malicious")
+    )
+    filled = counted.groupBy("series").transformWithState(
+        _EmptyBuckets(minutes * 60_000), T._parse_datatype_string(_BUCKET), "append", "EventTime")
+    return filled.select(F.timestamp_millis("ms").alias("bucket"), "total", "malicious",
+                         (F.col("total") - F.col("malicious")).alias("benign"))
+
+
 class LatestTable:
     """A small table replaced at every tick. Each tick writes its own folder, so a
     repeated tick overwrites itself and a reader never sees half a table. The newest ``KEPT``
