@@ -93,6 +93,17 @@ def test_ranges_cut_through_quoted_cells(spark, tmp_path, size):
     assert got == wanted
 
 
+def test_a_csv_table_keeps_its_types(spark, tmp_path):
+    table = spark.createDataFrame([(1, "007", 2.5, [1, 2], True), (2, None, None, None, False)],
+                                  "n int, code string, x float, list array<int>, flag boolean")
+    tables.write_scored_csv(table, str(tmp_path / "t.csv"))
+    read = tables.read_clean(spark, str(tmp_path / "t.csv"))
+    assert dict(read.dtypes) == dict(table.dtypes) | {"list": "string"}
+    assert [r["code"] for r in read.orderBy("n").collect()] == ["007", None]
+    (tmp_path / "other.csv").write_text("n,x\n1,2.5\n")
+    assert tables.read_clean(spark, str(tmp_path / "other.csv")).dtypes == [("n", "int"), ("x", "double")]
+
+
 def test_nothing_to_read_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         csv_flows.load_captures(spark, str(tmp_path / "none"))

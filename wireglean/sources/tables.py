@@ -1,5 +1,7 @@
 """Cleaned tables, reports and scored tables on storage."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,15 +11,35 @@ from wireglean.sources.csv_flows import csv_files, first_rows, header_of, read_g
 from wireglean.functions.text import snake_headers
 
 
+#: Where a CSV table keeps its schema.
+SCHEMA_FILE = "_schema.json"
+
+
 def write_clean(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    """A cleaned table: CSV by its suffix, parquet otherwise."""
-    if path.rstrip("/").endswith(".csv"):
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return spark.read.parquet(path)
+    """A cleaned table: CSV by its suffix, parquet otherwise.
+
+    A CSV table written by this library is read by the schema recorded in it; of others the types are inferred.
+    """
+    if not path.rstrip("/").endswith(".csv"):
+        return spark.read.parquet(path)
+    system, place = _file(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    reader = spark.read.option("header", True)
+    if not system.exists(place):
+        return reader.option("inferSchema", True).csv(path)
+    recorded = system.open(place)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(recorded, "UTF-8")
+    recorded.close()
+    return reader.schema(T.StructType.fromJson(json.loads(text))).csv(path)
+
+
+def _file(spark: SparkSession, path: str):
+    """(file system, path) of a small file beside a table's own."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -31,13 +53,19 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def write_scored_csv(scored: DataFrame, path: str) -> None:
-    """The scored table as CSV; nested columns become JSON text."""
+    """The scored table as CSV, with its schema recorded beside the rows; nested columns become JSON text."""
     nested = (T.ArrayType, T.MapType, T.StructType)
     flat = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
         for f in scored.schema.fields
     ]
-    scored.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+    table = scored.select(*flat)
+    table.write.mode("overwrite").option("header", True).csv(path)
+    # Readers skip names that begin so.
+    system, place = _file(scored.sparkSession, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    out = system.create(place, True)
+    out.write(bytearray(table.schema.json().encode()))
+    out.close()
 
 
 class IntakeError(ValueError):
