@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wireglean.llm import best_positions, collocations, grouping_genetics
@@ -74,7 +75,7 @@ def test_phrases_of_nothing(spark):
 def test_double_array_finds_its_keys_only():
     rng = np.random.default_rng(1)
     keys = sorted({bytes(rng.integers(1, 256, rng.integers(1, 9)).tolist()) + b"\0" for _ in range(5000)})
-    trie = collocations.DoubleArray.build(keys)
+    trie = collocations.DoubleArray.build(pa.array(keys, pa.binary()))
 
     def find(key):
         state = 0

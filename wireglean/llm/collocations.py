@@ -15,18 +15,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import Workspace, held, parquet_batches, pick, query, runs, slices, strings, table, tidied
+from wireglean.llm.common import Workspace, gathered, held, parquet_batches, pick, query, runs, slices, strings, table, tidied
 from wireglean.llm.fm_index import joined
 
 #: Bytes of candidates that make one trie (a longer candidate has one to itself).
-TRIE_BYTES = 4 << 20
+TRIE_BYTES = 2 << 20
 #: Tries of up to so many bytes are broadcast; more are read from storage by each shard, one at a time.
-BROADCAST_BYTES = 96 << 20
-#: Text of a shard where tries are read from storage, and else.
-SHARD_BYTES = 8 << 20
+BROADCAST_BYTES = 64 << 20
+#: Text of a shard.
+SHARD_BYTES = 1 << 20
 #: Counters of one range of hash buckets, most ranges, and most bits of the broadcast map of full buckets.
 RANGE_BUCKETS = 1 << 22
 MOST_RANGES = 1 << 14
+#: Pairs of parts that a task remembers to have sent.
+SENT_SLOTS = 1 << 20
+_MANY = (1 << 32) // RANGE_BUCKETS - 1
 MAP_BITS = 1 << 28
 
 # Between words stand blanks; pieces end at marks and line ends; all else is in words.
@@ -48,7 +51,7 @@ class Shard:
         start, end = runs(inside)
         self.names, of_text = np.unique(np.array(groups, object), return_inverse=True)
         self.group = of_text[np.searchsorted(begin, start, "right") - 1]
-        self.piece = np.cumsum(kind == 2)[start]
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[start]
         self.lengths = end - start
         keep = inside.copy()
         keep[end] = True
@@ -72,38 +75,41 @@ class Shard:
 
 
 class DoubleArray:
-    """A trie over byte strings of which none begins another: ``check[base[s] + c] == s`` for a step from s by c."""
+    """A trie over byte strings of which none begins another: ``check[base[s] + c] == s`` for a step from s by c.
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, key: np.ndarray):
-        self.base, self.check, self.key = base, check, key
+    The last state of string number k has ``base`` -1 - k.
+    """
+
+    def __init__(self, base: np.ndarray, check: np.ndarray):
+        self.base, self.check = base, check
 
     @classmethod
-    def build(cls, keys: list[bytes]) -> "DoubleArray":
-        """Of sorted keys. Nodes with several children get windows of their own side by side; only children
+    def build(cls, keys: pa.BinaryArray) -> "DoubleArray":
+        """Of keys that stand together where they begin alike. Nodes with several children get windows of their own side by side; only children
         fill the holes in these, so no search for a place is needed."""
-        flat = np.frombuffer(b"".join(keys), np.uint8)
-        length = np.array([len(k) for k in keys])
-        begin = np.cumsum(length) - length
-        node, live, depth, total = np.zeros(len(keys), np.int64), np.arange(len(keys)), 0, 1
-        parents, symbols = [np.array([-1])], [np.array([0])]
+        edge = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset:keys.offset + len(keys) + 1]
+        flat, begin, length = np.frombuffer(keys.buffers()[2], np.uint8), edge[:-1], np.diff(edge)
+        node, live, depth, total = np.zeros(len(keys), np.int32), np.arange(len(keys), dtype=np.int32), 0, 1
+        parents, symbols = [np.array([-1], np.int32)], [np.array([0], np.int32)]
         while len(live):
-            symbol, parent = flat[begin[live] + depth].astype(np.int64), node[live]
-            fresh = np.r_[True, (parent[1:] != parent[:-1]) | (symbol[1:] != symbol[:-1])]
-            node[live] = total - 1 + np.cumsum(fresh)
-            parents.append(parent[fresh])
+            symbol, own = flat[begin[live] + depth].astype(np.int32), node[live]
+            fresh = np.r_[True, (own[1:] != own[:-1]) | (symbol[1:] != symbol[:-1])]
+            node[live] = total - 1 + np.cumsum(fresh, dtype=np.int32)
+            parents.append(own[fresh])
             symbols.append(symbol[fresh])
             total += int(fresh.sum())
             depth += 1
             live = live[length[live] > depth]
         parent, symbol = np.concatenate(parents), np.concatenate(symbols)
-        # Children of a node have neighbouring numbers, in the order of their symbols.
-        first = np.flatnonzero(parent != np.r_[-2, parent[:-1]])[1:]
-        last = np.r_[first[1:], total] - 1
-        owner, many = parent[first], last > first
-        span = np.where(many, symbol[last] - symbol[first] + 1, 0)
-        base = np.zeros(total, np.int64)
-        base[owner] = 256 + np.cumsum(span) - span - symbol[first]
-        slot = np.zeros(total, np.int64)
+        del parents, symbols, flat, live
+        # Children of a node have neighbouring numbers.
+        first = np.flatnonzero(parent != np.r_[np.int32(-2), parent[:-1]])[1:].astype(np.int32)
+        owner, many = parent[first], np.r_[first[1:], np.int32(total)] - first > 1
+        low = np.minimum.reduceat(symbol, first)
+        span = np.where(many, np.maximum.reduceat(symbol, first) - low + 1, 0).astype(np.int32)
+        base = np.zeros(total, np.int32)
+        base[owner] = 256 + np.cumsum(span, dtype=np.int32) - span - low
+        slot = np.zeros(total, np.int32)
         siblings = np.zeros(total, bool)
         siblings[owner[many]] = True
         in_window = np.flatnonzero(siblings[parent] & (parent >= 0))
@@ -114,11 +120,11 @@ class DoubleArray:
         taken[slot[in_window]] = True
         slot[only] = np.flatnonzero(~taken)[:len(only)]
         base[parent[only]] = slot[only] - symbol[only]
+        base[node] = -1 - np.arange(len(keys))
         size = int(slot.max()) + 257
-        out = cls(np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32))
+        out = cls(np.zeros(size, np.int32), np.full(size, -1, np.int32))
         out.base[slot] = base
         out.check[slot[1:]] = slot[parent[1:]]
-        out.key[slot[node]] = np.arange(len(keys))
         return out
 
     def root(self, name: str) -> int:
@@ -133,19 +139,20 @@ class DoubleArray:
 
     def walk(self, shard: Shard, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word, key) of the keys that stand at these words: all walk at once, and drop out where no step is left."""
-        state = np.array([self.root(n) for n in shard.names] or [-1], np.int64)[shard.group[words]]
-        live = state >= 0
+        state = np.array([self.root(n) for n in shard.names] or [-1], np.int32)[shard.group[words]]
+        live = np.flatnonzero(state >= 0)
         words, state = words[live], state[live]
-        at, found = shard.at[words], []
+        at, from_ = shard.at[words], self.base[state]
+        found = []
         while len(words):
-            to = self.base[state] + shard.bytes[at]
-            ok = self.check[to] == state
+            to = from_ + shard.bytes[at]
+            ok = np.flatnonzero(self.check[to] == state)
             words, state, at = words[ok], to[ok], at[ok] + 1
-            key = self.key[state]
-            done = key >= 0
-            if done.any():
-                found.append((words[done], key[done]))
-                words, state, at = words[~done], state[~done], at[~done]
+            from_ = self.base[state]
+            if len(from_) and from_.min() < 0:
+                done = from_ < 0
+                found.append((words[done], -1 - from_[done]))
+                words, state, at, from_ = words[~done], state[~done], at[~done], from_[~done]
         if not found:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate([w for w, _ in found]), np.concatenate([k for _, k in found]).astype(np.int64)
@@ -155,6 +162,11 @@ def _prefix(name: str) -> bytes:
     return name.encode() + b"\xff"  # which no UTF-8 text holds
 
 
+def _keys(lang: pa.StringArray, phrase: pa.StringArray) -> pa.BinaryArray:
+    named = pa.compute.binary_join_element_wise(lang.cast(pa.binary()), phrase.cast(pa.binary()), b"\xff")
+    return pa.compute.binary_join_element_wise(named, b"", b" ")
+
+
 class Tries:
     """The phrases of a table (lang, phrase, ...) as numbered keys of double-array tries, on storage or broadcast."""
 
@@ -164,38 +176,27 @@ class Tries:
         parts = size // TRIE_BYTES + 1
 
         def build(batches):
-            part, n, keys, used = TaskContext.get().partitionId(), 0, [], 0
-
-            def block():
-                made = DoubleArray.build([_prefix(g) + p.encode() + b" " for g, p in keys])
-                return pa.RecordBatch.from_pydict({
+            part = TaskContext.get().partitionId()
+            for n, batch in enumerate(gathered(batches, "phrase", TRIE_BYTES)):
+                lang, phrase = (batch.column(c) for c in ("lang", "phrase"))
+                made = DoubleArray.build(_keys(lang, phrase))
+                keys = pa.StructArray.from_arrays([lang, phrase], ["lang", "phrase"])
+                yield pa.RecordBatch.from_pydict({
                     "block": pa.array([(part << 24) + n], pa.int64()),
-                    "keys": pa.array([[{"lang": g, "phrase": p} for g, p in keys]],
-                                     pa.list_(pa.struct([("lang", pa.string()), ("phrase", pa.string())]))),
-                    "base": [made.base.tobytes()], "check": [made.check.tobytes()], "key": [made.key.tobytes()]})
-
-            for batch in batches:
-                for key in zip(*(c.to_pylist() for c in batch.columns)):
-                    own = len(key[1].encode())
-                    if keys and used + own > TRIE_BYTES:
-                        yield block()
-                        n, keys, used = n + 1, [], 0
-                    keys.append(key)
-                    used += own
-            if keys:
-                yield block()
+                    "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+                    "base": [made.base.tobytes()], "check": [made.check.tobytes()]})
 
         rows = phrases.select("lang", "phrase").repartitionByRange(parts, "lang", "phrase")
         self.rows = ws.settle(rows.sortWithinPartitions("lang", "phrase").mapInArrow(
-            build, "block long, keys array<struct<lang:string,phrase:string>>, base binary, check binary, key binary"), name)
+            build, "block long, keys array<struct<lang:string,phrase:string>>, base binary, check binary"), name)
         # One row a trie: where its numbers begin.
         sizes = self.rows.select("block", F.size("keys"), F.octet_length("base")).orderBy("block").collect()
         ends = np.cumsum([r[1] for r in sizes]).tolist()
         self.first = {r[0]: e - r[1] for r, e in zip(sizes, ends)}
         self.shared = None
-        if 3 * sum(r[2] for r in sizes) <= BROADCAST_BYTES:
+        if 2 * sum(r[2] for r in sizes) <= BROADCAST_BYTES:
             self.shared = ws.spark.sparkContext.broadcast(
-                [tuple(r) for r in self.rows.select("block", "base", "check", "key").toLocalIterator()])
+                [tuple(r) for r in self.rows.select("block", "base", "check").toLocalIterator()])
 
     def keys(self) -> DataFrame:
         """(key, lang, phrase) of all numbers."""
@@ -222,7 +223,7 @@ class Tries:
                 yield from held(("tries", path), lambda: made(shared.value), 2)
                 return
             for batch in parquet_batches(path, 1):
-                yield from made(zip(*(batch.column(c).to_pylist() for c in ("block", "base", "check", "key"))))
+                yield from made(zip(*(batch.column(c).to_pylist() for c in ("block", "base", "check"))))
 
         return tries
 
@@ -247,15 +248,40 @@ def _count_words(batches):
                                                   "phrase": counts.field("values"), "f": counts.field("counts")})
 
 
-def _pairs(shard: Shard, tries, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, left, right): where a phrase of ``size`` words begins whose parts of one word less are both keys."""
+def _numbers(shard: Shard, tries, places: np.ndarray) -> np.ndarray:
+    """For each word the number of the key that begins there, or -1; only ``places`` are walked from."""
     number = np.full(len(shard.piece) + 1, -1, np.int64)
     for first, trie in tries():
-        words, key = trie.walk(shard, shard.places(size - 1))
+        words, key = trie.walk(shard, places)
         number[words] = first + key
-    at = shard.places(size)
-    at = at[(number[at] >= 0) & (number[at + 1] >= 0)]
-    return at, number[at], number[at + 1]
+    return number
+
+
+class Filter:
+    """The phrases that may be frequent at some length, found in a shard by the tries and full buckets below it."""
+
+    def __init__(self, size: int, parts, below: "Filter | None" = None):
+        self.size, self.parts, self.below, self.full = size, parts, below, None
+
+    def pairs(self, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, left, right): where a phrase begins whose two parts of one word less are frequent."""
+        places = self.below.places(shard) if self.below else shard.places(1)
+        number = _numbers(shard, self.parts, places)
+        at = shard.places(self.size)
+        at = at[(number[at] >= 0) & (number[at + 1] >= 0)]
+        return at, number[at], number[at + 1]
+
+    def likely(self, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those of them whose bucket is full."""
+        at, left, right = self.pairs(shard)
+        bits, folded, shared = self.full
+        known = np.frombuffer(shared.value, np.uint8)
+        place = (_bucket(left, right, bits) >> np.uint64(bits - folded)).astype(np.int64)
+        may = known[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1
+        return at[may], left[may], right[may]
+
+    def places(self, shard: Shard) -> np.ndarray:
+        return self.likely(shard)[0]
 
 
 def _bucket(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
@@ -266,7 +292,7 @@ def _bucket(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
     return mixed >> np.uint64(64 - bits)
 
 
-def _full_buckets(rows: DataFrame, tries, size: int, least: int, n_words: int):
+def _full_buckets(rows: DataFrame, filter_: Filter, least: int, n_words: int):
     """(bits, map): a broadcast bit for each range of hash buckets in which some pair of parts may be frequent."""
     ranges = 1 << max(0, min(MOST_RANGES - 1, n_words // RANGE_BUCKETS)).bit_length()
     bits = (ranges * RANGE_BUCKETS).bit_length() - 1
@@ -274,33 +300,35 @@ def _full_buckets(rows: DataFrame, tries, size: int, least: int, n_words: int):
 
     def counts(batches):
         for shard in _shards(batches):
-            _, left, right = _pairs(shard, tries, size)
+            _, left, right = filter_.pairs(shard)
             bucket, n = np.unique(_bucket(left, right, bits), return_counts=True)
             edge = np.flatnonzero(np.diff(bucket // RANGE_BUCKETS, prepend=-1, append=-1))
             cut = [(int(a), int(b)) for a, b in zip(edge[:-1], edge[1:])]
-            low, n = (bucket % RANGE_BUCKETS).astype(np.uint32), np.minimum(n, least).astype(np.uint32)
+            # A count shares its number with the bucket; one that does not fit counts as enough.
+            packed = ((bucket % RANGE_BUCKETS) + np.minimum(n, _MANY).astype(np.uint64) * RANGE_BUCKETS).astype(np.uint32)
             yield pa.RecordBatch.from_pydict({
                 "range": pa.array([int(bucket[a]) // RANGE_BUCKETS for a, _ in cut], pa.int64()),
-                "low": pa.array([low[a:b].tobytes() for a, b in cut], pa.binary()),
-                "n": pa.array([n[a:b].tobytes() for a, b in cut], pa.binary())})
+                "packed": pa.array([packed[a:b].tobytes() for a, b in cut], pa.binary())})
 
     def full(batches):
-        total, now = np.zeros(RANGE_BUCKETS, np.uint64), None
+        total, now = np.zeros(RANGE_BUCKETS, np.uint32), None
 
-        def packed():
+        def places():
             place = np.unique((np.flatnonzero(total >= least) + now * RANGE_BUCKETS) >> (bits - folded))
             return pa.RecordBatch.from_pydict({"place": pa.array(place, pa.int64())})
 
         for batch in batches:
-            for r, low, n in zip(*(batch.column(c).to_pylist() for c in ("range", "low", "n"))):
+            for r, packed in zip(batch.column("range").to_pylist(), batch.column("packed")):
                 if r != now:
                     if now is not None:
-                        yield packed()
+                        yield places()
                     now = r
                     total[:] = 0
-                total[np.frombuffer(low, np.uint32)] += np.frombuffer(n, np.uint32)
+                packed = np.frombuffer(packed.as_buffer(), np.uint32)
+                low, n = packed % RANGE_BUCKETS, packed // RANGE_BUCKETS
+                total[low] = np.minimum(total[low] + np.where(n == _MANY, least, n).astype(np.uint32), least)
         if now is not None:
-            yield packed()
+            yield places()
 
     def bitmap(batches):
         mine: dict[int, np.ndarray] = {}
@@ -312,47 +340,47 @@ def _full_buckets(rows: DataFrame, tries, size: int, least: int, n_words: int):
         yield pa.RecordBatch.from_pydict({"piece": pa.array(mine, pa.int32()),
                                           "bits": pa.array([np.packbits(m).tobytes() for m in mine.values()], pa.binary())})
 
-    sent = rows.mapInArrow(tidied(counts), "range long, low binary, n binary")
-    places = (sent.repartition(F.col("range")).sortWithinPartitions("range")
-              .mapInArrow(tidied(full), "place long"))
+    sent = rows.mapInArrow(tidied(counts), "range long, packed binary")
+    found = (sent.repartition(F.col("range")).sortWithinPartitions("range")
+             .mapInArrow(tidied(full), "place long"))
     known = np.zeros((max(1, 1 << folded >> 20), 1 << 17), np.uint8)
-    pieces = places.repartition(F.expr("place >> 20")).mapInArrow(tidied(bitmap), "piece int, bits binary")
+    pieces = found.repartition(F.expr("place >> 20")).mapInArrow(tidied(bitmap), "piece int, bits binary")
     for row in pieces.toLocalIterator():
         known[row["piece"]] |= np.frombuffer(row["bits"], np.uint8)
     shared = rows.sparkSession.sparkContext.broadcast(known.tobytes())
     return bits, folded, shared
 
 
-def _candidates(rows: DataFrame, tries, size: int, full) -> DataFrame:
+def _candidates(rows: DataFrame, filter_: Filter) -> DataFrame:
     """(lang, phrase): the distinct phrases whose parts are keys and whose bucket is full."""
-    bits, folded, shared = full
-
     def run(batches):
-        known = np.frombuffer(shared.value, np.uint8)
-        sent = np.empty((2, 0), np.int64)  # pairs of keys that this task has sent lately
+        lately = np.full((2, SENT_SLOTS), -1, np.int64)  # pairs of keys that this task has sent, by their hash
         for shard in _shards(batches):
-            at, left, right = _pairs(shard, tries, size)
-            place = (_bucket(left, right, bits) >> np.uint64(bits - folded)).astype(np.int64)
-            may = known[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1
-            pair = np.concatenate([sent, np.stack([left[may], right[may]])], axis=1)
-            order = np.lexsort((pair[1], pair[0]))  # stable: pairs that were sent stand first
-            ordered = pair[:, order]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (ordered[:, 1:] != ordered[:, :-1]).any(axis=0)
-            new = order[fresh] - sent.shape[1]
-            word = at[may][new[new >= 0]]
-            sent = ordered[:, fresh] if fresh.sum() < 1_000_000 else np.empty((2, 0), np.int64)
+            at, left, right = filter_.likely(shard)
+            order = np.lexsort((right, left))
+            at, left, right = at[order], left[order], right[order]
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+            at, left, right = at[fresh], left[fresh], right[fresh]
+            slot = _bucket(left, right, SENT_SLOTS.bit_length() - 1).astype(np.int64)
+            new = (lately[0, slot] != left) | (lately[1, slot] != right)
+            # Of two pairs in one slot the last one stays, with both its parts.
+            _, last = np.unique(slot[::-1], return_index=True)
+            last = len(slot) - 1 - last
+            lately[0, slot[last]], lately[1, slot[last]] = left[last], right[last]
+            word = at[new]
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array(shard.names[shard.group[word]].tolist(), pa.string()),
-                "phrase": pa.array(shard.spelled(word, size), pa.string())})
+                "phrase": pa.array(shard.spelled(word, filter_.size), pa.string())})
 
     return rows.mapInArrow(tidied(run), "lang string, phrase string").distinct()
 
 
-def _counted(rows: DataFrame, candidates: DataFrame, size: int, least: int, ws: Workspace) -> DataFrame:
+def _counted(rows: DataFrame, candidates: DataFrame, filter_: Filter, least: int, ws: Workspace) -> DataFrame:
     """(lang, phrase, f) of the candidates with at least ``least`` occurrences: accepting states, counted by shard."""
+    size = filter_.size
     index = Tries(candidates, ws, f"tries-{size}")
-    tries = index.reader()
+    tries, before = index.reader(), filter_.below or filter_
 
     def run(batches):
         totals: dict[int, np.ndarray] = {}
@@ -363,7 +391,8 @@ def _counted(rows: DataFrame, candidates: DataFrame, size: int, least: int, ws:
                 yield pa.RecordBatch.from_pydict({"key": pa.array(first + own, pa.int64()), "f": pa.array(total[own])})
 
         for shard in _shards(batches):
-            places = shard.places(size)
+            places = before.places(shard)
+            places = places[np.isin(places, shard.places(size), assume_unique=True)]
             for first, trie in tries():
                 _, key = trie.walk(shard, places)
                 n = np.bincount(key)
@@ -408,13 +437,16 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, share: int =
     totals = all_words.groupBy("lang").agg(F.sum("f").alias("n"))
     n_words = all_words.agg(F.sum("f")).first()[0] or 0
     counted = {1: all_words.where("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), "f")}
+    below, held_ = None, []
     for size in (2, 3):
         index = Tries(counted[size - 1], ws, f"parts-{size}")
-        full = _full_buckets(rows, index.reader(), size, least, n_words)
-        candidates = ws.settle(_candidates(rows, index.reader(), size, full), f"candidates-{size}")
-        index.release()
-        full[2].destroy()
-        counted[size] = _counted(rows, candidates, size, least, ws)
+        below = filter_ = Filter(size, index.reader(), below)
+        filter_.full = _full_buckets(rows, filter_, least, n_words)
+        held_ += [index.release, filter_.full[2].destroy]
+        candidates = ws.settle(_candidates(rows, filter_), f"candidates-{size}")
+        counted[size] = _counted(rows, candidates, filter_, least, ws)
+    for release in held_:
+        release()
 
     def part(name, size):
         return counted[size].select("lang", F.col("phrase").alias(name), F.col("f").alias(f"f_{name}"))
