@@ -19,14 +19,18 @@ from wireglean.llm.common import Workspace, gathered, held, parquet_batches, pic
 from wireglean.llm.fm_index import joined
 
 #: Bytes of candidates that make one trie (a longer candidate has one to itself).
-TRIE_BYTES = 2 << 20
+TRIE_BYTES = 4 << 20
 #: Tries of up to so many bytes are broadcast; more are read from storage by each shard, one at a time.
 BROADCAST_BYTES = 64 << 20
 #: Text of a shard.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 2 << 20
 #: Counters of one range of hash buckets, most ranges, and most bits of the broadcast map of full buckets.
 RANGE_BUCKETS = 1 << 22
 MOST_RANGES = 1 << 14
+#: Counts of accepting states that travel together.
+COUNT_CHUNK = 1 << 15
+#: Counts that a task holds before it sends them on.
+HELD_COUNTS = 8_000_000
 #: Pairs of parts that a task remembers to have sent.
 SENT_SLOTS = 1 << 20
 _MANY = (1 << 32) // RANGE_BUCKETS - 1
@@ -58,6 +62,7 @@ class Shard:
         self.bytes = np.where(inside, _LOWER[data], _BLANK)[keep]
         self.at = np.zeros(len(start) + 1, np.int64)
         np.cumsum(self.lengths + 1, out=self.at[1:])
+        self.heads = _heads(self.bytes, self.at[:-1])
 
     def places(self, size: int) -> np.ndarray:
         """The words with which ``size`` words of one piece begin."""
@@ -80,8 +85,8 @@ class DoubleArray:
     The last state of string number k has ``base`` -1 - k.
     """
 
-    def __init__(self, base: np.ndarray, check: np.ndarray):
-        self.base, self.check = base, check
+    def __init__(self, base: np.ndarray, check: np.ndarray, ranges: dict[str, tuple[int, int]] | None = None):
+        self.base, self.check, self.ranges = base, check, ranges
 
     @classmethod
     def build(cls, keys: pa.BinaryArray) -> "DoubleArray":
@@ -139,6 +144,10 @@ class DoubleArray:
 
     def walk(self, shard: Shard, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word, key) of the keys that stand at these words: all walk at once, and drop out where no step is left."""
+        if self.ranges is not None:  # of each group, between which first bytes its keys lie
+            low, high = (np.array([self.ranges.get(n, (1, 0))[i] for n in shard.names] or [0], np.uint64) for i in (0, 1))
+            group, heads = shard.group[words], shard.heads[words]
+            words = words[(heads >= low[group]) & (heads <= high[group])]
         state = np.array([self.root(n) for n in shard.names] or [-1], np.int32)[shard.group[words]]
         live = np.flatnonzero(state >= 0)
         words, state = words[live], state[live]
@@ -158,6 +167,29 @@ class DoubleArray:
         return np.concatenate([w for w, _ in found]), np.concatenate([k for _, k in found]).astype(np.int64)
 
 
+def _heads(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number that sorts like them; zeros behind the end."""
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    out = np.zeros(len(at), np.uint64)
+    for i in range(8):
+        out = (out << np.uint64(8)) | padded[at + i]
+    return out
+
+
+def _ranges(lang: pa.StringArray, phrase: pa.StringArray) -> list[dict]:
+    """Of each group the least and the largest head of its keys; what stands behind a short key may be anything."""
+    keys = pa.compute.binary_join_element_wise(phrase.cast(pa.binary()), b"", b" ")
+    edge = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset:keys.offset + len(keys) + 1].astype(np.int64)
+    low = _heads(np.frombuffer(keys.buffers()[2], np.uint8), edge[:-1])
+    free = np.uint64(8) * np.maximum(0, 8 - np.diff(edge)).astype(np.uint64)
+    low = low >> free << free
+    high = low | ((np.uint64(1) << free) - np.uint64(1))
+    group = lang.dictionary_encode()
+    place = np.asarray(group.indices)
+    return [{"lang": g, "low": int(low[place == i].min()).to_bytes(8), "high": int(high[place == i].max()).to_bytes(8)}
+            for i, g in enumerate(group.dictionary.to_pylist())]
+
+
 def _prefix(name: str) -> bytes:
     return name.encode() + b"\xff"  # which no UTF-8 text holds
 
@@ -167,6 +199,10 @@ def _keys(lang: pa.StringArray, phrase: pa.StringArray) -> pa.BinaryArray:
     return pa.compute.binary_join_element_wise(named, b"", b" ")
 
 
+_TRIE = ("block", "base", "check", "ranges")
+_RANGES = pa.list_(pa.struct([("lang", pa.string()), ("low", pa.binary()), ("high", pa.binary())]))
+
+
 class Tries:
     """The phrases of a table (lang, phrase, ...) as numbered keys of double-array tries, on storage or broadcast."""
 
@@ -184,11 +220,13 @@ class Tries:
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([(part << 24) + n], pa.int64()),
                     "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-                    "base": [made.base.tobytes()], "check": [made.check.tobytes()]})
+                    "base": [made.base.tobytes()], "check": [made.check.tobytes()],
+                    "ranges": pa.array([_ranges(lang, phrase)], _RANGES)})
 
         rows = phrases.select("lang", "phrase").repartitionByRange(parts, "lang", "phrase")
         self.rows = ws.settle(rows.sortWithinPartitions("lang", "phrase").mapInArrow(
-            build, "block long, keys array<struct<lang:string,phrase:string>>, base binary, check binary"), name)
+            build, "block long, keys array<struct<lang:string,phrase:string>>, base binary, check binary, "
+            "ranges array<struct<lang:string,low:binary,high:binary>>"), name)
         # One row a trie: where its numbers begin.
         sizes = self.rows.select("block", F.size("keys"), F.octet_length("base")).orderBy("block").collect()
         ends = np.cumsum([r[1] for r in sizes]).tolist()
@@ -196,7 +234,7 @@ class Tries:
         self.shared = None
         if 2 * sum(r[2] for r in sizes) <= BROADCAST_BYTES:
             self.shared = ws.spark.sparkContext.broadcast(
-                [tuple(r) for r in self.rows.select("block", "base", "check").toLocalIterator()])
+                [(*r[:3], [x.asDict() for x in r[3]]) for r in self.rows.select(*_TRIE).toLocalIterator()])
 
     def keys(self) -> DataFrame:
         """(key, lang, phrase) of all numbers."""
@@ -216,14 +254,16 @@ class Tries:
         first, shared, path = self.first, self.shared, self.path
 
         def made(rows):
-            return [(first[b], DoubleArray(*(np.frombuffer(x, np.int32) for x in arrays))) for b, *arrays in rows]
+            return [(first[b], DoubleArray(np.frombuffer(base, np.int32), np.frombuffer(check, np.int32), {
+                x["lang"]: (int.from_bytes(x["low"]), int.from_bytes(x["high"])) for x in ranges}))
+                for b, base, check, ranges in rows]
 
         def tries() -> Iterator[tuple[int, DoubleArray]]:
             if shared is not None:
                 yield from held(("tries", path), lambda: made(shared.value), 2)
                 return
             for batch in parquet_batches(path, 1):
-                yield from made(zip(*(batch.column(c).to_pylist() for c in ("block", "base", "check"))))
+                yield from made(zip(*(batch.column(c).to_pylist() for c in _TRIE)))
 
         return tries
 
@@ -382,32 +422,45 @@ def _counted(rows: DataFrame, candidates: DataFrame, filter_: Filter, least: int
     index = Tries(candidates, ws, f"tries-{size}")
     tries, before = index.reader(), filter_.below or filter_
 
-    def run(batches):
+    def run(batches):  # of each trie the counts of its accepting states, in chunks
         totals: dict[int, np.ndarray] = {}
 
-        def rows_of(totals):
+        def chunks():
             for first, total in totals.items():
-                own = np.flatnonzero(total)
-                yield pa.RecordBatch.from_pydict({"key": pa.array(first + own, pa.int64()), "f": pa.array(total[own])})
+                cut = range(0, len(total), COUNT_CHUNK)
+                yield pa.RecordBatch.from_pydict({
+                    "first": pa.array([first + a for a in cut], pa.int64()),
+                    "counts": pa.array([total[a:a + COUNT_CHUNK].tobytes() for a in cut], pa.binary())})
 
         for shard in _shards(batches):
+            if sum(map(len, totals.values())) > HELD_COUNTS:
+                yield from chunks()
+                totals.clear()
             places = before.places(shard)
             places = places[np.isin(places, shard.places(size), assume_unique=True)]
             for first, trie in tries():
-                _, key = trie.walk(shard, places)
-                n = np.bincount(key)
+                n = np.bincount(trie.walk(shard, places)[1])
                 total = totals.get(first, np.empty(0, np.int64))
                 if len(total) < len(n):
                     total = np.r_[total, np.zeros(len(n) - len(total), np.int64)]
                 total[:len(n)] += n
                 totals[first] = total
-            if sum(map(len, totals.values())) > 8_000_000:
-                yield from rows_of(totals)
-                totals = {}
-        yield from rows_of(totals)
+        yield from chunks()
 
-    counts = rows.mapInArrow(tidied(run), "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
-    found = ws.settle(index.keys().join(counts.where(F.col("f") >= least), "key").select("lang", "phrase", "f"),
+    def add(batches):  # the shards' counts of each chunk
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for first, counts in zip(batch.column("first").to_pylist(), batch.column("counts")):
+                own = np.frombuffer(counts.as_buffer(), np.int64)
+                total = totals.setdefault(first, np.zeros(COUNT_CHUNK, np.int64))
+                total[:len(own)] += own
+        for first, total in totals.items():
+            enough = np.flatnonzero(total >= least)
+            yield pa.RecordBatch.from_pydict({"key": pa.array(first + enough, pa.int64()), "f": pa.array(total[enough])})
+
+    shards = rows.mapInArrow(tidied(run), "first long, counts binary")
+    counts = shards.repartition(F.col("first")).mapInArrow(tidied(add), "key long, f long")
+    found = ws.settle(index.keys().join(counts, "key").select("lang", "phrase", "f"),
                       f"counts-{size}")
     index.release()
     return found
