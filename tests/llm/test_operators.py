@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import SF
@@ -299,6 +300,41 @@ def test_copies_spread_over_files_keep_their_links(spark, tmp_path):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=str) == brute_components(rows)
 
 
+def test_counting_a_block_keeps_one_copy_of_its_numbers():
+    import tracemalloc
+
+    drawn = np.random.default_rng(1).integers(0, 1 << 18, (16, 1 << 16)).astype(np.uint64)
+    want = np.unique(drawn, return_counts=True)
+    tracemalloc.start()
+    parts = [d.copy() for d in drawn]
+    got = [(r, *f) for r, f in jaccard_join.counted_ranges(parts, 64, np.uint64(12))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((found >> np.uint64(12) == r).all() for r, found, _ in got)
+    assert (np.concatenate([g[1] for g in got]) == want[0]).all() and (np.concatenate([g[2] for g in got]) == want[1]).all()
+    assert peak < 2.8 * drawn.nbytes  # the parts, the sorted copy and what is found; np.unique of all took five times
+
+
+def test_a_stage_drops_what_another_held(spark):
+    from pyspark import TaskContext
+
+    from wireglean.llm.common import held, tidied
+
+    def stage(name):
+        def run(batches):
+            import sys
+
+            for _ in batches:
+                held((name,), lambda: 1)
+                kept = [k[0] for k in sys.modules["wireglean_held"].__dict__ if isinstance(k, tuple)]
+                yield pa.RecordBatch.from_pydict({"kept": [",".join(sorted(kept))], "stage": [TaskContext.get().stageId()]})
+
+        return [r["kept"] for r in spark.range(0, 64, 1, 16).mapInArrow(tidied(run), "kept string, stage long").collect()]
+
+    assert set(stage("model of one stage")) == {"model of one stage"}
+    assert set(stage("model of the next")) == {"model of the next"}
+
+
 def test_packed_numbers_come_back():
     for numbers in ([], [0], [5], [1, 2, 3, 1 << 43]):
         numbers = np.array(numbers, np.uint64)

@@ -119,15 +119,15 @@ def profile(rows: DataFrame, ranges: int) -> DataFrame:
         block, parts = None, []
 
         def ended() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(parts), return_counts=True)
-            edge = np.searchsorted(found >> per_range, np.arange(ranges + 1, dtype=np.uint64))
-            used = np.flatnonzero(np.diff(edge))
+            used, shingles, counts = [], [], []
+            for r, (found, n) in counted_ranges(parts, ranges, per_range):
+                used.append(r)
+                shingles.append(_pack(found))
+                counts.append(np.minimum(n, 255).astype(np.uint8).tobytes())
             none = pa.nulls(len(used), pa.int64())
-            small = np.minimum(n, 255).astype(np.uint8)
             return pa.RecordBatch.from_arrays(
                 [none, none, none, none, pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()),
-                 pa.array([_pack(found[edge[r]:edge[r + 1]]) for r in used], pa.binary()),
-                 pa.array([small[edge[r]:edge[r + 1]].tobytes() for r in used], pa.binary())],
+                 pa.array(shingles, pa.binary()), pa.array(counts, pa.binary())],
                 names=["id", "n", "s1", "s2", "block", "range", "shingles", "counts"])
 
         for batch in batches:
@@ -158,6 +158,18 @@ def profile(rows: DataFrame, ranges: int) -> DataFrame:
     return rows.select("id", "text", "block").mapInArrow(tidied(run), _PROFILE)
 
 
+def counted_ranges(parts: list[np.ndarray], ranges: int, per_range: np.uint64):
+    """(range, (distinct numbers, how often each stands there)) of each range that has some. ``parts`` is emptied: one sorted
+    copy of the numbers is all that is kept of a block, and copies for counting are of one range."""
+    numbers = np.concatenate(parts)
+    parts.clear()
+    numbers.sort()
+    edge = np.searchsorted(numbers, np.arange(1, ranges, dtype=np.uint64) << per_range)
+    for r, own in enumerate(np.split(numbers, edge)):
+        if len(own):
+            yield r, np.unique(own, return_counts=True)
+
+
 def _by_block(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Bounded pieces of a batch that stay within a file block."""
     block = np.asarray(batch.column("block"))
