@@ -90,6 +90,32 @@ def test_double_array_finds_its_keys_only():
     assert all(find(k[:-1]) is None and find(k[:-1] + b"\1\0") in (None, *range(len(keys))) for k in keys)
 
 
+def test_equal_words_are_walked_once_and_only_within_a_tries_range():
+    texts = ["red fox red fox red hen", "red fox a fox. red", "hen red fox"]
+    shard = collocations.Shard(texts, ["en", "de", "en"])
+    words = [w for t in texts for w in t.replace(".", "").split()]
+    group = ["en"] * 6 + ["de"] * 5 + ["en"] * 3
+    assert [(group[i], words[i]) for i in shard.alike] == list(zip(group, words))
+    assert shard.alike.tolist() == [min(j for j in range(14) if (group[j], words[j]) == (group[i], words[i])) for i in range(14)]
+    keys = [("de", "red fox"), ("en", "fox red"), ("en", "red fox")]
+    lang, phrase = (pa.array(c, pa.string()) for c in zip(*keys))
+    trie = collocations.DoubleArray.build(collocations._keys(lang, phrase))
+    ranges = {r["lang"]: (int.from_bytes(r["low"]), int.from_bytes(r["high"])) for r in collocations._ranges(lang, phrase)}
+    want = sorted((i, keys.index((group[i], " ".join(words[i:i + 2])))) for i in shard.places(2)
+                  if (group[i], " ".join(words[i:i + 2])) in keys)
+    starts = collocations.Starts(shard, shard.places(2))
+    for trie.ranges in (None, ranges):
+        assert sorted(zip(*(x.tolist() for x in trie.walk(shard, starts)))) == want
+    steps = []
+    trie.base = type("Counted", (np.ndarray,), {"__getitem__": lambda self, at: (
+        steps.append(np.size(at)), np.asarray(self)[at])[1]})(len(trie.base), np.int32, trie.base.tobytes())
+    many = collocations.Shard(["stone wall " * 2000], ["en"])
+    assert len(trie.walk(many, collocations.Starts(many, many.places(2)))[0]) == 0
+    trie.ranges = None
+    trie.walk(many, collocations.Starts(many, many.places(2)))
+    assert sum(steps) < 100  # and not a step for each of 4 000 words
+
+
 # --- search ------------------------------------------------------------------------------------------------
 
 def brute_search(docs, items, k):

@@ -8,6 +8,7 @@ reach, and the counts of all shards are summed. Counts are exact: hashes only th
 """
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,17 @@ class Shard:
         np.cumsum(self.lengths + 1, out=self.at[1:])
         self.heads = _heads(self.bytes, self.at[:-1])
 
+    @cached_property
+    def alike(self) -> np.ndarray:
+        """For each word the first one of its group that is equal to it."""
+        if not len(self.piece):
+            return np.empty(0, np.int64)
+        code = np.asarray(self.words().dictionary_encode().indices).astype(np.int64)
+        same = np.asarray(pa.array(self.group * (int(code.max()) + 1) + code).dictionary_encode().indices)
+        first = np.empty(int(same.max()) + 1, np.int64)
+        first[same[::-1]] = np.arange(len(same) - 1, -1, -1)
+        return first[same]
+
     def places(self, size: int) -> np.ndarray:
         """The words with which ``size`` words of one piece begin."""
         n = len(self.piece) - size + 1
@@ -142,17 +154,33 @@ class DoubleArray:
             state = to
         return state
 
-    def walk(self, shard: Shard, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(word, key) of the keys that stand at these words: all walk at once, and drop out where no step is left."""
-        if self.ranges is not None:  # of each group, between which first bytes its keys lie
-            low, high = (np.array([self.ranges.get(n, (1, 0))[i] for n in shard.names] or [0], np.uint64) for i in (0, 1))
-            group, heads = shard.group[words], shard.heads[words]
-            words = words[(heads >= low[group]) & (heads <= high[group])]
-        state = np.array([self.root(n) for n in shard.names] or [-1], np.int32)[shard.group[words]]
-        live = np.flatnonzero(state >= 0)
-        words, state = words[live], state[live]
-        at, from_ = shard.at[words], self.base[state]
-        found = []
+    def walk(self, shard: Shard, starts: "Starts") -> tuple[np.ndarray, np.ndarray]:
+        """(word, key) of the keys that stand at these words: all walk at once, and drop out where no step is left.
+        Equal words are walked once, for all places where a phrase begins with them."""
+        words = starts.words if self.ranges is None else starts.between(self.ranges)
+        if not len(words):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        mark = np.zeros(len(shard.piece), bool)
+        mark[shard.alike[words]] = True
+        word = np.flatnonzero(mark)
+        state = np.array([self.root(n) for n in shard.names], np.int32)[shard.group[word]]
+        word, state = word[state >= 0], state[state >= 0]
+        at, end = shard.at[word], shard.at[word + 1]
+        behind = np.full(len(shard.piece), -1, np.int32)  # the state behind a first word and its blank
+        while len(word):
+            to = self.base[state] + shard.bytes[at]
+            ok = np.flatnonzero(self.check[to] == state)
+            word, state, at, end = word[ok], to[ok], at[ok] + 1, end[ok]
+            done = at == end
+            behind[word[done]] = state[done]
+            word, state, at, end = word[~done], state[~done], at[~done], end[~done]
+        state = behind[shard.alike[words]]
+        words, state = words[state >= 0], state[state >= 0]
+        from_ = self.base[state]
+        found = [(words[from_ < 0], -1 - from_[from_ < 0])]
+        more = (from_ >= 0) & (words + 1 < len(shard.piece))
+        words, state, from_ = words[more], state[more], from_[more]
+        at = shard.at[words + 1]
         while len(words):
             to = from_ + shard.bytes[at]
             ok = np.flatnonzero(self.check[to] == state)
@@ -162,11 +190,31 @@ class DoubleArray:
                 done = from_ < 0
                 found.append((words[done], -1 - from_[done]))
                 words, state, at, from_ = words[~done], state[~done], at[~done], from_[~done]
-        if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate([w for w, _ in found]), np.concatenate([k for _, k in found]).astype(np.int64)
 
 
+class Starts:
+    """Words of a shard in the order of their groups and heads, so that a trie finds those between its first and
+    last key without a look at the others: what many tries cost together is what their own words cost."""
+
+    def __init__(self, shard: Shard, words: np.ndarray):
+        heads, group = shard.heads[words], shard.group[words]
+        order = np.argsort(heads)
+        order = order[np.argsort(group[order], kind="stable")]
+        self.place, self.words, self.heads = {n: i for i, n in enumerate(shard.names)}, words[order], heads[order]
+        self.edge = np.searchsorted(group[order], np.arange(len(shard.names) + 1))
+
+    def between(self, ranges: dict[str, tuple[int, int]]) -> np.ndarray:
+        """The words whose heads lie between the two of their group."""
+        found = [np.empty(0, np.int64)]
+        for name, (low, high) in ranges.items():
+            if name in self.place:
+                a, b = self.edge[self.place[name]:self.place[name] + 2]
+                heads = self.heads[a:b]
+                found.append(self.words[a + np.searchsorted(heads, np.uint64(low)):a + np.searchsorted(heads, np.uint64(high), "right")])
+        return np.concatenate(found)
+
+
 def _heads(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as a number that sorts like them; zeros behind the end."""
     padded = np.r_[data, np.zeros(8, np.uint8)]
@@ -288,12 +336,18 @@ def _count_words(batches):
                                                   "phrase": counts.field("values"), "f": counts.field("counts")})
 
 
-def _numbers(shard: Shard, tries, places: np.ndarray) -> np.ndarray:
-    """For each word the number of the key that begins there, or -1; only ``places`` are walked from."""
+def _numbers(shard: Shard, tries, places: np.ndarray | None) -> np.ndarray:
+    """For each word the number of the key that begins there, or -1; only ``places`` are walked from. Without places
+    keys are single words: each is walked once for all that are equal to it."""
     number = np.full(len(shard.piece) + 1, -1, np.int64)
+    if not len(shard.piece):
+        return number
+    starts = Starts(shard, np.flatnonzero(shard.alike == np.arange(len(shard.alike))) if places is None else places)
     for first, trie in tries():
-        words, key = trie.walk(shard, places)
+        words, key = trie.walk(shard, starts)
         number[words] = first + key
+    if places is None:
+        number[:-1] = number[shard.alike]
     return number
 
 
@@ -305,7 +359,7 @@ class Filter:
 
     def pairs(self, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, left, right): where a phrase begins whose two parts of one word less are frequent."""
-        places = self.below.places(shard) if self.below else shard.places(1)
+        places = self.below.places(shard) if self.below else None
         number = _numbers(shard, self.parts, places)
         at = shard.places(self.size)
         at = at[(number[at] >= 0) & (number[at + 1] >= 0)]
@@ -437,9 +491,9 @@ def _counted(rows: DataFrame, candidates: DataFrame, filter_: Filter, least: int
                 yield from chunks()
                 totals.clear()
             places = before.places(shard)
-            places = places[np.isin(places, shard.places(size), assume_unique=True)]
+            starts = Starts(shard, places[np.isin(places, shard.places(size), assume_unique=True)])
             for first, trie in tries():
-                n = np.bincount(trie.walk(shard, places)[1])
+                n = np.bincount(trie.walk(shard, starts)[1])
                 total = totals.get(first, np.empty(0, np.int64))
                 if len(total) < len(n):
                     total = np.r_[total, np.zeros(len(n) - len(total), np.int64)]
