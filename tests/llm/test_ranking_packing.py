@@ -116,6 +116,58 @@ def test_equal_words_are_walked_once_and_only_within_a_tries_range():
     assert sum(steps) < 100  # and not a step for each of 4 000 words
 
 
+def test_tasks_send_no_row_for_each_phrase(spark, monkeypatch):
+    sent, kept = spark.sparkContext.accumulator(0), collocations.tidied
+
+    def counted(run):
+        def rows(batches):
+            for batch in run(batches):
+                sent.add(batch.num_rows)
+                yield batch
+        return kept(rows)
+
+    monkeypatch.setattr(collocations, "tidied", counted)
+    words = [f"w{i}" for i in range(40)]
+    text = " ".join(f"{a} {b}" for a in words for b in words)
+    docs = spark.createDataFrame([("en", text)] * 32, "lang string, text string").repartition(8)
+    got = collocations.collocations(docs)
+    assert got.count() == len(brute_phrases([("en", text)] * 32, 10, 2000, 50))
+    # About 3 000 distinct pairs and triples stand in each of eight tasks, and are sent as ranges; candidates (each once)
+    # and counts come back.
+    assert sent.value < 20_000
+
+
+def test_kept_numbers_lose_no_pair(monkeypatch):
+    monkeypatch.setattr(collocations, "ROW_NUMBERS", 5)
+    monkeypatch.setattr(collocations, "SLICE_NUMBERS", 12)
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 3, 400):
+        number, piece = rng.integers(-1, 4, size), np.cumsum(rng.random(size) < .2)
+        beside = np.flatnonzero(piece[1:] == piece[:-1])
+        rows = collocations._sequences(number, beside)
+        want = [(number[i], number[i + 1]) for i in beside if number[i] >= 0 and number[i + 1] >= 0]
+        batch = pa.RecordBatch.from_arrays([rows], ["numbers"])
+        slices = list(collocations._slices([batch, batch.slice(1)] if len(rows) else []))
+        first = len(want) - len(collocations._pairs(np.array(rows[0].as_py()))[0]) if len(rows) else 0
+        found = [(p >> 32, p & 0xFFFFFFFF) for s in slices for p in collocations._pairs(s)[1].tolist()]
+        assert found == want + want[len(want) - first:]
+        assert all(r[-1] == -1 for r in rows.to_pylist())
+
+
+def test_sums_of_packed_counts(spark):
+    rng = np.random.default_rng(4)
+    parts = [np.unique(rng.integers(0, 1 << 62, 300) % m, return_counts=True) for m in (5, 1 << 20, 400, 1 << 62)] * 3
+    total = collections.Counter()
+    for entries, counts in parts:
+        for e, n in zip(entries.tolist(), counts.tolist()):
+            total[e] += n
+    for bits in (1, 3, 16):
+        rows = [r for e, n in parts + [(np.empty(0, np.int64), np.empty(0, np.int64))]
+                for r in zip(*(c.to_pylist() for c in collocations._packed(e, n, bits).values()))]
+        got = collocations._summed(spark.createDataFrame(rows, collocations._PACKED), 6).collect()
+        assert sorted(map(tuple, got)) == sorted((e, n) for e, n in total.items() if n >= 6)
+
+
 # --- search ------------------------------------------------------------------------------------------------
 
 def brute_search(docs, items, k):

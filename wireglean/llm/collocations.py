@@ -1,10 +1,12 @@
 """Phrase collocation mining with broadcast double-array tries, one phrase length after the other.
 
-Words are counted first. A phrase can only be frequent if both its parts of one word less are, and if the
-hash bucket of such a pair of parts fills up over all shards; phrases for which both holds are candidates
-(nothing frequent is ever missed). Candidates are packed into double-array tries of bounded size. A task
-lets all text positions walk a trie at once, byte by byte in numpy, counts the accepting states that they
-reach, and the counts of all shards are summed. Counts are exact: hashes only thin out the candidates.
+Words are counted first; the frequent ones become numbered keys of double-array tries of bounded size. A task lets
+all words of a shard walk them at once, byte by byte in numpy, and the texts are kept as numbers from then on. A
+phrase can only be frequent if both its parts of one word less are: pairs of neighbouring numbers that stand often
+enough in all texts together are the candidates. They become keys of further tries, spelled by the digits of their
+two numbers; the pairs of the texts walk these, the accepting states that they reach are counted and number the
+places for the next length. Each task sums what it sends, in packed ranges of hashes, so what is sent is at most
+one entry a word. All counts are exact.
 """
 
 from collections.abc import Iterator
@@ -25,17 +27,15 @@ TRIE_BYTES = 2 << 20
 BROADCAST_BYTES = 64 << 20
 #: Text of a shard.
 SHARD_BYTES = 1 << 20
-#: Counters of one range of hash buckets, most ranges, and most bits of the broadcast map of full buckets.
-RANGE_BUCKETS = 1 << 22
-MOST_RANGES = 1 << 14
-#: Counts of accepting states that travel together.
-COUNT_CHUNK = 1 << 15
-#: Counts that a task holds before it sends them on.
-HELD_COUNTS = 8_000_000
-#: Pairs of parts that a task remembers to have sent.
-SENT_SLOTS = 1 << 20
-_MANY = (1 << 32) // RANGE_BUCKETS - 1
-MAP_BITS = 1 << 28
+#: Numbers of a row of kept texts (what stands together is never cut), and those that a task looks at together.
+ROW_NUMBERS = 1 << 10
+SLICE_NUMBERS = 2 << 20
+#: Entries of one range of hashes, and most bits of their number.
+RANGE_ENTRIES = 2 << 20
+MOST_RANGE_BITS = 16
+#: Bits of the symbols that spell a number in a trie; bits of a number in a pair (the sign stays free).
+SYMBOL_BITS = 5
+NUMBER_BITS = 31
 
 # Between words stand blanks; pieces end at marks and line ends; all else is in words.
 _KIND = np.zeros(256, np.uint8)
@@ -81,10 +81,6 @@ class Shard:
         n = len(self.piece) - size + 1
         return np.flatnonzero(self.piece[:n] == self.piece[size - 1:]) if n > 0 else np.empty(0, np.int64)
 
-    def spelled(self, first: np.ndarray, size: int) -> list[str]:
-        raw = self.bytes.tobytes()
-        return [raw[a:b].decode() for a, b in zip(self.at[first].tolist(), (self.at[first + size] - 1).tolist())]
-
     def words(self) -> pa.StringArray:
         keep = np.ones(len(self.bytes), bool)
         keep[self.at[1:] - 1] = False
@@ -192,6 +188,17 @@ class DoubleArray:
                 words, state, at, from_ = words[~done], state[~done], at[~done], from_[~done]
         return np.concatenate([w for w, _ in found]), np.concatenate([k for _, k in found]).astype(np.int64)
 
+    def find(self, pairs: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+        """For each pair the number of the key spelled like it, or -1: all walk at once."""
+        found = np.full(len(pairs), -1, np.int64)
+        at, state = np.arange(len(pairs)), np.zeros(len(pairs), np.int32)
+        for shift in shifts:
+            to = self.base[state] + _symbols(pairs, shift)
+            ok = np.flatnonzero(self.check[to] == state)
+            at, pairs, state = at[ok], pairs[ok], to[ok]
+        found[at] = -1 - self.base[state]
+        return found
+
 
 class Starts:
     """Words of a shard in the order of their groups and heads, so that a trie finds those between its first and
@@ -247,55 +254,88 @@ def _keys(lang: pa.StringArray, phrase: pa.StringArray) -> pa.BinaryArray:
     return pa.compute.binary_join_element_wise(named, b"", b" ")
 
 
+def _word_keys(batches):
+    """(columns, keys, ranges) of the tries of a table (lang, phrase, f)."""
+    for batch in gathered(batches, "phrase", TRIE_BYTES):
+        lang, phrase, f = (batch.column(c) for c in ("lang", "phrase", "f"))
+        yield pa.StructArray.from_arrays([lang, phrase, f], ["lang", "phrase", "f"]), _keys(lang, phrase), _ranges(lang, phrase)
+
+
+def _symbols(pairs: np.ndarray, shift) -> np.ndarray:
+    return (pairs >> shift & ((1 << SYMBOL_BITS) - 1)).astype(np.int32)
+
+
+def _shifts(numbers: int) -> np.ndarray:
+    """Where in a pair the symbols stand that spell two numbers below ``numbers``, highest first."""
+    if numbers > 1 << NUMBER_BITS:
+        raise ValueError(f"{numbers} frequent phrases of one length; {1 << NUMBER_BITS} can be told apart")
+    own = np.arange(0, max(1, (numbers - 1).bit_length()), SYMBOL_BITS)[::-1]
+    return np.r_[own + 32, own]
+
+
+def _pair_keys(shifts: np.ndarray):
+    """The same for a table (pair)."""
+    most = max(1, TRIE_BYTES // 8)
+
+    def gathered_pairs(batches):
+        mine = np.empty(0, np.int64)
+        for batch in batches:
+            mine = np.r_[mine, np.asarray(batch.column("pair"))]
+            while len(mine) >= most:
+                yield mine[:most]
+                mine = mine[most:]
+        if len(mine):
+            yield mine
+
+    def cut(batches):
+        for pairs in gathered_pairs(batches):
+            flat = np.stack([_symbols(pairs, x) for x in shifts], 1).astype(np.uint8)
+            yield (pa.StructArray.from_arrays([pa.array(pairs)], ["pair"]), strings(flat.ravel(), np.full(len(pairs), len(shifts))).cast(pa.binary()),
+                   [{"lang": "", "low": int(pairs[0]).to_bytes(8), "high": int(pairs[-1]).to_bytes(8)}])
+
+    return cut
+
+
 _TRIE = ("block", "base", "check", "ranges")
 _RANGES = pa.list_(pa.struct([("lang", pa.string()), ("low", pa.binary()), ("high", pa.binary())]))
 
 
 class Tries:
-    """The phrases of a table (lang, phrase, ...) as numbered keys of double-array tries, on storage or broadcast."""
+    """The rows of a table as numbered keys of double-array tries, on storage or broadcast."""
 
-    def __init__(self, phrases: DataFrame, ws: Workspace, name: str):
+    def __init__(self, phrases: DataFrame, keys, size, order: list[str], ws: Workspace, name: str):
+        """``keys`` makes (columns, keys, ranges) of each trie from batches in ``order``; ``size`` are a row's bytes."""
         self.ws, self.path = ws, f"{ws.folder}/{name}"
-        size = phrases.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 2)).first()[0] or 0
-        parts = size // TRIE_BYTES + 1
+        parts = (phrases.agg(F.sum(size)).first()[0] or 0) // TRIE_BYTES + 1
 
         def build(batches):
             part = TaskContext.get().partitionId()
-            for n, batch in enumerate(gathered(batches, "phrase", TRIE_BYTES)):
-                lang, phrase = (batch.column(c) for c in ("lang", "phrase"))
-                made = DoubleArray.build(_keys(lang, phrase))
-                keys = pa.StructArray.from_arrays([lang, phrase], ["lang", "phrase"])
+            for n, (columns, spelled, ranges) in enumerate(keys(batches)):
+                made = DoubleArray.build(spelled)
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([(part << 24) + n], pa.int64()),
-                    "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-                    "base": [made.base.tobytes()], "check": [made.check.tobytes()],
-                    "ranges": pa.array([_ranges(lang, phrase)], _RANGES)})
+                    "keys": pa.ListArray.from_arrays(pa.array([0, len(columns)], pa.int32()), columns),
+                    "base": [made.base.tobytes()], "check": [made.check.tobytes()], "ranges": pa.array([ranges], _RANGES)})
 
-        rows = phrases.select("lang", "phrase").repartitionByRange(parts, "lang", "phrase")
-        self.rows = ws.settle(rows.sortWithinPartitions("lang", "phrase").mapInArrow(
-            build, "block long, keys array<struct<lang:string,phrase:string>>, base binary, check binary, "
+        columns = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in phrases.schema)
+        self.rows = ws.settle(phrases.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
+            tidied(build), f"block long, keys array<struct<{columns}>>, base binary, check binary, "
             "ranges array<struct<lang:string,low:binary,high:binary>>"), name)
         # One row a trie: where its numbers begin.
         sizes = self.rows.select("block", F.size("keys"), F.octet_length("base")).orderBy("block").collect()
         ends = np.cumsum([r[1] for r in sizes]).tolist()
         self.first = {r[0]: e - r[1] for r, e in zip(sizes, ends)}
+        self.count = ends[-1] if ends else 0
         self.shared = None
         if 2 * sum(r[2] for r in sizes) <= BROADCAST_BYTES:
             self.shared = ws.spark.sparkContext.broadcast(
                 [(*r[:3], [x.asDict() for x in r[3]]) for r in self.rows.select(*_TRIE).toLocalIterator()])
 
     def keys(self) -> DataFrame:
-        """(key, lang, phrase) of all numbers."""
-        first = F.create_map(*[F.lit(x) for pair in self.first.items() for x in pair]) if len(self.first) < 500 else None
-        rows = self.rows.select("block", F.posexplode("keys").alias("i", "k"))
-        if first is None:
-            offsets = self.ws.spark.createDataFrame(list(self.first.items()), "block long, first long")
-            rows = rows.join(F.broadcast(offsets), "block").withColumn("key", F.col("first") + F.col("i"))
-        elif self.first:
-            rows = rows.withColumn("key", first[F.col("block")] + F.col("i"))
-        else:
-            rows = rows.withColumn("key", F.lit(None).cast("long"))
-        return rows.select("key", "k.lang", "k.phrase")
+        """(number, ...) of all rows."""
+        offsets = self.ws.spark.createDataFrame(list(self.first.items()), "block long, first long")
+        rows = self.rows.select("block", F.posexplode("keys").alias("i", "k")).join(F.broadcast(offsets), "block")
+        return rows.select((F.col("first") + F.col("i")).alias("number"), "k.*")
 
     def reader(self):
         """A function for tasks: (first number, trie) of all tries. It carries the broadcast or the place."""
@@ -310,7 +350,7 @@ class Tries:
             if shared is not None:
                 yield from held(("tries", path), lambda: made(shared.value), 2)
                 return
-            for batch in parquet_batches(path, 1):
+            for batch in parquet_batches(path, 1, _TRIE):
                 yield from made(zip(*(batch.column(c).to_pylist() for c in _TRIE)))
 
         return tries
@@ -336,188 +376,145 @@ def _count_words(batches):
                                                   "phrase": counts.field("values"), "f": counts.field("counts")})
 
 
-def _numbers(shard: Shard, tries, places: np.ndarray | None) -> np.ndarray:
-    """For each word the number of the key that begins there, or -1; only ``places`` are walked from. Without places
-    keys are single words: each is walked once for all that are equal to it."""
-    number = np.full(len(shard.piece) + 1, -1, np.int64)
-    if not len(shard.piece):
+def _numbers(shard: Shard, tries) -> np.ndarray:
+    """For each word its number, or -1. Each is walked once for all that are equal to it."""
+    number = np.full(len(shard.piece), -1, np.int64)
+    if not len(number):
         return number
-    starts = Starts(shard, np.flatnonzero(shard.alike == np.arange(len(shard.alike))) if places is None else places)
+    starts = Starts(shard, np.flatnonzero(shard.alike == np.arange(len(number))))
     for first, trie in tries():
         words, key = trie.walk(shard, starts)
         number[words] = first + key
-    if places is None:
-        number[:-1] = number[shard.alike]
-    return number
-
+    return number[shard.alike]
+
+
+def _sequences(number: np.ndarray, beside: np.ndarray) -> pa.ListArray:
+    """Rows of numbers; ``beside`` are the places whose next place belongs to the same piece. Numbers with no other
+    beside them begin no longer phrase and go; a -1 stands behind what stands together."""
+    linked = np.zeros(len(number) + 1, bool)  # to the place before
+    linked[beside + 1] = (number[beside] >= 0) & (number[beside + 1] >= 0)
+    at = np.flatnonzero(linked[:-1] | linked[1:])
+    last = ~linked[at + 1]
+    ends = np.cumsum(last)
+    flat = np.full(len(at) + (int(ends[-1]) if len(at) else 0), -1, np.int32)
+    flat[np.arange(len(at)) + ends - last] = number[at]
+    cut = np.flatnonzero(flat < 0) + 1
+    cut = cut[np.diff(cut // ROW_NUMBERS, append=-1) != 0]
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, cut], pa.int32()), pa.array(flat))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The numbers of whole rows, many at a time."""
+    for batch in batches:
+        rows = batch.column("numbers")
+        edge, flat = np.asarray(rows.offsets), np.asarray(rows.values)
+        a = 0
+        while a < len(rows):
+            b = max(a + 1, int(np.searchsorted(edge, int(edge[a]) + SLICE_NUMBERS, "right")) - 1)
+            yield flat[edge[a]:edge[b]]
+            a = b
 
-class Filter:
-    """The phrases that may be frequent at some length, found in a shard by the tries and full buckets below it."""
 
-    def __init__(self, size: int, parts, below: "Filter | None" = None):
-        self.size, self.parts, self.below, self.full = size, parts, below, None
+def _pairs(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, pair): where a number has another one beside it, and both in one."""
+    at = np.flatnonzero((flat[:-1] >= 0) & (flat[1:] >= 0)).astype(np.int32)
+    return at, flat[at].astype(np.int64) << 32 | flat[at + 1]
 
-    def pairs(self, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, left, right): where a phrase begins whose two parts of one word less are frequent."""
-        places = self.below.places(shard) if self.below else None
-        number = _numbers(shard, self.parts, places)
-        at = shard.places(self.size)
-        at = at[(number[at] >= 0) & (number[at + 1] >= 0)]
-        return at, number[at], number[at + 1]
 
-    def likely(self, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Those of them whose bucket is full."""
-        at, left, right = self.pairs(shard)
-        bits, folded, shared = self.full
-        known = np.frombuffer(shared.value, np.uint8)
-        place = (_bucket(left, right, bits) >> np.uint64(bits - folded)).astype(np.int64)
-        may = known[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1
-        return at[may], left[may], right[may]
+_PACKED = "range int, entries binary, counts binary"
 
-    def places(self, shard: Shard) -> np.ndarray:
-        return self.likely(shard)[0]
 
+def _packed(entries: np.ndarray, counts: np.ndarray, bits: int) -> dict[str, pa.Array]:
+    """Distinct entries and their counts as a row for each range of hashes."""
+    mixed = entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    place = (mixed >> np.uint64(64 - bits)).astype(np.uint16)
+    order = np.argsort(place, kind="stable")
+    place, entries, counts = place[order], entries[order], counts[order].astype(np.uint32)
+    edge = np.flatnonzero(np.diff(place.astype(np.int32), prepend=-1, append=-1)) if len(place) else np.zeros(1, np.int64)
 
-def _bucket(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
-    mixed = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ right.astype(np.uint64)
-    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xC2B2AE3D27D4EB4F), (32, 1)):
-        mixed ^= mixed >> np.uint64(shift)
-        mixed *= np.uint64(factor)
-    return mixed >> np.uint64(64 - bits)
+    def rows(values):
+        at = np.asarray(edge * values.itemsize, np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(values)])
 
+    return {"range": pa.array(place[edge[:-1]], pa.int32()), "entries": rows(entries), "counts": rows(counts)}
 
-def _full_buckets(rows: DataFrame, filter_: Filter, least: int, n_words: int):
-    """(bits, map): a broadcast bit for each range of hash buckets in which some pair of parts may be frequent."""
-    ranges = 1 << max(0, min(MOST_RANGES - 1, n_words // RANGE_BUCKETS)).bit_length()
-    bits = (ranges * RANGE_BUCKETS).bit_length() - 1
-    folded = min(bits, MAP_BITS.bit_length() - 1)
 
-    def counts(batches):
-        for shard in _shards(batches):
-            _, left, right = filter_.pairs(shard)
-            bucket, n = np.unique(_bucket(left, right, bits), return_counts=True)
-            edge = np.flatnonzero(np.diff(bucket // RANGE_BUCKETS, prepend=-1, append=-1))
-            cut = [(int(a), int(b)) for a, b in zip(edge[:-1], edge[1:])]
-            # A count shares its number with the bucket; one that does not fit counts as enough.
-            packed = ((bucket % RANGE_BUCKETS) + np.minimum(n, _MANY).astype(np.uint64) * RANGE_BUCKETS).astype(np.uint32)
-            yield pa.RecordBatch.from_pydict({
-                "range": pa.array([int(bucket[a]) // RANGE_BUCKETS for a, _ in cut], pa.int64()),
-                "packed": pa.array([packed[a:b].tobytes() for a, b in cut], pa.binary())})
-
-    def full(batches):
-        total, now = np.zeros(RANGE_BUCKETS, np.uint32), None
-
-        def places():
-            place = np.unique((np.flatnonzero(total >= least) + now * RANGE_BUCKETS) >> (bits - folded))
-            return pa.RecordBatch.from_pydict({"place": pa.array(place, pa.int64())})
+def _summed(packed: DataFrame, least: int) -> DataFrame:
+    """(entry, f) of the entries that count ``least`` over all tasks."""
+    def total(held_):
+        entries, counts = (np.concatenate(x) for x in zip(*held_))
+        order = np.argsort(entries)
+        entries = entries[order]
+        first = np.flatnonzero(np.diff(entries, prepend=-1))
+        f = np.add.reduceat(counts[order].astype(np.int64), first)
+        return pa.RecordBatch.from_pydict({"entry": pa.array(entries[first[f >= least]]), "f": pa.array(f[f >= least])})
 
+    def add(batches):
+        now, mine = None, []
         for batch in batches:
-            for r, packed in zip(batch.column("range").to_pylist(), batch.column("packed")):
-                if r != now:
-                    if now is not None:
-                        yield places()
-                    now = r
-                    total[:] = 0
-                packed = np.frombuffer(packed.as_buffer(), np.uint32)
-                low, n = packed % RANGE_BUCKETS, packed // RANGE_BUCKETS
-                total[low] = np.minimum(total[low] + np.where(n == _MANY, least, n).astype(np.uint32), least)
-        if now is not None:
-            yield places()
-
-    def bitmap(batches):
-        mine: dict[int, np.ndarray] = {}
-        for batch in batches:
-            place = np.asarray(batch.column("place"))
-            for piece in np.unique(place >> 20).tolist():
-                bits = mine.setdefault(piece, np.zeros(1 << 20, bool))
-                bits[place[place >> 20 == piece] & ((1 << 20) - 1)] = True
-        yield pa.RecordBatch.from_pydict({"piece": pa.array(mine, pa.int32()),
-                                          "bits": pa.array([np.packbits(m).tobytes() for m in mine.values()], pa.binary())})
-
-    sent = rows.mapInArrow(tidied(counts), "range long, packed binary")
-    found = (sent.repartition(F.col("range")).sortWithinPartitions("range")
-             .mapInArrow(tidied(full), "place long"))
-    known = np.zeros((max(1, 1 << folded >> 20), 1 << 17), np.uint8)
-    pieces = found.repartition(F.expr("place >> 20")).mapInArrow(tidied(bitmap), "piece int, bits binary")
-    for row in pieces.toLocalIterator():
-        known[row["piece"]] |= np.frombuffer(row["bits"], np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(known.tobytes())
-    return bits, folded, shared
-
-
-def _candidates(rows: DataFrame, filter_: Filter) -> DataFrame:
-    """(lang, phrase): the distinct phrases whose parts are keys and whose bucket is full."""
+            for range_, entries, counts in zip(batch.column("range").to_pylist(), batch.column("entries"), batch.column("counts")):
+                if range_ != now and mine:
+                    yield total(mine)
+                    mine = []
+                now = range_
+                mine.append((np.frombuffer(entries.as_buffer(), np.int64), np.frombuffer(counts.as_buffer(), np.uint32)))
+        if mine:
+            yield total(mine)
+
+    return packed.repartition(F.col("range")).sortWithinPartitions("range").mapInArrow(tidied(add), "entry long, f long")
+
+
+def _numbered(rows: DataFrame, index: Tries) -> DataFrame:
+    """(numbers): the texts as numbers of their frequent words."""
+    tries = index.reader()
+
     def run(batches):
-        lately = np.full((2, SENT_SLOTS), -1, np.int64)  # pairs of keys that this task has sent, by their hash
         for shard in _shards(batches):
-            at, left, right = filter_.likely(shard)
-            order = np.lexsort((right, left))
-            at, left, right = at[order], left[order], right[order]
-            fresh = np.ones(len(at), bool)
-            fresh[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
-            at, left, right = at[fresh], left[fresh], right[fresh]
-            slot = _bucket(left, right, SENT_SLOTS.bit_length() - 1).astype(np.int64)
-            new = (lately[0, slot] != left) | (lately[1, slot] != right)
-            # Of two pairs in one slot the last one stays, with both its parts.
-            _, last = np.unique(slot[::-1], return_index=True)
-            last = len(slot) - 1 - last
-            lately[0, slot[last]], lately[1, slot[last]] = left[last], right[last]
-            word = at[new]
-            yield pa.RecordBatch.from_pydict({
-                "lang": pa.array(shard.names[shard.group[word]].tolist(), pa.string()),
-                "phrase": pa.array(shard.spelled(word, filter_.size), pa.string())})
-
-    return rows.mapInArrow(tidied(run), "lang string, phrase string").distinct()
-
-
-def _counted(rows: DataFrame, candidates: DataFrame, filter_: Filter, least: int, ws: Workspace) -> DataFrame:
-    """(lang, phrase, f) of the candidates with at least ``least`` occurrences: accepting states, counted by shard."""
-    size = filter_.size
-    index = Tries(candidates, ws, f"tries-{size}")
-    tries, before = index.reader(), filter_.below or filter_
-
-    def run(batches):  # of each trie the counts of its accepting states, in chunks
-        totals: dict[int, np.ndarray] = {}
-
-        def chunks():
-            for first, total in totals.items():
-                cut = range(0, len(total), COUNT_CHUNK)
-                yield pa.RecordBatch.from_pydict({
-                    "first": pa.array([first + a for a in cut], pa.int64()),
-                    "counts": pa.array([total[a:a + COUNT_CHUNK].tobytes() for a in cut], pa.binary())})
+            yield pa.RecordBatch.from_arrays([_sequences(_numbers(shard, tries), shard.places(2))], ["numbers"])
 
-        for shard in _shards(batches):
-            if sum(map(len, totals.values())) > HELD_COUNTS:
-                yield from chunks()
-                totals.clear()
-            places = before.places(shard)
-            starts = Starts(shard, places[np.isin(places, shard.places(size), assume_unique=True)])
+    return rows.mapInArrow(tidied(run), "numbers array<int>")
+
+
+def _candidates(texts: DataFrame, least: int, bits: int) -> DataFrame:
+    """(pair): the pairs of neighbouring numbers that stand ``least`` times in all texts."""
+    def run(batches):
+        for flat in _slices(batches):
+            yield pa.RecordBatch.from_pydict(_packed(*np.unique(_pairs(flat)[1], return_counts=True), bits))
+
+    return _summed(texts.mapInArrow(tidied(run), _PACKED), least).select(F.col("entry").alias("pair"))
+
+
+def _walked(texts: DataFrame, index: Tries, shifts: np.ndarray, bits: int, onward: bool) -> DataFrame:
+    """The accepting states that the pairs of the texts reach, counted and packed; with ``onward`` rows also hold the
+    texts as numbers of these states."""
+    tries = index.reader()
+
+    def run(batches):
+        for flat in _slices(batches):
+            at, pairs = _pairs(flat)
+            if onward:
+                pairs, inverse, n = np.unique(pairs, return_inverse=True, return_counts=True)
+                inverse = inverse.astype(np.int32)
+            else:
+                pairs, n = np.unique(pairs, return_counts=True)
+            state = np.full(len(pairs), -1, np.int64)
             for first, trie in tries():
-                n = np.bincount(trie.walk(shard, starts)[1])
-                total = totals.get(first, np.empty(0, np.int64))
-                if len(total) < len(n):
-                    total = np.r_[total, np.zeros(len(n) - len(total), np.int64)]
-                total[:len(n)] += n
-                totals[first] = total
-        yield from chunks()
-
-    def add(batches):  # the shards' counts of each chunk
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for first, counts in zip(batch.column("first").to_pylist(), batch.column("counts")):
-                own = np.frombuffer(counts.as_buffer(), np.int64)
-                total = totals.setdefault(first, np.zeros(COUNT_CHUNK, np.int64))
-                total[:len(own)] += own
-        for first, total in totals.items():
-            enough = np.flatnonzero(total >= least)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(first + enough, pa.int64()), "f": pa.array(total[enough])})
-
-    shards = rows.mapInArrow(tidied(run), "first long, counts binary")
-    counts = shards.repartition(F.col("first")).mapInArrow(tidied(add), "key long, f long")
-    found = ws.settle(index.keys().join(counts, "key").select("lang", "phrase", "f"),
-                      f"counts-{size}")
-    index.release()
-    return found
+                a, b = np.searchsorted(pairs, trie.ranges[""][0]), np.searchsorted(pairs, trie.ranges[""][1], "right")
+                found = trie.find(pairs[a:b], shifts)
+                state[a:b] = np.where(found >= 0, first + found, state[a:b])
+            known = state >= 0
+            sent = _packed(state[known], n[known], bits)
+            yield pa.RecordBatch.from_pydict({"numbers": pa.nulls(len(sent["range"]), pa.list_(pa.int32())), **sent})
+            if onward:
+                number = np.full(len(flat), -1, np.int32)
+                number[at] = state[inverse]
+                del at, pairs, inverse, n, state, known, sent
+                kept = _sequences(number, np.arange(len(flat) - 1))
+                yield pa.RecordBatch.from_pydict({"numbers": kept, "range": pa.nulls(len(kept), pa.int32()), **{
+                    c: pa.nulls(len(kept), pa.binary()) for c in ("entries", "counts")}})
+
+    return texts.mapInArrow(tidied(run), f"numbers array<int>, {_PACKED}")
 
 
 def collocations(docs: DataFrame, least: int = 10, top: int = 2000, share: int = 50, lang_column: str = "lang",
@@ -543,39 +540,35 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, share: int =
                           .groupBy("lang", "word").agg(F.sum("f").alias("f")), "words")
     totals = all_words.groupBy("lang").agg(F.sum("f").alias("n"))
     n_words = all_words.agg(F.sum("f")).first()[0] or 0
-    counted = {1: all_words.where("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), "f")}
-    below, held_ = None, []
+    bits = min(MOST_RANGE_BITS, max(1, (n_words // RANGE_ENTRIES).bit_length()))
+    words = all_words.where("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), "f")
+    index = Tries(words, _word_keys, F.octet_length("phrase") + F.octet_length("lang") + 2, ["lang", "phrase"], ws, "tries-1")
+    one = ws.settle(index.keys().withColumn("last", F.col("phrase")), "phrases-1")
+    texts = ws.settle(_numbered(rows, index), "texts-1")
+    index.release()
+    counted = {1: one}
     for size in (2, 3):
-        index = Tries(counted[size - 1], ws, f"parts-{size}")
-        below = filter_ = Filter(size, index.reader(), below)
-        filter_.full = _full_buckets(rows, filter_, least, n_words)
-        held_ += [index.release, filter_.full[2].destroy]
-        candidates = ws.settle(_candidates(rows, filter_), f"candidates-{size}")
-        counted[size] = _counted(rows, candidates, filter_, least, ws)
-    for release in held_:
-        release()
-
-    def part(name, size):
-        return counted[size].select("lang", F.col("phrase").alias(name), F.col("f").alias(f"f_{name}"))
-
-    word = F.split("phrase", " ")
-    two = counted[2].select("*", word[0].alias("w1"), word[1].alias("w2"))
-    three = counted[3].select("*", word[0].alias("w1"), word[2].alias("w3"), F.concat_ws(" ", word[0], word[1]).alias("w12"),
-                              F.concat_ws(" ", word[1], word[2]).alias("w23"))
-    longest = (three.select("lang", F.col("w12").alias("phrase"), "f")
-               .unionByName(three.select("lang", F.col("w23").alias("phrase"), "f"))
-               .groupBy("lang", "phrase").agg(F.max("f").alias("longer")))
-    two = (two.join(longest, ["lang", "phrase"], "left")
+        shifts = _shifts(index.count)
+        found = ws.settle(_candidates(texts, least, bits), f"candidates-{size}")
+        index = Tries(found, _pair_keys(shifts), F.lit(8), ["pair"], ws, f"tries-{size}")
+        walked = ws.settle(_walked(texts, index, shifts, bits, size < 3), f"texts-{size}")
+        index.release()
+        ws.drop(f"texts-{size - 1}", f"candidates-{size}")
+        states = _summed(walked.where("range IS NOT NULL").select("range", "entries", "counts"), least)
+        states = index.keys().join(states.withColumnRenamed("entry", "number"), "number").select(
+            "number", F.expr("shiftright(pair, 32)").alias("left"), F.expr(f"pair & {(1 << 32) - 1}L").alias("right"), "f")
+        counted[size] = ws.settle(_spelled(states, counted[size - 1], size), f"phrases-{size}")
+        texts = walked.where("numbers IS NOT NULL").select("numbers")
+
+    two, three = counted[2], counted[3]
+    longest = (three.select(F.col("left").alias("number"), "f").unionByName(three.select(F.col("right").alias("number"), "f"))
+               .groupBy("number").agg(F.max("f").alias("longer")))
+    two = (two.join(longest, "number", "left")
            .where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("f") * share))
-           .join(part("w1", 1), ["lang", "w1"]).join(part("w2", 1), ["lang", "w2"])
-           .select("lang", "phrase", "f", F.array(F.struct(_cut("f_w1", "f_w2"), F.lit(1).alias("k"),
-                                                           F.col("f_w1").alias("l"), F.col("f_w2").alias("r"))).alias("cuts")))
-    three = (three.join(part("w1", 1), ["lang", "w1"]).join(part("w23", 2), ["lang", "w23"])
-             .join(part("w12", 2), ["lang", "w12"]).join(part("w3", 1), ["lang", "w3"])
-             .select("lang", "phrase", "f", F.array(
-                 F.struct(_cut("f_w1", "f_w23"), F.lit(1).alias("k"), F.col("f_w1").alias("l"), F.col("f_w23").alias("r")),
-                 F.struct(_cut("f_w12", "f_w3"), F.lit(2).alias("k"), F.col("f_w12").alias("l"),
-                          F.col("f_w3").alias("r"))).alias("cuts")))
+           .select("lang", "phrase", "f", F.array(F.struct(_cut("l", "r"), F.lit(1).alias("k"), "l", "r")).alias("cuts")))
+    three = three.select("lang", "phrase", "f", F.array(
+        F.struct(_cut("left_l", "r"), F.lit(1).alias("k"), F.col("left_l").alias("l"), F.col("r")),
+        F.struct(_cut("l", "right_r"), F.lit(2).alias("k"), F.col("l"), F.col("right_r").alias("r"))).alias("cuts"))
     scored = two.unionByName(three).withColumn("cut", F.array_min("cuts")).select(
         "lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
@@ -584,6 +577,17 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, share: int =
                                             "score")
 
 
+def _spelled(states: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+    """(number, left, right, lang, phrase, last, f, l, r) of phrases given by the numbers of their parts; ``l`` and ``r``
+    count these. Those of three words also get what their parts count at the other cut."""
+    more = size > 2
+    left = parts.select(F.col("number").alias("left"), "lang", F.col("phrase").alias("begin"), F.col("f").alias("l"),
+                        *[F.col("l").alias("left_l")] * more)
+    right = parts.select(F.col("number").alias("right"), "last", F.col("f").alias("r"), *[F.col("r").alias("right_r")] * more)
+    return (states.join(left, "left").join(right, "right")
+            .withColumn("phrase", F.concat_ws(" ", "begin", "last")).drop("begin"))
+
+
 def _cut(left: str, right: str):
     """The score of one cut, exactly: products of counts up to 10**15 fit into 38 digits."""
     return F.expr(f"(CAST(1000000 AS decimal(7,0)) * CAST(f AS decimal(15,0)) * CAST(f AS decimal(15,0))) "
