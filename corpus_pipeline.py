@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wireglean.llm import fm_index, jaccard_join, language, personal_data, piece_bpe
-from wireglean.llm.common import Workspace, table
+from wireglean.llm.common import Workspace, bound_batches, table
 
 
 def _aside(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
@@ -76,8 +76,19 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("language", languages), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
-          ("personal_data", personal), ("pieces", pieces)]
+def _bounded(stage):
+    """The stage with bounded batches: the stages share executors, whose memory goes back late if at all."""
+
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+STAGES = [(name, _bounded(stage)) for name, stage in (
+    ("language", languages), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+    ("personal_data", personal), ("pieces", pieces))]
 
 #: Models decide in some stages, which SQL can't state; the tests hold the stages against brute force.
 ORACLE_SQL = None

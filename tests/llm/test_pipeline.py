@@ -1,6 +1,8 @@
 """The pipeline's stages, each held against what its operator's rule says of its own input."""
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF
@@ -91,3 +93,25 @@ def test_near_duplicates_lose_no_other_text(spark):
     assert kept.dtypes == docs.dtypes
     got = sorted(((r["doc_id"] or 0), (r["text"] or "")[-4:]) for r in kept.collect())
     assert got == sorted([(5, "seas"), (4, "oads"), (8, " end"), (0, "9999"), (7, ""), (7, "")])
+
+
+def test_workers_get_small_batches(spark):
+    """A task's texts don't go to its worker at once, whichever stage is called first; a smaller bound stays."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(8000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some text "), 300).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "rows"])
+
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("decontamination", "pieces"):
+            spark.conf.unset(setting)
+            stage(spark, docs, SF)
+            found = docs.mapInArrow(sizes, "size long, rows long").collect()
+            assert sum(r["rows"] for r in found) == 8000
+            assert max(r["size"] for r in found) < 3 << 20
+    spark.conf.set(setting, "100k")
+    corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert spark.conf.get(setting) == "100k"
+    spark.conf.unset(setting)

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglean.llm.common import Workspace, components, file_system, held, pick, query, slices, table, tidied
+from wireglean.llm.common import BATCH_BYTES, Workspace, components, file_system, held, pick, query, slices, table, tidied
 from wireglean.llm.fm_index import joined, words
 
 SHINGLE_WORDS = 5
@@ -118,23 +118,32 @@ def profile(rows: DataFrame, ranges: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts = None, []
 
-        def ended() -> pa.RecordBatch:
-            used, shingles, counts = [], [], []
+        def ended() -> Iterator[pa.RecordBatch]:
+            used, shingles, counts, size = [], [], [], 0
+
+            def sent() -> pa.RecordBatch:
+                none = pa.nulls(len(used), pa.int64())
+                return pa.RecordBatch.from_arrays(
+                    [none, none, none, none, pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()),
+                     pa.array(shingles, pa.binary()), pa.array(counts, pa.binary())],
+                    names=["id", "n", "s1", "s2", "block", "range", "shingles", "counts"])
+
             for r, (found, n) in counted_ranges(parts, ranges, per_range):
                 used.append(r)
                 shingles.append(_pack(found))
                 counts.append(np.minimum(n, 255).astype(np.uint8).tobytes())
-            none = pa.nulls(len(used), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [none, none, none, none, pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()),
-                 pa.array(shingles, pa.binary()), pa.array(counts, pa.binary())],
-                names=["id", "n", "s1", "s2", "block", "range", "shingles", "counts"])
+                size += len(shingles[-1]) + len(counts[-1])
+                if size > BATCH_BYTES:
+                    yield sent()
+                    used, shingles, counts, size = [], [], [], 0
+            if used:
+                yield sent()
 
         for batch in batches:
             for part in _by_block(batch):
                 own = part.column("block")[0].as_py()
                 if own != block and parts:
-                    yield ended()
+                    yield from ended()
                     parts = []
                 block = own
                 doc, shingle = shingle_sets(part.column("text").to_pylist())
@@ -153,7 +162,7 @@ def profile(rows: DataFrame, ranges: int) -> DataFrame:
                      pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())],
                     names=["id", "n", "s1", "s2", "block", "range", "shingles", "counts"])
         if parts:
-            yield ended()
+            yield from ended()
 
     return rows.select("id", "text", "block").mapInArrow(tidied(run), _PROFILE)
 

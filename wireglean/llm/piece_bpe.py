@@ -26,7 +26,7 @@ SHORT_PART = 48
 #: Remembered parts of a task; the memory is emptied beyond.
 MEMORY_PARTS = 200_000
 #: Bytes of text encoded at once; a part takes some twenty times its bytes while it is merged.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 #: Characters below this code (and the space mark, which takes the place of code 0) have cuts of their own.
 CUT_CODES = 1024
 _NEVER = np.int32(2**31 - 1)
